@@ -7,13 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from twinfold.llm.common import table
+from twinfold.llm.pattern_packing import pattern_packing
 from twinfold.llm.substring_dedup import substring_dedup
+from twinfold.llm.token_counts import token_counts
+from twinfold.llm.token_output import token_output
+from twinfold.llm.tokens import default_path
+
+
+def op3_frame_of_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output(table(spark, sf_dir, "documents"), default_path()).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_substring_dedup,)}
+def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pattern_packing(table(spark, sf_dir, "documents"), default_path())
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.tiktoken"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_frame_of_reference, op4_substring_dedup, op8_pattern_packing, op9_token_counts)}
 
 ORACLE_SQL: dict[str, str] = {}
