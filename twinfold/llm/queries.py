@@ -7,13 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from twinfold.llm.common import table
+from twinfold.llm.decontamination import scan
 from twinfold.llm.pattern_packing import pattern_packing
+from twinfold.llm.quality_rules import quality_rules
+from twinfold.llm.secret_scan import secret_scan
 from twinfold.llm.substring_dedup import substring_dedup
 from twinfold.llm.token_counts import token_counts
 from twinfold.llm.token_output import token_output
 from twinfold.llm.tokens import default_path
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return quality_rules(table(spark, sf_dir, "documents")).select(kept)
+
+
 def op3_frame_of_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output(table(spark, sf_dir, "documents"), default_path()).select("doc_id", "start", "n_tokens", "ids_crc32")
 
@@ -22,6 +34,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 def op8_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pattern_packing(table(spark, sf_dir, "documents"), default_path())
 
@@ -30,6 +46,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.tiktoken"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op3_frame_of_reference, op4_substring_dedup, op8_pattern_packing, op9_token_counts)}
+_ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_substring_dedup, op7_secret_scan, op8_pattern_packing, op9_token_counts)
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
 ORACLE_SQL: dict[str, str] = {}
