@@ -177,4 +177,4 @@ def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
 
 
 def pattern_packing(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0) -> DataFrame:
-    return pack(token_pieces(docs, tokenizer_path, size, end_id), size)
+    return pack(written(token_pieces(docs, tokenizer_path, size, end_id)), size)
