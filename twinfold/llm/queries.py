@@ -10,6 +10,7 @@ from twinfold.llm.common import table
 from twinfold.llm.decontamination import scan
 from twinfold.llm.jaccard_join import jaccard_components
 from twinfold.llm.pattern_packing import pattern_packing
+from twinfold.llm.pii import pii_spans
 from twinfold.llm.quality_rules import quality_rules
 from twinfold.llm.secret_scan import secret_scan
 from twinfold.llm.substring_dedup import substring_dedup
@@ -35,6 +36,10 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_spans(table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), width=3, percent=90)
 
@@ -51,7 +56,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.tiktoken"))
 
 
-_ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_substring_dedup, op6_jaccard_join, op7_secret_scan, op8_pattern_packing, op9_token_counts)
+_ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_substring_dedup, op5_pii, op6_jaccard_join, op7_secret_scan, op8_pattern_packing, op9_token_counts)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
