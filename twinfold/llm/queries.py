@@ -17,6 +17,7 @@ from twinfold.llm.substring_dedup import substring_dedup
 from twinfold.llm.token_counts import token_counts
 from twinfold.llm.token_output import token_output
 from twinfold.llm.tokens import default_path
+from twinfold.llm.toxicity import toxicity
 
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +57,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), default_path("byte_bpe_50k.tiktoken"))
 
 
-_ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_substring_dedup, op5_pii, op6_jaccard_join, op7_secret_scan, op8_pattern_packing, op9_token_counts)
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+_ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_substring_dedup, op5_pii, op6_jaccard_join, op7_secret_scan, op8_pattern_packing, op9_token_counts, op10_toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
