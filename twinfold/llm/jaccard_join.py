@@ -35,7 +35,7 @@ from twinfold.operators.components import connected_components
 
 SKETCH = 20
 SLICES = 64
-PARTS = 32
+PARTS = 128
 BUCKET = 512
 GROUP = 64
 #: Most rows of a table of (document, group) that is broadcast, 16 bytes each.
