@@ -3,11 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Graphs of at most so many edges are searched by one task.
+SMALL = 10_000
+
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of df, written as Parquet to the folder in spark.checkpoint.dir and read again; checkpoint() there is
@@ -29,15 +33,34 @@ def _temporary(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def connected_components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = checkpointed, most_rounds: int = 50) -> DataFrame:
+def _search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Union-find over all edges of a small graph; the root of a tree is its smallest node."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = root[up]
+            x = up
+        return x
+
+    for f in frames:
+        for a, b in zip(f["a"].tolist(), f["b"].tolist(), strict=True):
+            a, b = find(a), find(b)
+            root[max(a, b)] = min(a, b)
+    yield pd.DataFrame({"node": list(root), "component": [find(x) for x in list(root)]}, dtype="int64")
+
+
+def connected_components(edges: DataFrame, cut: Callable[[DataFrame], DataFrame] = checkpointed, most_rounds: int = 50, small: int = SMALL) -> DataFrame:
     """node, component (its smallest node) of every node of the undirected edges (i, j); nodes without an edge and
     self-loops do not appear.
 
-    Each round links every node's larger neighbours, then its smaller ones, to the smallest node around it (large-star
+    A graph of at most `small` edges is one task's. Else each round links every node's larger neighbours, then its smaller ones, to the smallest node around it (large-star
     and small-star, Kiveris et al. 2014). Rounds grow with the logarithm of the longest path. A node's neighbours are
     never collected: the minimum is an aggregate, joined back to the edges.
     """
     now = cut(edges.where("i <> j").select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b")).distinct())
+    if now.count() <= small:
+        return now.repartition(1).mapInPandas(_search, "node long, component long")
     before = None
     for _ in range(most_rounds):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))

@@ -1 +1 @@
-
+"""No operator of this library is a stream: a run is one finite batch over a snapshot of the graph."""
