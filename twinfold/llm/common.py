@@ -20,6 +20,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that a kernel holds in numpy arrays at once (a single longer document is held whole).
 CHUNK_BYTES = 2_000_000
 
+#: Largest filter of hashes that is broadcast, as a power of 2 of bits (32 MB). A fuller one only lets more through.
+FILTER_BITS = 28
+
 _local: list[str] = []
 
 
@@ -158,3 +161,26 @@ def span_hashes(h: np.ndarray, width: int) -> np.ndarray:
         n = len(power) - size
         power = mix(power[:n] * _M1 + power[size:] + _M3)
         size *= 2
+
+
+class HashFilter:
+    """Whether a 64-bit hash may be in a column of a table: never a false no. Its bits are made where the table lies;
+    the broadcast has 16 bits for each row, and 2 ** FILTER_BITS at most."""
+
+    def __init__(self, table: DataFrame, column: str):
+        self.log = min(FILTER_BITS, max(16, int(16 * table.count()).bit_length()))
+        bit = F.shiftrightunsigned(column, 64 - self.log)
+        rows = table.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")).collect()
+        found = np.zeros((1 << self.log) // 8, np.uint8)
+        for r in rows:
+            found[r["part"] * 4096 : r["part"] * 4096 + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)[: len(found)]
+        self.sent = table.sparkSession.sparkContext.broadcast(found)
+
+    def reader(self) -> Callable[[np.ndarray], np.ndarray]:
+        sent, shift = self.sent, np.uint64(64 - self.log)
+
+        def may_hold(hashes: np.ndarray) -> np.ndarray:
+            bit = (hashes >> shift).astype(np.int64)
+            return (sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+        return may_hold

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import batch, combine, documents, drop_written, hashed_texts, mix, written
+from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, mix, written
 from twinfold.operators.components import connected_components
 
 SKETCH = 20
@@ -147,6 +147,25 @@ def _prefixes(width: int, lower: bool, percent: int, sent):
     return run
 
 
+def _entries(may_meet):
+    """A row for each shingle of a prefix that other prefixes may hold too."""
+    schema = pa.schema([("hash", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int32()), ("place", pa.int32()), ("sums", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            lists = b.column("prefix")
+            flat, lengths = lists.flatten().to_numpy(), lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            ends = np.cumsum(lengths)
+            hits = np.flatnonzero(may_meet(flat.view(np.uint64)))
+            row = np.searchsorted(ends, hits, "right")
+            for s in range(0, len(hits), 50_000):
+                h, r = hits[s : s + 50_000], row[s : s + 50_000]
+                at = pa.array(r)
+                yield batch(schema, flat[h], b.column("doc_id").take(at), b.column("n").take(at), (h - (ends - lengths)[r]).astype(np.int32), b.column("sums").take(at))
+
+    return run
+
+
 class Forest:
     """Union-find over 0 to n - 1."""
 
@@ -317,8 +336,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
 
     prefixes = docs.mapInArrow(_prefixes(width, lower, percent, sent), "doc_id long, n int, prefix array<long>, sums binary")
     prefixes = written(prefixes.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
-    met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1").select("hash", F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks")))
-    entries = prefixes.select("doc_id", "n", "sums", F.posexplode("prefix").alias("place", "hash")).join(met, "hash")
+    met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1"))
+    entries = prefixes.mapInArrow(_entries(HashFilter(met, "hash").reader()), "hash long, doc_id long, n int, place int, sums binary")
+    large = met.where(F.col("count") > BUCKET).select("hash", F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
+    entries = entries.join(large, "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     entries = _blocked(entries, "blocks", ("g1", "g2"), "own").select("hash", "g1", "g2", "doc_id", "n", "place", "sums")
     edges = entries.repartition("hash", "g1", "g2").sortWithinPartitions("hash", "g1", "g2").mapInArrow(_bucket_edges(percent), "i long, j long")
     groups = connected_components(edges, written)

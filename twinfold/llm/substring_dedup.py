@@ -24,10 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import batch, combine, documents, drop_written, hashed_texts, span_hashes, written
-
-#: Largest filter of recurring anchors that is broadcast, in bits (32 MB). A fuller filter only lets more rows through.
-FILTER_BITS = 28
+from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, span_hashes, written
 
 
 def blocks(h: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -84,30 +81,6 @@ def _anchor_rows(width: int, gram: int):
     return run
 
 
-class _Filter:
-    """Whether an anchor may be among those of a table; its bits are a broadcast of at most 2 ** FILTER_BITS."""
-
-    def __init__(self, table: DataFrame, condition=None):
-        spark = table.sparkSession
-        table = table if condition is None else table.where(condition)
-        self.log = min(FILTER_BITS, max(16, int(16 * table.count()).bit_length()))
-        bit = F.shiftrightunsigned("anchor", 64 - self.log)
-        rows = table.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")).collect()
-        found = np.zeros((1 << self.log) // 8, np.uint8)
-        for r in rows:
-            found[r["part"] * 4096 : r["part"] * 4096 + 4096] = np.frombuffer(bytes(r["bits"]), np.uint8)[: len(found)]
-        self.sent = spark.sparkContext.broadcast(found)
-
-    def reader(self):
-        sent, shift = self.sent, np.uint64(64 - self.log)
-
-        def may_hold(anchor: np.ndarray) -> np.ndarray:
-            bit = (anchor >> shift).astype(np.int64)
-            return (sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
-
-        return may_hold
-
-
 def _window_rows(width: int, gram: int, may_hold):
     schema = pa.schema([("context", pa.int64()), ("windows", pa.list_(pa.int64())), ("n", pa.int64())])
 
@@ -149,7 +122,7 @@ def duplicate_blocks(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFra
     anchors = docs.select("text").mapInArrow(_anchor_rows(width, gram), "anchor long, low long, high long, n long").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     recurring = written(anchors.where("n > 1").select("anchor", "low", (F.col("low") != F.col("high")).alias("varied")))
 
-    varied = _Filter(recurring, "varied")
+    varied = HashFilter(recurring.where("varied"), "anchor")
     windows = docs.select("text").mapInArrow(_window_rows(width, gram, varied.reader()), "context long, windows array<long>, n long").groupBy("context").agg(F.first("windows").alias("windows"), F.sum("n").alias("n"))
     windows = written(windows.select("context", "n", F.posexplode("windows").alias("place", "window")))
     twice = written(windows.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"))
@@ -158,7 +131,7 @@ def duplicate_blocks(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFra
     known = written(whole.unionByName(parts))
     drop_written(windows, twice)
 
-    every = _Filter(recurring)
+    every = HashFilter(recurring, "anchor")
     drop_written(recurring)
     found = docs.mapInArrow(_block_rows(width, gram, every.reader()), "context long, doc_id long, first int, n int").join(known, "context")
     bits = F.col("bits").bitwiseAND(F.expr("shiftleft(1L, n) - 1"))
