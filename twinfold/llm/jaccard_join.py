@@ -9,7 +9,9 @@ similarity is at least `percent` hundredths. The join finds the components of th
 3. Sets that link share a shingle within their prefixes. Representatives meet in the bucket of such a shingle and must
    pass the length filter, the positional filter, and a suffix filter: the sets' counts in PARTS parts differ by no
    more than the sets may. Survivors of a bucket are joined to groups by a spanning forest, not by pairs.
-4. Within a group every pair is verified once at most on whole sets; pairs that other links already join are skipped.
+4. Groups of more than one block are formed anew in the same way by finer counts, about FINE shingles a part, which
+   tell long sets apart as well as short ones.
+5. Within a group every pair is verified once at most on whole sets; pairs that other links already join are skipped.
 
 Buckets and groups of more than BUCKET and GROUP members are split in blocks, and each pair of blocks is a key of its
 own, so no task holds a whole bucket or group and no pair is lost.
@@ -38,6 +40,7 @@ SLICES = 64
 PARTS = 128
 BUCKET = 512
 GROUP = 64
+FINE = 4
 #: Most rows of a table of (document, group) that is broadcast, 16 bytes each.
 BROADCAST_ROWS = 500_000
 
@@ -277,6 +280,72 @@ def _group_sets(width: int, lower: bool):
     return run
 
 
+def fine_sums(s: np.ndarray) -> np.ndarray:
+    """Counts of a set in the power of two of parts that gives a part FINE to 2 * FINE shingles, modulo 256."""
+    parts = 1 << max(0, (len(s) // FINE).bit_length() - 1)
+    return np.bincount((s & np.uint64(parts - 1)).astype(np.int64), minlength=parts).astype(np.uint8)
+
+
+def folded(sums: np.ndarray, parts: int) -> np.ndarray:
+    """The same counts in fewer parts."""
+    return sums.reshape(-1, parts).sum(0, dtype=np.uint8)
+
+
+def _group_sums(width: int, lower: bool):
+    schema = pa.schema([("doc_id", pa.int64()), ("component", pa.int64()), ("blocks", pa.int32()), ("n", pa.int64()), ("sums", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for b in batches:
+            found = [(i, len(s), fine_sums(s).tobytes()) for i, s in _sets(b, width, lower)]
+            if found:
+                yield batch(schema, *(b.column(c) for c in schema.names[:3]), [n for _, n, _ in found], [x for *_, x in found])
+
+    return run
+
+
+def _alike(percent: int):
+    schema = pa.schema([("i", pa.int64()), ("j", pa.int64())])
+
+    def edges(docs: np.ndarray, blocks: np.ndarray, n: np.ndarray, sums: list[np.ndarray]):
+        parts, forest = np.array([len(x) for x in sums]), Forest(len(docs))
+        levels = {p: np.stack([folded(x, p) if len(x) >= p else np.zeros(p, np.uint8) for x in sums]) for p in set(parts.tolist())}
+        mixed = blocks.min() != blocks.max()
+        for i in range(len(docs) - 1):
+            near = (forest.label[i + 1 :] != forest.label[i]) & (100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :]))
+            if mixed:
+                near &= blocks[i + 1 :] != blocks[i]  # pairs within one block are another key's
+            others = np.flatnonzero(near) + i + 1
+            for p in set(np.minimum(parts[others], parts[i]).tolist()):
+                these = others[np.minimum(parts[others], parts[i]) == p]
+                apart = levels[p][these] - levels[p][i]
+                both = n[i] + n[these]
+                ok = np.minimum(apart, -apart).sum(1, dtype=np.int64) <= both - 2 * -(-both * percent // (100 + percent))
+                if ok.any():
+                    new = forest.join(i, these[ok])
+                    yield from ((docs[i], docs[j]) for j in new)
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        key, rows = None, []
+
+        def out():
+            docs, blocks, n, sums = zip(*rows, strict=True)
+            return list(edges(np.array(docs), np.array(blocks), np.array(n), [np.frombuffer(x, np.uint8) for x in sums]))
+
+        for b in batches:
+            found = []
+            for c, b1, b2, *row in zip(*(b.column(x).to_pylist() for x in ("component", "b1", "b2", "doc_id", "block", "n", "sums")), strict=True):
+                if (c, b1, b2) != key:
+                    found += out() if rows else []
+                    key, rows = (c, b1, b2), []
+                rows.append(row)
+            if found:
+                yield batch(schema, *zip(*found, strict=True))
+        if rows and (found := out()):
+            yield batch(schema, *zip(*found, strict=True))
+
+    return run
+
+
 def _verified(percent: int):
     schema = pa.schema([("i", pa.int64()), ("j", pa.int64())])
 
@@ -342,14 +411,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     entries = entries.join(large, "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     entries = _blocked(entries, "blocks", ("g1", "g2"), "own").select("hash", "g1", "g2", "doc_id", "n", "place", "sums")
     edges = entries.repartition("hash", "g1", "g2").sortWithinPartitions("hash", "g1", "g2").mapInArrow(_bucket_edges(percent), "i long, j long")
-    groups = connected_components(edges, written)
-    groups = written(groups.select(F.col("node").alias("doc_id"), "component"))
-    sizes = groups.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks"))
-    groups = written(groups.join(written(sizes), "component"))
-
-    held = docs.join(F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups, "doc_id").select("doc_id", "text", "component", "blocks")
-    held = held.mapInArrow(_group_sets(width, lower), "doc_id long, component long, blocks int, set array<long>")
     keys = ["component", "b1", "b2"]
+
+    def sized(found: DataFrame) -> DataFrame:
+        """doc_id, component, blocks of each member of a group."""
+        found = written(found.select(F.col("node").alias("doc_id"), "component"))
+        sizes = written(found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")))
+        return written(found.join(sizes, "component").select("doc_id", "component", "blocks"))
+
+    def texts(groups: DataFrame) -> DataFrame:
+        return docs.join(F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups, "doc_id").select("doc_id", "text", "component", "blocks")
+
+    groups = sized(connected_components(edges, written))
+    large = groups.where("blocks > 1")
+    if not large.isEmpty():
+        held = texts(large).mapInArrow(_group_sums(width, lower), "doc_id long, component long, blocks int, n long, sums binary")
+        held = _blocked(held, "blocks", ("b1", "b2"), "block").select(*keys, "doc_id", "block", "n", "sums")
+        finer = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_alike(percent), "i long, j long")
+        groups = written(groups.where("blocks = 1").unionByName(sized(connected_components(finer, written))))
+
+    held = texts(groups).mapInArrow(_group_sets(width, lower), "doc_id long, component long, blocks int, set array<long>")
     held = _blocked(held, "blocks", ("b1", "b2"), "block").select(*keys, "doc_id", "block", "set")
     links = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_verified(percent), "i long, j long")
     linked = written(connected_components(links, written))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from twinfold.llm import oracles
 from twinfold.llm.common import table
 from twinfold.llm.decontamination import scan
 from twinfold.llm.jaccard_join import jaccard_components
@@ -65,4 +66,10 @@ _ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_subs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
-ORACLE_SQL: dict[str, str] = {}
+#: The other operators learn, tokenize or pack: their tests compare them with brute force.
+ORACLE_SQL: dict[str, str] = {
+    "op1_decontamination": oracles.DECONTAMINATION,
+    "op4_substring_dedup": oracles.SUBSTRING_DEDUP,
+    "op6_jaccard_join": oracles.JACCARD_JOIN,
+    "op7_secret_scan": oracles.SECRET_SCAN,
+}
