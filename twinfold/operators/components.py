@@ -9,8 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Graphs of at most so many edges are searched by one task.
-SMALL = 10_000
+#: Graphs of at most so many edges (16 bytes each) are searched by one task, in a second; larger ones by rounds.
+SMALL = 200_000
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
