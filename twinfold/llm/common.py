@@ -165,11 +165,12 @@ def span_hashes(h: np.ndarray, width: int) -> np.ndarray:
 
 class HashFilter:
     """Whether a 64-bit hash may be in a column of a table: never a false no. Its bits are made where the table lies;
-    the broadcast has 16 bits for each row, and 2 ** FILTER_BITS at most."""
+    the broadcast has 32 to 64 bits for each row, and 2 ** FILTER_BITS at most. It goes by the hashes' low bits, as the
+    operators choose hashes by their high ones."""
 
     def __init__(self, table: DataFrame, column: str):
-        self.log = min(FILTER_BITS, max(16, int(16 * table.count()).bit_length()))
-        bit = F.shiftrightunsigned(column, 64 - self.log)
+        self.log = min(FILTER_BITS, max(16, int(32 * table.count()).bit_length()))
+        bit = F.col(column).bitwiseAND(F.lit((1 << self.log) - 1).cast("long"))
         rows = table.select(bit.alias("bit")).groupBy(F.shiftright("bit", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("bit").bitwiseAND(32767)).alias("bits")).collect()
         found = np.zeros((1 << self.log) // 8, np.uint8)
         for r in rows:
@@ -177,10 +178,10 @@ class HashFilter:
         self.sent = table.sparkSession.sparkContext.broadcast(found)
 
     def reader(self) -> Callable[[np.ndarray], np.ndarray]:
-        sent, shift = self.sent, np.uint64(64 - self.log)
+        sent, mask = self.sent, np.uint64((1 << self.log) - 1)
 
         def may_hold(hashes: np.ndarray) -> np.ndarray:
-            bit = (hashes >> shift).astype(np.int64)
+            bit = (hashes & mask).astype(np.int64)
             return (sent.value[bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
         return may_hold

@@ -41,7 +41,7 @@ PARTS = 128
 BUCKET = 512
 GROUP = 64
 FINE = 4
-#: Most rows of a table of (document, group) that is broadcast, 16 bytes each.
+#: Most rows of a table of groups or of large buckets that is broadcast, 12 to 20 bytes each.
 BROADCAST_ROWS = 500_000
 
 
@@ -408,7 +408,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1"))
     entries = prefixes.mapInArrow(_entries(HashFilter(met, "hash").reader()), "hash long, doc_id long, n int, place int, sums binary")
     large = met.where(F.col("count") > BUCKET).select("hash", F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
-    entries = entries.join(large, "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    entries = entries.join(F.broadcast(large) if large.count() <= BROADCAST_ROWS else large, "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     entries = _blocked(entries, "blocks", ("g1", "g2"), "own").select("hash", "g1", "g2", "doc_id", "n", "place", "sums")
     edges = entries.repartition("hash", "g1", "g2").sortWithinPartitions("hash", "g1", "g2").mapInArrow(_bucket_edges(percent), "i long, j long")
     keys = ["component", "b1", "b2"]
