@@ -95,12 +95,12 @@ def test_quality_estimates_equal_plain_concentration(spark):
     mean, cov = np.array([np.sort(z[:, k])[(len(z) + 1) // 2 - 1] for k in range(5)]), np.diag(Q.FLOOR)
     for step in range(5):
         d = np.einsum("ij,jk,ik->i", z - mean, np.linalg.inv(cov), z - mean)
-        bins = np.floor(np.log2(d + 1e-9) * 64)
+        bins = np.floor(np.log2(d + 1e-9) * Q.BINS)
         near = bins <= np.sort(bins)[int(np.ceil(0.75 * len(z))) - 1]
         if step < 4:
             mean = z[near].mean(0)
             cov = np.cov(z[near].T, bias=True) + np.diag(Q.FLOOR)
-    scale = max(1.0, 2 ** ((bins[near].max() + 1) / 64) / Q.CHI2_SHARE)
+    scale = max(1.0, 2 ** ((bins[near].max() + 1) / Q.BINS) / Q.CHI2_SHARE)
     assert np.allclose([got[i]["distance"] for i in range(312)], d / scale, rtol=1e-6)
 
 

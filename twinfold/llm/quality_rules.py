@@ -7,7 +7,7 @@ documents, new Mahalanobis distances, and again. A document whose squared distan
 scale of its group is rejected.
 
 A concentration step is one pass: sums for mean and covariance are aggregated by group and by bin of the distance
-(64 bins for each doubling), so the nearest share follows from counts of bins, ties go together, and a group of any
+(BINS for each doubling), so the nearest share follows from counts of bins, ties go together, and a group of any
 size is summed before anything is shuffled. Covariances get a floor on the diagonal, as many statistics are constant.
 
 Cases: null and empty texts have no words and fail the base rules; repeated rows get the same verdict; null languages
@@ -32,6 +32,8 @@ NOT_SYMBOL = r"[^#*$%&|<>]+"
 #: 0.75 quantile of chi-square with 5 degrees of freedom.
 CHI2_SHARE = 6.6257
 P = 5
+#: Bins of a distance for each doubling.
+BINS = 16
 #: Floors of the covariance's diagonal, in units of the transformed statistics.
 FLOOR = (0.04, 0.04, 0.0025, 0.02, 0.02)
 
@@ -91,7 +93,7 @@ def _distance() -> Column:
 
 
 def _bin(d: Column) -> Column:
-    return F.floor(F.log2(d + 1e-9) * 64).cast("int")
+    return F.floor(F.log2(d + 1e-9) * BINS).cast("int")
 
 
 def _estimate(sums: DataFrame) -> DataFrame:
@@ -114,12 +116,13 @@ def robust_estimates(stats: DataFrame, share: float = 0.75, steps: int = 4) -> D
     now = written(median.select(*keys, *(f"m{i}" for i in range(P)), *(c.alias(f"l{i}{j}") for c, (i, j) in zip(apart, _PAIRS, strict=True))))
     for step in range(steps + 1):
         z = [F.col(f"z{i}") for i in range(P)]
-        sums = stats.join(now, keys).withColumn("bin", _bin(_distance())).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"), *(F.sum(z[i]).alias(f"s{i}") for i in range(P)), *(F.sum(z[i] * z[j]).alias(f"p{i}{j}") for i, j in _PAIRS))
+        sums = stats.join(now, keys).withColumn("key", F.struct(*keys, _bin(_distance()).alias("bin"))).groupBy("key").agg(F.count(F.lit(1)).alias("n"), *(F.sum(z[i]).alias(f"s{i}") for i in range(P)), *(F.sum(z[i] * z[j]).alias(f"p{i}{j}") for i, j in _PAIRS))
+        sums = sums.select("key.*", *sums.columns[1:])  # by key first, so that a large group's sums are few rows
         group = Window.partitionBy(*keys)
         sums = sums.withColumn("total", F.sum("n").over(group)).withColumn("below", F.sum("n").over(group.orderBy("bin")) - F.col("n"))
         near = sums.where(F.col("below") < F.ceil(share * F.col("total")))
         if step == steps:
-            scale = near.groupBy(*keys).agg(F.max("bin").alias("bin"), F.max("total").alias("total")).select(*keys, "total", (F.pow(F.lit(2.0), (F.col("bin") + 1) / 64) / CHI2_SHARE).alias("scale"))
+            scale = near.groupBy(*keys).agg(F.max("bin").alias("bin"), F.max("total").alias("total")).select(*keys, "total", (F.pow(F.lit(2.0), (F.col("bin") + 1) / BINS) / CHI2_SHARE).alias("scale"))
             return written(now.join(scale, keys))
         following = written(_estimate(near.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"p{i}{j}").alias(f"p{i}{j}") for i, j in _PAIRS))))
         drop_written(now)
