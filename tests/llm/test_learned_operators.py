@@ -72,6 +72,11 @@ def test_decoding():
     assert {"you", "idiot", "stupid"} <= found
 
 
+def test_letters_beyond_the_alphabet_are_one():
+    model = toxicity.LanguageModel({"  \ufffd": 3, " \ufffd\ufffd": 2})
+    assert model.log_p(" ", " ", "漢") == model.log_p(" ", " ", "字") and model.decode("漢字") == "漢字"
+
+
 def test_disguised_words():
     assert toxicity.disguised("a 1d10t x, plain 2024 and s t u p i d") == ["1d10t", "stupid"]
     assert toxicity.disguised("") == [] and toxicity.disguised("| | |") == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from twinfold.llm.quality_rules import BINS, CHI2_SHARE, FLOOR, P
 from twinfold.llm.secret_scan import ACCESS, ASSIGN, RUN
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -70,3 +71,44 @@ SELECT t.doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (
        sha256({_said("rank < 3")}) AS base_sha256, {_said("rank IS NOT NULL")} AS spans,
        count(*) FILTER (WHERE rank < 3 AND live) AS n_live, count(*) FILTER (WHERE rank < 3 AND NOT live) AS n_copied
 FROM t LEFT JOIN kept USING (doc_id) GROUP BY t.doc_id"""
+
+
+def _quality_rules(share: float = 0.75, steps: int = 4, least: int = 100, cut: float = 30.0) -> str:
+    """The base rules, and the concentration steps one common table expression after the other."""
+    dims, pairs = range(P), [(i, j) for i in range(P) for j in range(i + 1)]
+    z = ["ln(1 + n_words)", "ln((1 + word_chars) / greatest(n_words, 1))", "sqrt(n_symbols / greatest(word_chars, 1))", "sqrt(n_dup_lines / greatest(n_lines, 1))", "sqrt(n_repeat_words / greatest(n_words, 1))"]
+    out = [
+        f"d AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t, {_WORDS} AS w FROM documents)",
+        "line AS (SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS x FROM d)",
+        "win AS (SELECT doc_id, i, array_to_string(w[i:i + 7], ' ') AS win FROM (SELECT doc_id, w, unnest(range(1, len(w) - 6)) AS i FROM d WHERE len(w) >= 8))",
+        "again AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 8)) AS p FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS c FROM win) WHERE c > 1) GROUP BY doc_id)",
+        "s AS (SELECT doc_id, lang, source, len(w)::bigint AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::bigint AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g'))::bigint AS n_symbols, (len(x) - len(list_distinct(x)))::bigint AS n_dup_lines, coalesce(n, 0)::bigint AS n_repeat_words, len(x)::bigint AS n_lines FROM d JOIN line USING (doc_id) LEFT JOIN again USING (doc_id))",
+        "b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM s)",
+        f"part AS (SELECT lang, source, CASE WHEN count(*) >= {least} THEN source ELSE 'rest of ' || lang END AS part FROM b WHERE NOT base_failed GROUP BY lang, source)",
+        f"v AS (SELECT b.*, part, {', '.join(f'{e} AS z{i}' for i, e in enumerate(z))} FROM b LEFT JOIN part USING (lang, source))",
+        "p AS (SELECT * FROM v WHERE NOT base_failed)",
+        f"e0 AS (SELECT lang, part, {', '.join(f'quantile_disc(z{i}, 0.5) AS m{i}' for i in dims)}, {', '.join(f'{FLOOR[i] ** 0.5 if i == j else 0.0!r}::double AS l{i}{j}' for i, j in pairs)} FROM p GROUP BY lang, part)",
+    ]
+    y = [f"(z{i} - m{i}" + "".join(f" - l{i}{j} * y{j}" for j in range(i)) + f") / l{i}{i} AS y{i}" for i in dims]
+    distance = f"{', '.join(y)}, {' + '.join(f'y{i} * y{i}' for i in dims)} AS dist"
+    for k in range(steps + 1):
+        out += [
+            f"d{k} AS (SELECT *, floor(log2(dist + 1e-9) * {BINS})::int AS bin FROM (SELECT lang, part, {', '.join(f'z{i}' for i in dims)}, {distance} FROM p JOIN e{k} USING (lang, part)))",
+            f"n{k} AS (SELECT lang, part, bin, sum(count(*)) OVER (PARTITION BY lang, part) AS total, sum(count(*)) OVER (PARTITION BY lang, part ORDER BY bin) - count(*) AS below FROM d{k} GROUP BY lang, part, bin)",
+            f"t{k} AS (SELECT lang, part, max(bin) AS bin, max(total) AS total FROM n{k} WHERE below < ceil({share} * total) GROUP BY lang, part)",
+        ]
+        if k < steps:
+            floors = ", ".join(f"greatest(avg(z{i} * z{i}) - avg(z{i}) * avg(z{i}), 0) + {FLOOR[i]} AS c{i}{i}" if i == j else f"avg(z{i} * z{j}) - avg(z{i}) * avg(z{j}) AS c{i}{j}" for i, j in pairs)
+            lower = []
+            for j in dims:
+                lower.append(f"sqrt(greatest(c{j}{j}" + "".join(f" - l{j}{q} * l{j}{q}" for q in range(j)) + f", 1e-6)) AS l{j}{j}")
+                lower += [f"(c{i}{j}" + "".join(f" - l{i}{q} * l{j}{q}" for q in range(j)) + f") / l{j}{j} AS l{i}{j}" for i in range(j + 1, P)]
+            out += [
+                f"c{k} AS (SELECT lang, part, {', '.join(f'avg(z{i}) AS m{i}' for i in dims)}, {floors} FROM d{k} JOIN t{k} USING (lang, part) WHERE d{k}.bin <= t{k}.bin GROUP BY lang, part)",
+                f"e{k + 1} AS (SELECT lang, part, {', '.join(f'm{i}' for i in dims)}, {', '.join(lower)} FROM c{k})",
+            ]
+    out.append(f"far AS (SELECT doc_id, dist / greatest(pow(2.0, (bin + 1) / {BINS}.0) / {CHI2_SHARE}, 1) AS far FROM (SELECT doc_id, lang, part, {distance} FROM p JOIN e{steps} USING (lang, part)) JOIN t{steps} USING (lang, part) WHERE total >= {least})")
+    return "WITH " + ",\n".join(out) + f"\nSELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(far, 0) <= {cut} AS kept FROM b LEFT JOIN far USING (doc_id)"
+
+
+QUALITY_RULES = _quality_rules()

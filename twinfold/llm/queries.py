@@ -69,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 #: The other operators learn, tokenize or pack: their tests compare them with brute force.
 ORACLE_SQL: dict[str, str] = {
     "op1_decontamination": oracles.DECONTAMINATION,
+    "op2_quality_rules": oracles.QUALITY_RULES,
     "op4_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_jaccard_join": oracles.JACCARD_JOIN,
     "op7_secret_scan": oracles.SECRET_SCAN,
