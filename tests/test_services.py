@@ -192,7 +192,7 @@ def test_endpoint_as_a_source(spark, store, tmp_path):
     got = spark.read.format("sparql_triples").option("endpoint", url).option("page_size", "2").option("user", "u").option("password", "p").load()
     assert got.rdd.getNumPartitions() == 3 and got.count() == 10 and {r["pos"] for r in got.collect()} == {0, 1}
     assert all(a and a.startswith("Basic ") for a, _ in seen)
-    log = str(tmp_path / "sparql.jsonl")
+    log = str(tmp_path / "job" / "sparql.jsonl")
     Endpoint(url, user="only", log=statement_log(log)).update("  INSERT DATA {} ")
     assert seen[-1] == (None, {"update": ["  INSERT DATA {} "]})
     line = json.loads(open(log).read())

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import json
+import os
 import urllib.parse
 import urllib.request
 from collections.abc import Callable, Iterator
@@ -51,7 +52,8 @@ class Endpoint:
 
 
 def statement_log(path: str) -> Log:
-    """Appends one JSON line for each statement: timestamp, operation, statement."""
+    """Appends one JSON line for each statement: timestamp, operation, statement. Makes the folder if there is none."""
+    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
 
     def log(operation: str, statement: str) -> None:
         with open(path, "a", encoding="utf-8") as f:
