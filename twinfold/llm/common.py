@@ -7,6 +7,9 @@ their names. A null text counts as an empty one unless an operator says otherwis
 from __future__ import annotations
 
 import atexit
+import contextlib
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
@@ -20,6 +23,9 @@ from pyspark.sql import functions as F
 #: Bytes of text that a kernel holds in numpy arrays at once (a single longer document is held whole).
 CHUNK_BYTES = 2_000_000
 
+#: Bytes of an Arrow batch between the JVM and Python (a single larger row is a batch).
+BATCH_BYTES = 8_000_000
+
 #: Largest filter of hashes that is broadcast, as a power of 2 of bits (32 MB). A fuller one only lets more through.
 FILTER_BITS = 28
 
@@ -53,7 +59,10 @@ def drop_written(*frames: DataFrame) -> None:
 
 
 def documents(df: DataFrame) -> DataFrame:
-    """doc_id and text alone; a null text becomes empty."""
+    """doc_id and text alone; a null text becomes empty. Bounds the session's Arrow batches to BATCH_BYTES."""
+    spark, name = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) <= BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
@@ -61,8 +70,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(function, schema)
+def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same function for mapInArrow; a worker gives memory back when its partition is done, as it lives on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # there is no such function outside glibc
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return run
 
 
 def batch(schema: str | pa.Schema, *columns) -> pa.RecordBatch:

@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, mix, written
+from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, mix, tidy, written
 from twinfold.operators.components import connected_components
 
 SKETCH = 20
@@ -122,7 +122,7 @@ def _frequencies(rows: DataFrame) -> np.ndarray:
     """The table of counters: summed by slice in two levels; 2 ** SKETCH numbers reach the driver."""
     for level in (256, 1):
         key = F.pmod("part", F.lit(level)).alias("part")
-        rows = rows.select("slice", key, "counts").repartition("slice", "part").sortWithinPartitions("slice", "part").mapInArrow(_added, "slice int, part int, counts binary")
+        rows = rows.select("slice", key, "counts").repartition("slice", "part").sortWithinPartitions("slice", "part").mapInArrow(tidy(_added), "slice int, part int, counts binary")
     out = np.zeros((SLICES, (1 << SKETCH) // SLICES), np.uint32)
     for r in rows.collect():
         out[r["slice"]] = np.frombuffer(zlib.decompress(bytes(r["counts"])), np.uint32)
@@ -398,19 +398,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     """doc_id, n_shingles, component_id (the smallest doc_id that links reach), one row for each row of docs."""
     spark = docs.sparkSession
     docs = documents(docs)
-    first = written(docs.mapInArrow(_signatures(width, lower), _ROWS))
+    first = written(docs.mapInArrow(tidy(_signatures(width, lower)), _ROWS))
     sets = first.where("slice is null").select("doc_id", "n", "k1", "k2")
     sent = spark.sparkContext.broadcast(_frequencies(first.where("slice is not null")))
     classes = written(sets.where("n > 0").groupBy("n", "k1", "k2").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
 
-    prefixes = docs.mapInArrow(_prefixes(width, lower, percent, sent), "doc_id long, n int, prefix array<long>, sums binary")
+    prefixes = docs.mapInArrow(tidy(_prefixes(width, lower, percent, sent)), "doc_id long, n int, prefix array<long>, sums binary")
     prefixes = written(prefixes.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
     met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1"))
-    entries = prefixes.mapInArrow(_entries(HashFilter(met, "hash").reader()), "hash long, doc_id long, n int, place int, sums binary")
+    entries = prefixes.mapInArrow(tidy(_entries(HashFilter(met, "hash").reader())), "hash long, doc_id long, n int, place int, sums binary")
     large = met.where(F.col("count") > BUCKET).select("hash", F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
     entries = entries.join(F.broadcast(large) if large.count() <= BROADCAST_ROWS else large, "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     entries = _blocked(entries, "blocks", ("g1", "g2"), "own").select("hash", "g1", "g2", "doc_id", "n", "place", "sums")
-    edges = entries.repartition("hash", "g1", "g2").sortWithinPartitions("hash", "g1", "g2").mapInArrow(_bucket_edges(percent), "i long, j long")
+    edges = entries.repartition("hash", "g1", "g2").sortWithinPartitions("hash", "g1", "g2").mapInArrow(tidy(_bucket_edges(percent)), "i long, j long")
     keys = ["component", "b1", "b2"]
 
     def sized(found: DataFrame) -> DataFrame:
@@ -425,14 +425,14 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     groups = sized(connected_components(edges, written))
     large = groups.where("blocks > 1")
     if not large.isEmpty():
-        held = texts(large).mapInArrow(_group_sums(width, lower), "doc_id long, component long, blocks int, n long, sums binary")
+        held = texts(large).mapInArrow(tidy(_group_sums(width, lower)), "doc_id long, component long, blocks int, n long, sums binary")
         held = _blocked(held, "blocks", ("b1", "b2"), "block").select(*keys, "doc_id", "block", "n", "sums")
-        finer = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_alike(percent), "i long, j long")
+        finer = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(_alike(percent)), "i long, j long")
         groups = written(groups.where("blocks = 1").unionByName(sized(connected_components(finer, written))))
 
-    held = texts(groups).mapInArrow(_group_sets(width, lower), "doc_id long, component long, blocks int, set array<long>")
+    held = texts(groups).mapInArrow(tidy(_group_sets(width, lower)), "doc_id long, component long, blocks int, set array<long>")
     held = _blocked(held, "blocks", ("b1", "b2"), "block").select(*keys, "doc_id", "block", "set")
-    links = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_verified(percent), "i long, j long")
+    links = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(_verified(percent)), "i long, j long")
     linked = written(connected_components(links, written))
 
     named = classes.select("n", "k1", "k2", "rep").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import batch, documents, written
+from twinfold.llm.common import batch, documents, tidy, written
 from twinfold.llm.tokens import Encoder
 
 Plan = list[tuple[int, tuple[int, ...]]]  # (number of sequences, lengths of the pieces in each)
@@ -145,7 +145,7 @@ def _pieces(path: str, end_id: int, size: int):
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of each piece of at most `size` ids; only longer documents are cut."""
-    return documents(docs).mapInArrow(_pieces(tokenizer_path, end_id, size), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return documents(docs).mapInArrow(tidy(_pieces(tokenizer_path, end_id, size)), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def _placed(sent):
@@ -173,7 +173,7 @@ def pack(pieces: DataFrame, size: int = 2048) -> DataFrame:
     tasks = sorted(ordered.groupBy(F.shiftright("at", 33).alias("part")).count().collect())
     parts, sizes = np.array([r["part"] for r in tasks], np.int64), np.array([r["count"] for r in tasks], np.int64)
     sent = spark.sparkContext.broadcast((parts, np.cumsum(sizes) - sizes, *_stretches(plan(counts, size), counts)))
-    return ordered.mapInArrow(_placed(sent), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    return ordered.mapInArrow(tidy(_placed(sent)), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
 
 
 def pattern_packing(docs: DataFrame, tokenizer_path: str, size: int = 2048, end_id: int = 0) -> DataFrame:

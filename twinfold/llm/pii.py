@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import batch, documents
+from twinfold.llm.common import batch, documents, tidy
 
 KINDS = ("email", "ip", "card", "phone", "local", "national", "account", "name")
 BASE = 4
@@ -207,7 +207,7 @@ def train(rows: list[tuple[str, str, int]], steps: int = 500) -> dict[str, float
 
 def classifier(docs: DataFrame) -> dict[str, float]:
     """Learned from all candidate spans of docs; only counts of combinations reach the driver."""
-    rows = documents(docs).select("text").mapInArrow(_count_rows, "votes string, features string, n long").groupBy("votes", "features").agg(F.sum("n").alias("n"))
+    rows = documents(docs).select("text").mapInArrow(tidy(_count_rows), "votes string, features string, n long").groupBy("votes", "features").agg(F.sum("n").alias("n"))
     return train(sorted((r["votes"], r["features"], r["n"]) for r in rows.collect()))
 
 
@@ -240,7 +240,7 @@ def _found(known: dict[str, float], cut: float):
 def pii_spans(docs: DataFrame, cut: float = 0.5) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans (kind:start:end), one row for each row of docs."""
     schema = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    return documents(docs).mapInArrow(_found(classifier(docs), cut), schema)
+    return documents(docs).mapInArrow(tidy(_found(classifier(docs), cut)), schema)
 
 
 def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -269,4 +269,4 @@ def mask_pii(docs: DataFrame, cut: float = 0.5, length: str | None = "n_chars")
                 b = b.set_column(i, b.schema.field(i), pa.array([None if t is None else len(t) for t in texts], b.schema.field(i).type))
             yield b
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, span_hashes, written
+from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, span_hashes, tidy, written
 
 
 def blocks(h: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -119,11 +119,11 @@ def _block_rows(width: int, gram: int, may_hold):
 def duplicate_blocks(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFrame:
     """doc_id, blocks: of each document with a duplicate window, an array of (first window, bits of its duplicate windows)."""
     docs = documents(docs)
-    anchors = docs.select("text").mapInArrow(_anchor_rows(width, gram), "anchor long, low long, high long, n long").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
+    anchors = docs.select("text").mapInArrow(tidy(_anchor_rows(width, gram)), "anchor long, low long, high long, n long").groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
     recurring = written(anchors.where("n > 1").select("anchor", "low", (F.col("low") != F.col("high")).alias("varied")))
 
     varied = HashFilter(recurring.where("varied"), "anchor")
-    windows = docs.select("text").mapInArrow(_window_rows(width, gram, varied.reader()), "context long, windows array<long>, n long").groupBy("context").agg(F.first("windows").alias("windows"), F.sum("n").alias("n"))
+    windows = docs.select("text").mapInArrow(tidy(_window_rows(width, gram, varied.reader())), "context long, windows array<long>, n long").groupBy("context").agg(F.first("windows").alias("windows"), F.sum("n").alias("n"))
     windows = written(windows.select("context", "n", F.posexplode("windows").alias("place", "window")))
     twice = written(windows.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"))
     parts = windows.join(twice, "window").groupBy("context").agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
@@ -133,7 +133,7 @@ def duplicate_blocks(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFra
 
     every = HashFilter(recurring, "anchor")
     drop_written(recurring)
-    found = docs.mapInArrow(_block_rows(width, gram, every.reader()), "context long, doc_id long, first int, n int").join(known, "context")
+    found = docs.mapInArrow(tidy(_block_rows(width, gram, every.reader())), "context long, doc_id long, first int, n int").join(known, "context")
     bits = F.col("bits").bitwiseAND(F.expr("shiftleft(1L, n) - 1"))
     return found.groupBy("doc_id").agg(F.collect_set(F.struct("first", bits.alias("bits"))).alias("blocks"))
 
@@ -182,4 +182,4 @@ def substring_dedup(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFram
     """doc_id, n_words, n_removed, kept_sha256, kept (the words that stay, joined by a space), factors (spans of words)."""
     found = duplicate_blocks(docs, width, gram)
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string, factors array<struct<start:long,length:long>>"
-    return documents(docs).join(found, "doc_id", "left").mapInArrow(_spans(width), schema)
+    return documents(docs).join(found, "doc_id", "left").mapInArrow(tidy(_spans(width)), schema)

@@ -21,7 +21,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from twinfold.llm.common import batch, documents
+from twinfold.llm.common import batch, documents, tidy
 from twinfold.llm.tokens import MEMO, pretokens
 
 
@@ -86,4 +86,4 @@ def _counts(path: str, shift: float):
 
 def token_counts(docs: DataFrame, vocabulary_path: str, shift: float = 10.0) -> DataFrame:
     """doc_id, n_pretokens, n_tokens."""
-    return documents(docs).mapInArrow(_counts(vocabulary_path, shift), "doc_id long, n_pretokens long, n_tokens long")
+    return documents(docs).mapInArrow(tidy(_counts(vocabulary_path, shift)), "doc_id long, n_pretokens long, n_tokens long")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.llm import frame_blocks
-from twinfold.llm.common import batch, documents, shared_folder
+from twinfold.llm.common import batch, documents, shared_folder, tidy
 from twinfold.llm.tokens import Encoder
 
 #: Ids of a file, unless one document has more.
@@ -49,6 +49,8 @@ def _writer(folder: str, path: str, end_id: int, file_ids: int):
             draft = f"{base}/.{name}-{task.taskAttemptId()}"
             with store.open_output_stream(draft) as f:
                 f.write(frame_blocks.encode(doc_ids, [len(t) // 4 for t in texts], ids))
+            if store.get_file_info(f"{base}/{name}").is_file:  # of an attempt that was lost; not every store overwrites
+                store.delete_file(f"{base}/{name}")
             store.move(draft, f"{base}/{name}")
             out = batch(schema, [name], [part], [len(doc_ids)], [len(ids)])
             doc_ids, texts, size, seq = [], [], 0, seq + 1
@@ -75,7 +77,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     store.create_dir(base, recursive=True)
     ordered = documents(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     schema = "file string, part long, n_docs long, n_ids long"
-    files = sorted(ordered.mapInArrow(_writer(folder, tokenizer_path, end_id, file_ids), schema).collect(), key=lambda r: r["file"])
+    files = sorted(ordered.mapInArrow(tidy(_writer(folder, tokenizer_path, end_id, file_ids)), schema).collect(), key=lambda r: r["file"])
     start, rows = 0, []
     for r in files:  # one row for each file, whatever its documents
         rows.append((r["file"], r["n_docs"], r["n_ids"], start))
@@ -100,7 +102,7 @@ def read_token_files(spark: SparkSession, folder: str, files: DataFrame) -> Data
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long, file string")
     rows = spark.read.format("binaryFile").option("pathGlobFilter", "*.pfb").load(folder).select("path", "content")
-    rows = rows.mapInArrow(_read, "file string, doc_id long, within long, n_tokens long, ids_crc32 long")
+    rows = rows.mapInArrow(tidy(_read), "file string, doc_id long, within long, n_tokens long, ids_crc32 long")
     return rows.join(files.select("file", "start"), "file").select("doc_id", (F.col("start") + F.col("within")).alias("start"), "n_tokens", "ids_crc32", "file")
 
 

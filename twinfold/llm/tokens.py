@@ -9,10 +9,10 @@ from collections.abc import Callable
 #: How this public vocabulary splits text into pre-tokens (the library's own pattern, and that pattern
 #: for texts of the characters below only, where both split alike).
 PLAIN_CHARS = "\t\n\r\x20-\x7e¡-ɏ‐-‧"
-PLAIN_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+| ?[^\sA-Za-z0-9ª²³µ¹º¼-¾À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+"
+PLAIN_SPLIT = r" ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+|'(?:[stmd]|re|ve|ll)| ?[^\sA-Za-z0-9ª²³µ¹º¼-¾À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+"
 
 #: Pre-tokens that a worker remembers in each of two generations (about 200 bytes each).
-MEMO = 300_000
+MEMO = 250_000
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:
@@ -40,17 +40,14 @@ def byte_letters() -> dict[int, str]:
 class Memo(dict):
     """A function's values by argument, in two generations: when the young one is full, the old one goes."""
 
-    def __init__(self, function: Callable[[str], bytes]):
-        self.function, self.old = function, {}
+    def __init__(self, function: Callable[[str], object], most: int | None = None):
+        self.function, self.most, self.old = function, most or MEMO, {}
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= MEMO:
+    def __missing__(self, key: str) -> object:
+        if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
-        value = self.old.get(key)
-        if value is None:
-            value = self.function(key)
-        self[key] = value
+        value = self[key] = self.old[key] if key in self.old else self.function(key)
         return value
 
 
@@ -68,13 +65,13 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.odd = re.compile("|".join([f"[^{PLAIN_CHARS}]", *added])).search
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = re.compile(f"[^{PLAIN_CHARS}]").search
         self.split = re.compile(PLAIN_SPLIT).findall
         tokenize, letters = self.tokenizer.model.tokenize, byte_letters()
         self.memo = Memo(lambda part: array("I", [t.id for t in tokenize(part.encode().decode("latin-1").translate(letters))]).tobytes())
 
     def encode(self, text: str) -> bytes:
-        if self.odd(text):
+        if self.odd(text) or any(t in text for t in self.added):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.memo.__getitem__, self.split(text)))
