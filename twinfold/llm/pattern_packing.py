@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import batch, documents, tidy, written
-from twinfold.llm.tokens import Encoder
+from twinfold.llm.tokens import encoder
 
 Plan = list[tuple[int, tuple[int, ...]]]  # (number of sequences, lengths of the pieces in each)
 
@@ -128,11 +128,11 @@ def _pieces(path: str, end_id: int, size: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]):
-        encoder = Encoder(path)
+        ids_of = encoder(path).encode
         for b in batches:
             out = []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                ids = memoryview(encoder.encode(text.as_py()) + end)
+                ids = memoryview(ids_of(text.as_py()) + end)
                 n = len(ids) // 4
                 cuts = [0, *range(n % size or min(size, n), n + 1, size)]
                 for piece, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):

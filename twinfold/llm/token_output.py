@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from twinfold.llm import frame_blocks
 from twinfold.llm.common import batch, documents, shared_folder, tidy
-from twinfold.llm.tokens import Encoder
+from twinfold.llm.tokens import encoder
 
 #: Ids of a file, unless one document has more.
 FILE_IDS = 4_000_000
@@ -39,7 +39,7 @@ def _writer(folder: str, path: str, end_id: int, file_ids: int):
 
     def run(batches: Iterator[pa.RecordBatch]):
         store, base = _store(folder)
-        encoder, task = Encoder(path), TaskContext.get()
+        ids_of, task = encoder(path).encode, TaskContext.get()
         part, doc_ids, texts, size, seq = task.partitionId(), [], [], 0, 0
 
         def flush():
@@ -58,7 +58,7 @@ def _writer(folder: str, path: str, end_id: int, file_ids: int):
 
         for b in batches:
             for doc_id, text in zip(b.column("doc_id"), b.column("text"), strict=True):
-                ids = encoder.encode(text.as_py()) + end
+                ids = ids_of(text.as_py()) + end
                 if size and size + len(ids) > 4 * file_ids:
                     yield flush()
                 doc_ids.append(_LEAST if doc_id.as_py() is None else doc_id.as_py())

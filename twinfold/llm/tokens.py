@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Callable
+from functools import lru_cache
 
 #: How this public vocabulary splits text into pre-tokens (the library's own pattern, and that pattern
 #: for texts of the characters below only, where both split alike).
@@ -75,3 +76,9 @@ class Encoder:
         if self.odd(text) or any(t in text for t in self.added):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         return b"".join(map(self.memo.__getitem__, self.split(text)))
+
+
+@lru_cache(1)
+def encoder(path: str) -> Encoder:
+    """One for each process, so that what a worker remembers serves its next partition."""
+    return Encoder(path)
