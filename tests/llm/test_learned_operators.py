@@ -68,7 +68,7 @@ def test_decoding():
     model = toxicity.LanguageModel(grams)
     for seen, meant in {"1d10t": "idiot", "idi0t": "idiot", "stuuupid": "stupid", "5tup1d": "stupid", "tr@sh": "trash", "m0r0n": "moron", "l0$er": "loser", "letter": "letter"}.items():
         assert model.decode(seen) == meant
-    found = toxicity.restorer(model, toxicity.word_features)("You i d i o t, s.t.u.p.i.d 1d10t!")
+    found = toxicity.restorer(model)("You i d i o t, s.t.u.p.i.d 1d10t!")
     assert {"you", "idiot", "stupid"} <= found
 
 
@@ -77,6 +77,10 @@ def test_letters_beyond_the_alphabet_are_one():
     assert model.log_p(" ", " ", "漢") == model.log_p(" ", " ", "字") and model.decode("漢字") == "漢字"
 
 
+def test_letters_three_times_in_a_row():
+    assert toxicity.tripled("a bééé") and toxicity.tripled("xyyyz") and not toxicity.tripled("aab  c 0000 ... éé") and not toxicity.tripled("")
+
+
 def test_disguised_words():
     assert toxicity.disguised("a 1d10t x, plain 2024 and s t u p i d") == ["1d10t", "stupid"]
     assert toxicity.disguised("") == [] and toxicity.disguised("| | |") == []
