@@ -81,6 +81,28 @@ def test_letters_three_times_in_a_row():
     assert toxicity.tripled("a bééé") and toxicity.tripled("xyyyz") and not toxicity.tripled("aab  c 0000 ... éé") and not toxicity.tripled("")
 
 
+def grams_of(words):
+    grams = {}
+    for w in words:
+        w = f"  {w} "
+        for i in range(len(w) - 2):
+            grams[w[i : i + 3]] = grams.get(w[i : i + 3], 0) + 1
+    return grams
+
+
+def test_words_of_any_length():
+    model = toxicity.LanguageModel(grams_of(["idiot"] * 60 + ["stupid"] * 60 + "the that and this with trash moron loser worthless then tree letter silly still".split() * 10))
+    found = toxicity.restorer(model)
+    for seen, meant in {"st" + "u" * 35 + "pid": "stupid", "id1" + "o" * 30 + "t": "idiot", "1d" + "i" * 500 + "0t": "idiot", "stup1d_m0r0n_l0ser_w0rthless_tr4sh": "stupid moron loser worthless trash"}.items():
+        assert set(meant.split()) <= found(f"you {seen}, the"), seen
+    assert model.decode("1d10t_" * 5_000).split() == ["idiot"] * 5_000
+
+
+def test_language_model_counts_whole_words(spark):
+    model = toxicity.language_model(awkward(spark, ["ab" * 30 + "xyz"]))
+    assert model.three["xyz"] == 1 and model.three["yz "] == 1
+
+
 def test_disguised_words():
     assert toxicity.disguised("a 1d10t x, plain 2024 and s t u p i d") == ["1d10t", "stupid"]
     assert toxicity.disguised("") == [] and toxicity.disguised("| | |") == []

@@ -33,12 +33,14 @@ from twinfold.llm.tokens import Memo
 # What a character may stand for, besides itself.
 CHANNEL = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "*": "aeiou"}
 _MARKS = re.escape("".join(c for c in CHANNEL if not c.isdigit()))
-#: Where a stand-in touches a letter, a word may be disguised; its characters are letters, digits and stand-ins.
+#: Where a stand-in touches a letter, a word may be disguised; its characters are letters, digits and stand-ins, and _
+#: joins such words.
 STAND_IN = re.compile(rf"[0-9{_MARKS}]+")
 DISGUISED = re.compile(rf"[\w{_MARKS}]+")
-LONGEST = 30
+REMEMBERED = 100  # letters of a word whose decoding is worth remembering; longer ones are decoded each time
 OTHER = re.compile("[\u0180-\U0010ffff]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
+STRETCHED = re.compile(r"(.)\1\1+", re.DOTALL)
 #: Single letters set apart by the same mark, three and more; and a quick test for them.
 SPACED = re.compile(r"(?<![^\s.,;:])[^\W\d_]([ .\-_*])[^\W_](?:\1[^\W_]){1,20}(?![^\s.,;:])")
 APART = re.compile(r"[ .\-_*][^\W_][ .\-_*][^\W_](?:[ .,;:\-_*]|$)")
@@ -74,31 +76,48 @@ class LanguageModel:
         return p
 
     def decode(self, seen: str) -> str:
-        """The likeliest letters behind a disguised word."""
+        """The likeliest letters behind a disguised word of any length. An underscore is an edge of words."""
         groups, i = [], 0  # of one character: what it may be, and how often in a row it stands
         while i < len(seen):
             j = i
             while j < len(seen) and seen[j] == seen[i]:
                 j += 1
             c = seen[i]
-            choices = [(c, 0.0)] if c.isalpha() else [] if c in CHANNEL else [(c, 0.0)]
-            choices += [(x, COST) for x in CHANNEL.get(c, "")]
-            lengths = [(1, 0.0)] if j - i == 1 else [(1, 0.5), (2, 0.5)]
-            groups.append([(x * n, cost * min(j - i, 2) + more) for x, cost in choices for n, more in lengths])
+            if c == "_":
+                groups.append([(" ", 0.0)])
+            else:
+                choices = [(c, 0.0)] if c.isalpha() else [] if c in CHANNEL else [(c, 0.0)]
+                choices += [(x, COST) for x in CHANNEL.get(c, "")]
+                lengths = [(1, 0.0)] if j - i == 1 else [(1, 0.5), (2, 0.5)]
+                groups.append([(x * n, cost * min(j - i, 2) + more) for x, cost in choices for n, more in lengths])
             i = j
-        paths = {("", " ", " "): 0.0}  # text so far, its last two letters
+        return self._likeliest(groups)
+
+    def _likeliest(self, groups: list[list[tuple[str, float]]]) -> str:
+        """The path of highest probability that takes one of each group's (letters, cost); a space is an edge of words.
+        Paths share their beginnings, so time and memory grow with the number of groups alone."""
+        paths: dict[tuple[str, str], tuple[float, tuple | None]] = {(" ", " "): (0.0, None)}  # by the last two letters
         for choices in groups:
-            new: dict[tuple[str, str], tuple[float, str]] = {}
-            for (text, a, b), p in paths.items():
+            new: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+            for (a, b), (p, before) in paths.items():
                 for letters, cost in choices:
                     x, y, q = a, b, p - cost
                     for c in letters:
-                        q += self.log_p(x, y, c)
-                        x, y = y, c
+                        if c != " ":
+                            q += self.log_p(x, y, c)
+                            x, y = y, c
+                        elif y != " ":
+                            q += self.log_p(x, y, c)
+                            x = y = c
                     if (x, y) not in new or q > new[x, y][0]:
-                        new[x, y] = (q, text + letters)
-            paths = {(text, *end): q for end, (q, text) in new.items()}
-        return max(paths.items(), key=lambda r: (r[1] + self.log_p(r[0][1], r[0][2], " "), r[0]))[0][0]
+                        new[x, y] = (q, (before, letters))
+            paths = new
+        _, (_, path) = max(paths.items(), key=lambda r: (r[1][0] + (self.log_p(*r[0], " ") if r[0][1] != " " else 0.0), r[0]))
+        out = []
+        while path is not None:
+            path, letters = path
+            out.append(letters)
+        return "".join(reversed(out))
 
 
 def disguised(text: str) -> list[str]:
@@ -108,10 +127,10 @@ def disguised(text: str) -> list[str]:
         a, b = m.span()
         if a >= end and (text[a - 1 : a].isalpha() or text[b : b + 1].isalpha()):
             s = a
-            while s > end and a - s <= LONGEST and (text[s - 1].isalnum() or text[s - 1] in CHANNEL):
+            while s > end and (text[s - 1].isalnum() or text[s - 1] in CHANNEL):
                 s -= 1
             end = DISGUISED.match(text, s).end()
-            if 3 <= end - s <= LONGEST:
+            if end - s >= 3:
                 out.append(text[s:end])
     if APART.search(text):
         out += [m[0].replace(m[1], "") for m in SPACED.finditer(text)]
@@ -125,7 +144,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]):
         found: Counter = Counter()
         for w, n in words.items():
             if len(w) > 1 and not REPEATED.search(w):
-                w = f"  {OTHER.sub('\ufffd', w[:40])} "
+                w = f"  {OTHER.sub('\ufffd', w)} "
                 for i in range(len(w) - 2):
                     found[w[i : i + 3]] += n
         return batch(schema, list(found), list(found.values()))
@@ -156,13 +175,17 @@ def restorer(model: LanguageModel) -> Callable[[str], set[str]]:
     """A function from a text to its distinct restored words."""
     decoded = Memo(model.decode, 50_000)
 
+    def decode(word: str) -> str:
+        word = STRETCHED.sub(r"\1\1", word)  # decodes to the same
+        return decoded[word] if len(word) <= REMEMBERED else model.decode(word)
+
     def words(text: str) -> set[str]:
         text = text.lower()
         found = set(WORD.findall(text))
         if tripled(text):
-            found = {decoded[w[:LONGEST]] if REPEATED.search(w) else w for w in found}
+            found = {decode(w) if REPEATED.search(w) else w for w in found}
         for w in disguised(text):
-            found.update(WORD.findall(decoded[w]))
+            found.update(WORD.findall(decode(w)))
         return found
 
     return words
