@@ -98,9 +98,26 @@ def test_words_of_any_length():
     assert model.decode("1d10t_" * 5_000).split() == ["idiot"] * 5_000
 
 
+def test_letters_set_apart_begin_words_anywhere():
+    words = {w: 60 for w in "idiot stupid moron loser worthless".split()} | {w: 10 for w in "the that and this with man".split()}
+    trigrams = grams_of([w for w, n in words.items() for _ in range(n)]) | {"  a": 200, " a ": 150}
+    for model in (toxicity.LanguageModel(trigrams, words | {"a": 150}), toxicity.LanguageModel(trigrams)):
+        found = toxicity.restorer(model)
+        for seen in ("s t u p ! d", "$ t u p i d", "s  t  u  p  i  d", "s t * p i d", "(s.t.u.p.i.d)", "s t u u u u p i d", "s t u p i d!", "s - t - u - p - i - d"):
+            assert "stupid" in found(f"the {seen} man"), seen
+        assert {"idiot", "stupid"} <= found("1 d i o t   s t u p i d")
+    found = toxicity.restorer(toxicity.LanguageModel(trigrams, words | {"a": 150}))
+    assert {"a", "stupid"} <= found("this a s t u p i d man")
+    assert {"idiot", "stupid"} <= found("i d i o t s t u p i d")
+    assert {"moron", "worthless", "stupid", "loser"} <= found("-".join("moronworthlessstupidloser"))
+    assert toxicity.set_apart("1 2 3 4, a b") == [] and toxicity.set_apart("a b c  d") == ["abc d"]
+
+
 def test_language_model_counts_whole_words(spark):
     model = toxicity.language_model(awkward(spark, ["ab" * 30 + "xyz"]))
     assert model.three["xyz"] == 1 and model.three["yz "] == 1
+    model = toxicity.language_model(awkward(spark, ["see a man, see a man i d i o t"]))
+    assert model.words == {"see": 2, "a": 2, "man": 2}
 
 
 def test_disguised_words():

@@ -5,7 +5,7 @@
    2 million trigrams, can come together. Words with a letter three times in a row are left out of the counts.
 2. Disguised words are decoded: digits and symbols that stand for letters, letters repeated three times and more, and
    single letters set apart by spaces or marks form a lattice of letters, and Viterbi search takes the path of highest
-   probability under the channel and the language model.
+   probability under the channel and the language model. Between letters set apart there may be an edge of words.
 3. Restored texts are scored by a logistic regression over words and word beginnings. It is fitted to the `sample`
    labelled documents with the smallest hashes of their ids: features are the words whose documents of either label
    differ beyond chance (log-likelihood ratio at least `least`), and never a language, source or id.
@@ -41,18 +41,27 @@ REMEMBERED = 100  # letters of a word whose decoding is worth remembering; longe
 OTHER = re.compile("[\u0180-\U0010ffff]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 STRETCHED = re.compile(r"(.)\1\1+", re.DOTALL)
-#: Single letters set apart by the same mark, three and more; and a quick test for them.
-SPACED = re.compile(r"(?<![^\s.,;:])[^\W\d_]([ .\-_*])[^\W_](?:\1[^\W_]){1,20}(?![^\s.,;:])")
-APART = re.compile(r"[ .\-_*][^\W_][ .\-_*][^\W_](?:[ .,;:\-_*]|$)")
+#: Single letters, digits and stand-ins set apart by marks, three and more; and a quick test for them. A * between other
+#: marks, or before or after all, may be a stand-in or a mark.
+_ONE = r"(?:[^\W_]|[@$!|+€])"
+_ENDS = r"(?=[!?]*(?:[\s.,;:\-_*)\]\"'»”’/]|$))"
+SPACED = re.compile(rf"(?<![^\s.,;:\-_*(\[\"'«“‘/])(?:\*[ .\-_]++)?{_ONE}{_ENDS}(?:[ .\-_*]++{_ONE}{_ENDS}){{2,}}+(?:[ .\-_]++\*(?![^\s.,;:]))?")
+APART = re.compile(rf"[ .\-_*]{_ONE}[ .\-_*]++{_ONE}(?![^\W_])")
+SEPARATOR = re.compile(r"([ .\-_]+)")
+#: A word of one letter, if more than a letter stands before it.
+SINGLE = re.compile(r" ([^\W\d_])(?= [^\W\d_]{2})")
 WORD = re.compile(r"[^\W\d_]+")
 COST = 3.0  # of a stand-in, in nats
+WHOLE = "="  # before a word among the counts of trigrams
+EDGE = 3.0  # of an edge of words between letters set apart, or of none where they stand further apart, in nats
 PREFIX = 4  # letters of a word's beginning that is a feature
 
 
 class LanguageModel:
-    """log_p(a, b, c): of letter c after a and b; from counts of trigrams (a space is the edge of a word)."""
+    """log_p(a, b, c): of letter c after a and b; from counts of trigrams (a space is the edge of a word). The counts of
+    frequent words help to part words whose letters stand apart; other words are parted by trigrams."""
 
-    def __init__(self, trigrams: dict[str, int]):
+    def __init__(self, trigrams: dict[str, int], words: dict[str, int] | None = None):
         two, one, base = Counter(), Counter(), Counter()
         for t, n in trigrams.items():
             two[t[:2]] += n
@@ -64,6 +73,7 @@ class LanguageModel:
             self.mid[t[0]] += n
         self.total, self.kinds = sum(base.values()), len(base) + 1
         self.known: dict[tuple[str, str, str], float] = {}
+        self.words, self.begun = words or {}, None
 
     def log_p(self, a: str, b: str, c: str) -> float:
         a, b, c = key = tuple(OTHER.sub("\ufffd", x) for x in (a, b, c)) if max(a, b, c) > "\u017f" else (a, b, c)
@@ -75,29 +85,66 @@ class LanguageModel:
                 self.known[key] = p
         return p
 
-    def decode(self, seen: str) -> str:
-        """The likeliest letters behind a disguised word of any length. An underscore is an edge of words."""
+    def decode(self, seen: str, apart: bool = False) -> str:
+        """The likeliest letters behind a disguised word of any length. An underscore is an edge of words. Of letters
+        set `apart`, any may begin a word, and those after a space in `seen` are likely to."""
         groups, i = [], 0  # of one character: what it may be, and how often in a row it stands
         while i < len(seen):
             j = i
             while j < len(seen) and seen[j] == seen[i]:
                 j += 1
             c = seen[i]
-            if c == "_":
+            if c == "_" and not apart:
                 groups.append([(" ", 0.0)])
+            elif c == " ":
+                groups.append([(" ", 0.0), ("", EDGE)])
             else:
                 choices = [(c, 0.0)] if c.isalpha() else [] if c in CHANNEL else [(c, 0.0)]
                 choices += [(x, COST) for x in CHANNEL.get(c, "")]
-                lengths = [(1, 0.0)] if j - i == 1 else [(1, 0.5), (2, 0.5)]
-                groups.append([(x * n, cost * min(j - i, 2) + more) for x, cost in choices for n, more in lengths])
+                if apart:  # an edge may lie between equal characters too, and all but the first may be stretching
+                    for k in range(i, j):
+                        if k and seen[k - 1] != " ":
+                            groups.append([("", 0.0), (" ", EDGE)])
+                        gone = [("", 0.5 * (k == i + 1))] if k > i else [("", COST)] if c == "*" else []
+                        groups.append(choices + gone)
+                else:
+                    lengths = [(1, 0.0)] if j - i == 1 else [(1, 0.5), (2, 0.5)]
+                    groups.append([(x * n, cost * min(j - i, 2) + more) for x, cost in choices for n, more in lengths])
             i = j
-        return self._likeliest(groups)
-
-    def _likeliest(self, groups: list[list[tuple[str, float]]]) -> str:
+        return self._likeliest(groups, apart)
+
+    def beginnings(self) -> dict[str, float | None]:
+        """Every beginning of a frequent word, with its logarithmic share of all words if it is one itself."""
+        if self.begun is None:
+            total, self.begun = math.log(sum(self.words.values()) or 1), {}
+            for w, n in self.words.items():
+                for i in range(1, len(w)):
+                    self.begun.setdefault(w[:i], None)
+                self.begun[w] = math.log(n) - total
+        return self.begun
+
+    def _likeliest(self, groups: list[list[tuple[str, float]]], words: bool = False) -> str:
         """The path of highest probability that takes one of each group's (letters, cost); a space is an edge of words.
         Paths share their beginnings, so time and memory grow with the number of groups alone."""
         paths: dict[tuple[str, str], tuple[float, tuple | None]] = {(" ", " "): (0.0, None)}  # by the last two letters
-        for choices in groups:
+        edge, begun = (" ", " "), self.beginnings() if words else {}
+        arrived: dict[int, tuple[float, tuple | None]] = {}  # by groups used: the best path that ends in a frequent word
+        for k, choices in enumerate(groups):
+            if begun and edge in paths:
+                start, before = paths[edge]
+                open_words, end = {"": start}, k
+                while open_words and end < len(groups):
+                    longer: dict[str, float] = {}
+                    for w, p in open_words.items():
+                        for letters, cost in groups[end]:
+                            x, q = w + letters, p - cost
+                            if (x in begun or not x) and q > longer.get(x, -math.inf):
+                                longer[x] = q
+                    open_words, end = longer, end + 1
+                    open_words.pop("", None)
+                    for w, q in open_words.items():
+                        if begun[w] is not None and (end not in arrived or q + begun[w] > arrived[end][0]):
+                            arrived[end] = (q + begun[w], (before, w + " "))
             new: dict[tuple[str, str], tuple[float, tuple | None]] = {}
             for (a, b), (p, before) in paths.items():
                 for letters, cost in choices:
@@ -112,6 +159,8 @@ class LanguageModel:
                     if (x, y) not in new or q > new[x, y][0]:
                         new[x, y] = (q, (before, letters))
             paths = new
+            if (found := arrived.pop(k + 1, None)) and (edge not in paths or found[0] > paths[edge][0]):
+                paths[edge] = found
         _, (_, path) = max(paths.items(), key=lambda r: (r[1][0] + (self.log_p(*r[0], " ") if r[0][1] != " " else 0.0), r[0]))
         out = []
         while path is not None:
@@ -120,8 +169,8 @@ class LanguageModel:
         return "".join(reversed(out))
 
 
-def disguised(text: str) -> list[str]:
-    """Words of a text in small letters that mix letters and stand-ins, or whose letters stand apart."""
+def mixed(text: str) -> list[str]:
+    """Words of a text in small letters that mix letters and stand-ins."""
     out, end = [], 0
     for m in STAND_IN.finditer(text):
         a, b = m.span()
@@ -132,37 +181,77 @@ def disguised(text: str) -> list[str]:
             end = DISGUISED.match(text, s).end()
             if end - s >= 3:
                 out.append(text[s:end])
+    return out
+
+
+def set_apart(text: str) -> list[str]:
+    """Runs of single letters that stand apart, without what is between them, but with a space where that is longer than
+    elsewhere in the run."""
+    out = []
     if APART.search(text):
-        out += [m[0].replace(m[1], "") for m in SPACED.finditer(text)]
+        for m in SPACED.finditer(text):
+            ones, gaps = [], []  # the characters, and how much stands before each
+            for i, part in enumerate(SEPARATOR.split(m[0])):
+                if i % 2:
+                    gap = len(part)
+                elif not part.strip("*"):
+                    ones.append("*")
+                    gaps.append(gap if i else 0)
+                else:
+                    kept = [(n, c) for n, c in enumerate(part) if c != "*"]
+                    ones += [c for _, c in kept]
+                    gaps += [(n + gap if i else n) if k == 0 else n - kept[k - 1][0] - 1 for k, (n, _) in enumerate(kept)]
+            if any(c.isalpha() for c in ones):
+                least = min(gaps[1:])
+                out.append(ones[0] + "".join(" " * (g > least) + c for g, c in zip(gaps[1:], ones[1:], strict=True)))
     return out
 
 
+def disguised(text: str) -> list[str]:
+    """Words of a text in small letters that mix letters and stand-ins, or whose letters stand apart."""
+    return mixed(text) + set_apart(text)
+
+
 def _trigrams(batches: Iterator[pa.RecordBatch]):
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
 
-    def out(words: Counter):
+    def out(words: Counter, alone: Counter):
         found: Counter = Counter()
+        for w, n in alone.items():
+            w = OTHER.sub("\ufffd", w)
+            found[f"  {w}"] += n
+            found[f" {w} "] += n
+            found[WHOLE + w] += n
         for w, n in words.items():
             if len(w) > 1 and not REPEATED.search(w):
+                if len(w) <= REMEMBERED:
+                    found[WHOLE + w] += n
                 w = f"  {OTHER.sub('\ufffd', w)} "
                 for i in range(len(w) - 2):
                     found[w[i : i + 3]] += n
         return batch(schema, list(found), list(found.values()))
 
     for b in batches:
-        words: Counter = Counter()
+        words, alone = Counter(), Counter()
         for text in b.column("text"):
-            words.update(WORD.findall(text.as_py().lower()))
+            text = text.as_py().lower()
+            words.update(WORD.findall(text))
+            alone.update(m[1] for m in SINGLE.finditer(text) if m.start() > 1 and text[m.start() - 2 : m.start()].isalpha())
             if len(words) > 300_000:
-                yield out(words)
-                words = Counter()
-        yield out(words)
+                yield out(words, alone)
+                words, alone = Counter(), Counter()
+        yield out(words, alone)
 
 
-def language_model(docs: DataFrame) -> LanguageModel:
-    """From all words of all texts."""
+def language_model(docs: DataFrame, words: int = 20_000) -> LanguageModel:
+    """From all words of all texts; whole words, of which the most frequent are kept, only part letters set apart."""
     rows = documents(docs).select("text").mapInArrow(tidy(_trigrams), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    return LanguageModel({r["gram"]: r["n"] for r in rows.collect()})
+    rows = written(rows)
+    whole = F.col("gram").startswith(WHOLE)
+    trigrams = {r["gram"]: r["n"] for r in rows.where(~whole).collect()}
+    best = {r["gram"][1:]: r["n"] for r in rows.where(whole).orderBy(F.desc("n"), "gram").limit(words).collect()}
+    drop_written(rows)
+    return LanguageModel(trigrams, best)
 
 
 def tripled(text: str) -> bool:
@@ -173,7 +262,7 @@ def tripled(text: str) -> bool:
 
 def restorer(model: LanguageModel) -> Callable[[str], set[str]]:
     """A function from a text to its distinct restored words."""
-    decoded = Memo(model.decode, 50_000)
+    decoded, joined = Memo(model.decode, 50_000), Memo(lambda run: model.decode(run, True), 10_000)
 
     def decode(word: str) -> str:
         word = STRETCHED.sub(r"\1\1", word)  # decodes to the same
@@ -184,8 +273,10 @@ def restorer(model: LanguageModel) -> Callable[[str], set[str]]:
         found = set(WORD.findall(text))
         if tripled(text):
             found = {decode(w) if REPEATED.search(w) else w for w in found}
-        for w in disguised(text):
+        for w in mixed(text):
             found.update(WORD.findall(decode(w)))
+        for run in set_apart(text):
+            found.update(WORD.findall(joined[run] if len(run) <= REMEMBERED else model.decode(run, True)))
         return found
 
     return words
