@@ -5,7 +5,8 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from fixtures import BASE, LOWER, PASSAGE, TEXTS, awkward, by_id, empty, words
+from pyspark.sql import functions as fn
+from fixtures import BASE, LONG, LOWER, PASSAGE, TEXTS, awkward, by_id, empty, words
 
 from twinfold.llm import common, jaccard_join
 from twinfold.llm.decontamination import decontaminate, scan
@@ -48,6 +49,53 @@ def test_decontamination(spark):
     assert left.columns == awkward(spark).columns and not {10, 11} & {r["doc_id"] for r in left.collect()}
 
 
+def brute_scan(texts, items):
+    windows = defaultdict(set)
+    for item, text, *_ in items:
+        w = tokens(text)
+        for i in range(len(w) - min(13, len(w)) + 1 if w else 0):
+            windows[tuple(w[i : i + 13])].add(str(item))
+    for text in texts:
+        w, hit, held = tokens(text), set(), set()
+        for k in {len(x) for x in windows}:
+            for j in range(len(w) - k + 1):
+                if found := windows.get(tuple(w[j : j + k])):
+                    hit.update(range(j, j + k))
+                    held |= found
+        yield len(w), len(hit), len(held), bool(hit) and 20 * len(hit) >= len(w)
+
+
+def test_decontamination_folds_no_letter_but_a_to_z(spark):
+    """The lower case of a capital sigma depends on what follows, a dot above stays with its letter, and so on."""
+    greek = "ΟΔΥΣΣΕΥΣ ΑΣ ΒΣ ΓΣ ΔΣ ΕΣ ΖΣ ΗΣ ΘΣ ΙΣ ΚΣ ΛΣ ΜΣ"
+    items = [(1, greek, 0, ""), (2, "İSTANBUL'da Σ.Σ. one", 0, ""), (3, "ẞ Ǆ K É", 0, "")]
+    texts = [greek, greek.replace(" ", "."), greek.replace(" ", "'"), greek.replace(" ", ":"), greek.lower(), "a İSTANBUL da Σ Σ ONE b", "i̇stanbul da σ ς one", "ẞ, Ǆ; K? É!", "ß ǆ k é", "ẞ ǆ K é"]
+    got = by_id(scan(awkward(spark, texts), bench(spark, items)))
+    want = list(brute_scan(texts, items))
+    assert [(got[i]["n_words"], got[i]["n_hit"], got[i]["n_items"], got[i]["contaminated"]) for i in range(len(texts))] == want
+    assert [w[1] for w in want] == [13, 13, 13, 13, 0, 5, 0, 4, 0, 0]
+
+
+def test_decontamination_across_segments(spark):
+    from twinfold.llm.decontamination import SEGMENT
+
+    w = LONG.split()
+    items = [(i, " ".join(w[SEGMENT - i : SEGMENT - i + 17]), 0, "") for i in (1, 5, 12, 13, 16)] + [(9, " ".join(w[2 * SEGMENT - 1 : 2 * SEGMENT + 1]), 0, "")]
+    got = by_id(scan(awkward(spark), bench(spark, items)))
+    for i, want in enumerate(brute_scan(TEXTS, items)):
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["n_items"], got[i]["contaminated"]) == want
+
+
+def test_decontamination_of_rows_without_ids(spark):
+    """Each is a document by its text; columns may be called as the operator calls its own."""
+    rows = [(None, PASSAGE, "a", 1), (None, "clean", "b", 2), (7, "clean", "c", 3), (None, None, "d", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, segment int").withColumns({c: fn.lit(1) for c in ("words", "w", "h", "hits", "blocks", "hash", "salt", "window", "size", "place", "dirty")})
+    got = {r["n_words"]: r for r in scan(docs, bench(spark, [(1, PASSAGE, 0, "")])).collect()}
+    assert got[60]["n_hit"] == 60 and got[1]["n_hit"] == got[0]["n_hit"] == 0
+    left = decontaminate(docs, bench(spark, [(1, PASSAGE, 0, "")]))
+    assert left.columns == docs.columns and sorted(r["key"] for r in left.collect()) == ["b", "c", "d"]
+
+
 def test_decontamination_without_rows(spark):
     assert scan(empty(spark), bench(spark, [(1, PASSAGE, 0, "")])).count() == 0
     got = by_id(scan(awkward(spark), bench(spark, [])))
@@ -58,6 +106,7 @@ def test_decontamination_by_shuffle(spark, monkeypatch):
     from twinfold.llm import decontamination
 
     monkeypatch.setattr(decontamination, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontamination, "SALT", 3)
     assert by_id(scan(awkward(spark), bench(spark, [(1, PASSAGE, 0, "")])))[10]["n_hit"] == 60
 
 

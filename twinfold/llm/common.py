@@ -17,7 +17,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a kernel holds in numpy arrays at once (a single longer document is held whole).
@@ -29,13 +29,19 @@ BATCH_BYTES = 8_000_000
 #: Largest filter of hashes that is broadcast, as a power of 2 of bits (32 MB). A fuller one only lets more through.
 FILTER_BITS = 28
 
+#: Rows of one key that a join deals out whole, and the most keys that are split, 20 bytes each.
+HOT_ROWS = 100_000
+HOT_KEYS = 200_000
+
 _local: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's folder in spark.checkpoint.dir; only where that is unset (as in tests), a temporary one."""
+    """The cluster's folder in spark.checkpoint.dir. Only a local session may lack one, as in tests: it gets a temporary one."""
     if found := spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not _local:
         _local.append(tempfile.mkdtemp(prefix="twinfold-"))
         atexit.register(shutil.rmtree, _local[0], True)
@@ -66,6 +72,27 @@ def documents(df: DataFrame) -> DataFrame:
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
+def row_key(text: str = "text") -> Column:
+    """What tells a document from others in joins: its doc_id or, where that is null, its text."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.sha2(F.coalesce(F.col(text).cast("string"), F.lit("")), 256))
+
+
+def join_split(rows: DataFrame, known: DataFrame, key: str, n: str, by: str, most: int | None = None) -> DataFrame:
+    """rows joined with known on key, where known's column n says how many rows have the key (it is dropped).
+
+    A key of more than `most` rows is split: its rows go by a hash of the column `by` to as many parts, and its entry
+    in known is repeated for each. Which keys these are is broadcast: no more than HOT_KEYS, else `most` grows.
+    """
+    most = most or HOT_ROWS
+    while (n_hot := (hot := known.where(F.col(n) > most).select(key, F.ceil(F.col(n) / most).cast("int").alias("_parts")).distinct()).count()) > HOT_KEYS:
+        most *= 4
+    if not n_hot:
+        return rows.join(known.drop(n), key)
+    rows = rows.join(F.broadcast(hot), key, "left").withColumn("_part", F.coalesce(F.pmod(F.xxhash64(by), F.col("_parts")).cast("int"), F.lit(0))).drop("_parts")
+    known = known.withColumn("_part", F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col(n) / most).cast("int"), F.lit(1)) - 1)))
+    return rows.join(known.drop(n), [key, "_part"]).drop("_part")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
