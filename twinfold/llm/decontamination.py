@@ -31,12 +31,14 @@ SEGMENT = 4096
 #: How often a set that is not broadcast is repeated.
 SALT = 32
 SPLIT = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def words(text: Column) -> Column:
+    return F.array_remove(F.split(text, SPLIT), "")
 
 
 def exact_words(text: Column) -> Column:
-    lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.array_remove(F.split(lower, SPLIT), "")
+    return words(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
 def window_set(benchmark: DataFrame, n: int = 13) -> DataFrame:
@@ -94,9 +96,9 @@ def hits(docs: DataFrame, benchmark: DataFrame, n: int = 13) -> DataFrame:
 
     few_near = near.count() <= BROADCAST_WINDOWS
     near_docs = docs.join(F.broadcast(near.select("key").distinct()) if few_near else near.select("key").distinct(), "key", "left_semi")
-    words = near_docs.select("key", F.explode(segments(exact_words(F.col("text")), n)).alias("s")).select("key", "s.segment", "s.w")
-    words = words.join(F.broadcast(near) if few_near else near, ["key", "segment"], "left_semi")
-    exact = words.select("key", "segment", F.explode(F.flatten(F.array(*(_windows(F.col("w"), k) for k in sizes)))).alias("x")).select("key", (F.col("segment") * SEGMENT + F.col("x.at")).alias("place"), "x.size", "x.window")
+    held = near_docs.select("key", F.explode(segments(exact_words(F.col("text")), n)).alias("s")).select("key", "s.segment", "s.w")
+    held = held.join(F.broadcast(near) if few_near else near, ["key", "segment"], "left_semi")
+    exact = held.select("key", "segment", F.explode(F.flatten(F.array(*(_windows(F.col("w"), k) for k in sizes)))).alias("x")).select("key", (F.col("segment") * SEGMENT + F.col("x.at")).alias("place"), "x.size", "x.window")
     out = written(_join(exact, items, ["size", "window"], few and n_bytes <= BROADCAST_TEXT).select("key", "place", "size", "item_ids"))
     drop_written(near, items)
     return out
@@ -112,7 +114,7 @@ def _scan(docs: DataFrame, benchmark: DataFrame, n: int, share: int) -> DataFram
     found = hits(docs, benchmark, n)
     covered = found.select("key", F.explode(F.expr("sequence(place, place + size - 1)")).alias("word")).groupBy("key").agg(F.countDistinct("word").alias("n_hit"))
     items = found.select("key", F.explode("item_ids").alias("item_id")).groupBy("key").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
-    n_words = F.regexp_count("text", F.lit(WORD)).cast("long")
+    n_words = F.size(words(F.col("text"))).cast("long")  # regexp_count() copies the text for each match
     none = F.array().cast("array<string>")
     out = documents(docs).select("doc_id", row_key().alias("key"), n_words.alias("n_words")).join(covered, "key", "left").join(items, "key", "left")
     out = out.select("key", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"))
