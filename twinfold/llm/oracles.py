@@ -62,8 +62,8 @@ WITH t AS (SELECT doc_id, coalesce(source, '?') AS source, coalesce(text, '') AS
 span AS ({_spans(0, ASSIGN, 2, "length(v) >= 6")}
 UNION ALL {_spans(1, ACCESS, 0, "length(v) >= 20")}
 UNION ALL {_spans(2, "[0-9a-f]+", 0, "length(v) >= 24")}
-UNION ALL {_spans(3, RUN, 0, "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AND length(v) <= 200")}),
-own AS (SELECT v, count(DISTINCT source) < 3 AS live FROM span GROUP BY v),
+UNION ALL {_spans(3, RUN, 0, "regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')")}),
+own AS (SELECT v, count(DISTINCT source) < 3 AND count(DISTINCT doc_id) < 20 AS live FROM span GROUP BY v),
 kept AS (SELECT doc_id, rank, start, stop, live FROM span x JOIN own USING (v) WHERE rank < 3
 UNION ALL SELECT doc_id, rank, start, stop, live FROM span x JOIN own USING (v) WHERE rank = 3 AND live AND list_unique(string_split(v, '')) >= 10
   AND NOT EXISTS (SELECT 1 FROM span y WHERE y.doc_id = x.doc_id AND y.rank < 3 AND y.start < x.stop AND x.start < y.stop))

@@ -2,21 +2,23 @@
 
 Base kinds (fixed by pattern) are always reported. Candidates are the base kinds' values and, besides, any run of 20
 and more token characters that mixes letters and digits. Every candidate's hash is aggregated over the corpus by
-distinct repositories and owners: a value that at least `wide` owners hold is a widely copied example, another one is
-owner-specific. An owner-specific run outside the base spans that looks random (at least `variety` different
-characters) is added as kind `live`.
-
-Aggregation is by (hash, repository, owner) and then by hash, so copies collapse before the hash decides. Cases: null
-and empty texts have no span; repeated rows have the same spans each; a null owner or repository counts as one of its
-own; an empty table gives no rows; other columns are ignored. Places are code points, end exclusive.
+distinct repositories and owners: a value that at least `wide` owners or at least `spread` repositories hold is a widely
+copied example, another one is owner-specific. An owner-specific run outside the base spans that looks random (at least
+`variety` different characters) is added as kind `live`. Here a document is a repository and its source the owner,
+unless other columns are named.
+
+Distinct (hash, repository) and (hash, owner) are counted in two steps each, and a value that very many documents hold
+is dealt out to as many parts when its verdict goes back to them. Cases: null and empty texts have no span; repeated
+rows have the same spans each; a row with a null doc_id is told from others by its text; all null owners are one owner;
+an empty table gives no rows; other columns are ignored. Places are code points, end exclusive.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinfold.llm.common import written
+from twinfold.llm.common import join_split, row_key, written
 from twinfold.llm.native import match_spans
 
 # The base kinds in their order, their patterns, and the least length of the value.
@@ -25,7 +27,7 @@ ACCESS = r"AKIA[A-Z0-9]+"
 KINDS = ("assign", "access", "hex", "live")
 #: `[0-9a-f]+` of 24 characters at least is `[0-9a-f]{24,}`: both find whole runs.
 BASE = ((ASSIGN, 2, 6), (ACCESS, 0, 20), (r"[0-9a-f]{24,}", 0, 24))
-#: The method's own candidates, runs of 20 to 200 characters.
+#: The method's own candidates.
 RUN = r"[A-Za-z0-9+/_-]{20,}"
 
 
@@ -35,42 +37,43 @@ def _of_kind(text: Column, rank: int, pattern: str, group: int, least: int) -> C
 
 
 def _runs(text: Column) -> Column:
-    def keep(m: Column, _: Column) -> Column:
-        return m.rlike("[0-9]") & m.rlike("[A-Za-z]") & (F.length(m) <= 200)
-
-    found = match_spans(text, RUN, 0, keep)
+    found = match_spans(text, RUN, 0, lambda m, _: m.rlike("[0-9]") & m.rlike("[A-Za-z]"))
     return F.transform(found, lambda s: F.struct(s["start"].alias("start"), F.lit(3).alias("rank"), s["end"].alias("end"), F.xxhash64(s["value"]).alias("hash"), F.size(F.array_distinct(F.split(s["value"], ""))).alias("variety")))
 
 
 def candidates(docs: DataFrame, owner: str = "source", repository: Column | None = None) -> DataFrame:
-    """doc_id, repository, owner, rank, start, end, hash, variety of every candidate span."""
+    """key (of the document), repository, owner, rank, start, end, hash, variety of every candidate span."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    held = docs.select("doc_id", F.coalesce(F.col(owner).cast("string"), F.lit("?")).alias("owner"), F.coalesce((F.col("doc_id") if repository is None else repository).cast("string"), F.lit("?")).alias("repository"), text.alias("t"))
+    held = docs.select(row_key().alias("key"), F.coalesce(F.col(owner).cast("string"), F.lit("?")).alias("owner"), (row_key() if repository is None else F.coalesce(repository.cast("string"), F.lit("?"))).alias("repository"), text.alias("t"))
     spans = F.concat(*(_of_kind(F.col("t"), i, *b) for i, b in enumerate(BASE)), _runs(F.col("t")))
-    return held.select("doc_id", "repository", "owner", F.explode(spans).alias("s")).select("doc_id", "repository", "owner", "s.*")
+    return held.select("key", "repository", "owner", F.explode(spans).alias("s")).select("key", "repository", "owner", "s.*")
+
 
+def ownership(found: DataFrame, wide: int = 3, spread: int = 20) -> DataFrame:
+    """hash, n (spans), n_repositories, n_owners, live (fewer than `spread` and `wide` of them) of each candidate value."""
+    known = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("repository").alias("n_repositories"), F.count_distinct("owner").alias("n_owners"))
+    return known.withColumn("live", (F.col("n_owners") < wide) & (F.col("n_repositories") < spread))
 
-def ownership(found: DataFrame, wide: int = 3) -> DataFrame:
-    """hash, n_repositories, n_owners, live (fewer than `wide` owners) of each candidate value."""
-    each = found.groupBy("hash", "repository", "owner").count()
-    by_owner = each.groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
-    return by_owner.groupBy("hash").agg(F.sum("n").alias("n_repositories"), F.count(F.lit(1)).alias("n_owners")).withColumn("live", F.col("n_owners") < wide)
 
+def _apart(found: DataFrame, variety: int) -> DataFrame:
+    """The base spans, and the owner-specific runs that look random and touch no base span; sorted sweeps both ways."""
+    base, order = F.col("rank") < 3, Window.partitionBy("key")
+    ends = F.max(F.when(base, F.col("end"))).over(order.orderBy("start", "rank", "end").rowsBetween(Window.unboundedPreceding, -1))
+    starts = F.min(F.when(base, F.col("start"))).over(order.orderBy(F.desc("start"), F.desc("rank"), F.desc("end")).rowsBetween(Window.unboundedPreceding, -1))
+    held = found.where(base | (F.col("live") & (F.col("variety") >= variety))).withColumn("before", ends).withColumn("after", starts)
+    return held.where(base | ((F.coalesce("before", "start") <= F.col("start")) & (F.coalesce("after", "end") >= F.col("end"))))
 
-def secret_scan(docs: DataFrame, wide: int = 3, variety: int = 10, owner: str = "source", repository: Column | None = None) -> DataFrame:
+
+def secret_scan(docs: DataFrame, wide: int = 3, spread: int = 20, variety: int = 10, owner: str = "source", repository: Column | None = None) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_live (owner-specific base spans), n_copied (the rest)."""
     found = written(candidates(docs, owner, repository))
-    known = written(ownership(found, wide))
-    each = found.join(known.select("hash", "live"), "hash").select("doc_id", F.struct("start", "rank", "end", "live", "variety").alias("s"))
-    grouped = each.groupBy("doc_id").agg(F.array_sort(F.collect_set("s")).alias("s"))
-    base = F.filter("s", lambda s: s["rank"] < 3)
-    own = F.filter("s", lambda s: (s["rank"] == 3) & s["live"] & (s["variety"] >= variety))
-    grouped = grouped.select("doc_id", base.alias("base"), own.alias("own"))
-    apart = F.filter("own", lambda o: ~F.exists("base", lambda b: (b["start"] < o["end"]) & (o["start"] < b["end"])))
-    grouped = grouped.select("doc_id", "base", F.array_sort(F.concat("base", apart)).alias("all"))
-
-    none = F.array().cast("array<struct<start:int,rank:int,end:int,live:boolean,variety:int>>")
-    out = docs.select("doc_id").join(grouped, "doc_id", "left").select("doc_id", F.coalesce("base", none).alias("base"), F.coalesce("all", none).alias("all"))
+    known = written(ownership(found, wide, spread))
+    each = _apart(join_split(found, known.select("hash", "live", "n"), "hash", "n", "key"), variety)
+    grouped = each.groupBy("key").agg(F.array_sort(F.collect_set(F.struct("start", "rank", "end", "live"))).alias("all"))
+
+    none = F.array().cast("array<struct<start:int,rank:int,end:int,live:boolean>>")
+    out = docs.select("doc_id", row_key().alias("key")).join(grouped, "key", "left").select("doc_id", F.coalesce("all", none).alias("all"))
+    out = out.select("doc_id", "all", F.filter("all", lambda s: s["rank"] < 3).alias("base"))
     names = F.array(*map(F.lit, KINDS))
 
     def said(spans: str) -> Column:
