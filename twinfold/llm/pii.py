@@ -4,21 +4,26 @@ and a span classifier trained on the result decides.
 Base kinds (email, ip, card, phone) are found by fixed patterns and always reported. Candidates are these spans and, by
 looser patterns, local phone numbers, national ids, bank accounts and names. Labelers vote 1, 0 or abstain: two by
 regular expression, one by gazetteer, two by context. What leaves the executors is a count for each combination of kind,
-votes and features, all of small fixed ranges, over every span of the corpus. From these counts:
+votes and features, all of small fixed ranges (at most COMBINATIONS), over every span of the corpus. From these counts:
 
-* expectation-maximisation (a two-class latent model with one accuracy for each labeler and a prior for each kind)
+* expectation-maximisation (a two-class latent model: for each kind a prior, and how each labeler votes on either class)
   gives each vote pattern a probability;
-* a logistic regression on the features alone, trained on those probabilities, is the span classifier.
-
-A looser candidate is reported if the classifier gives it at least `cut` and it overlaps no base span. Places are code
-points, end exclusive. Cases: null and empty texts have no span; repeated rows have the same spans; a corpus without
-candidates trains nothing and reports base spans alone; an empty table gives no rows; other columns are ignored.
+* a logistic regression on features, trained on those probabilities, is the span classifier. Its features say more than
+  the votes do: the bucket of the word before, what touches the span on either side, length and share of digits, each by
+  kind; so it learns from spans the labelers know where others of that kind stand.
+
+A looser candidate is reported if the classifier gives it at least `cut` and it overlaps no base span and no candidate
+of an earlier kind. All kinds are swept in order of place, so time grows with the text alone. Places are code points,
+end exclusive. Cases: null and empty texts have no span; repeated rows have the same spans, and count each in training;
+a null doc_id stays null; a corpus without candidates trains nothing and reports base spans alone; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -44,8 +49,11 @@ DIGIT = re.compile(r"[0-9]")
 # The looser candidates.
 LOCAL = re.compile(r"(?<![0-9+])(?:\([0-9]{3}\)|[0-9]{3})[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")
 NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
-ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])")
-NAME = re.compile(r"(?<![^\W_])[A-Z][a-z]{2,15} [A-Z][a-z]{2,20}(?![^\W_])")
+ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+#: Capital and small letters of the Latin, Greek and Cyrillic blocks; a name is two words, each of parts with hyphens.
+_CAPITAL, _SMALL = ("".join(c for c in map(chr, range(0x530)) if of(c) and c.isalpha()) for of in (str.isupper, str.islower))
+_PART = f"[{_CAPITAL}][{_SMALL}]++"
+NAME = re.compile(rf"(?<![^\W_])(?<!-){_PART}(?:-{_PART})*+ {_PART}(?:-{_PART})*+(?![^\W_])")
 
 # Gazetteers and context words.
 GIVEN = frozenset("James Mary Robert Patricia John Jennifer Michael Linda David Elizabeth William Barbara Richard Susan Joseph Jessica Thomas Sarah Charles Karen Christopher Daniel Nancy Matthew Anthony Margaret Steven Andrew Paul Joshua Kenneth Kevin Brian George Edward Hans Jürgen Klaus Wolfgang Sabine Ursula Monika Petra Jean Pierre Michel Philippe Nathalie Isabelle Sylvie Catherine Jose Antonio Manuel Francisco Carmen Dolores Pilar".split())
@@ -64,6 +72,9 @@ CONTEXT = {
 AGAINST = "version example sample test isbn section figure table chapter order".split()
 ABOUT = 30  # characters before a span that are its context
 WORD = re.compile(r"[^\W\d_]+")
+BUCKETS = 16  # of the word before a span
+#: Kinds, votes, lengths, shares of digits, what touches either side, words before.
+COMBINATIONS = len(KINDS) * 2**5 * 4 * 3 * 3 * 3 * BUCKETS
 
 
 def luhn(digits: str) -> bool:
@@ -106,19 +117,32 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+def clear_of(taken: list[tuple[int, int]], found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Those of found that overlap nothing taken; both in order of place, taken without overlaps."""
+    out, k = [], 0
+    for s, e in found:
+        while k < len(taken) and taken[k][1] <= s:
+            k += 1
+        if k == len(taken) or e <= taken[k][0]:
+            out.append((s, e))
+    return out
+
+
 def candidate_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """The looser candidates that overlap no base span and, in the order of kinds, no earlier candidate."""
-    found = [(7, *m.span()) for m in NAME.finditer(text)]
-    if DIGIT.search(text):
-        found += [(kind, *m.span()) for kind, p in ((4, LOCAL), (5, NATIONAL), (6, ACCOUNT)) for m in p.finditer(text)]
-    if not found:
-        return []
-    taken = sorted((s, e) for _, s, e in base)
-    out = []
-    for kind, s, e in sorted(found):
-        if not any(a < e and s < b for a, b in taken):
-            taken.append((s, e))
-            out.append((kind, s, e))
+    digits = DIGIT.search(text)
+    found = [(kind, [m.span() for m in p.finditer(text)]) for kind, p in ((4, LOCAL), (5, NATIONAL), (6, ACCOUNT), (7, NAME)) if digits or p is NAME]
+    out, taken = [], []
+    if any(spans for _, spans in found):
+        for s, e in sorted((s, e) for _, s, e in base):
+            if taken and s < taken[-1][1]:
+                taken[-1] = (taken[-1][0], max(e, taken[-1][1]))
+            else:
+                taken.append((s, e))
+    for kind, spans in found:
+        if spans := clear_of(taken, spans):
+            out += [(kind, *x) for x in spans]
+            taken = sorted(taken + spans)
     return out
 
 
@@ -128,28 +152,35 @@ def _checksum(value: str) -> bool:
     return int("".join(str(int(c, 36)) for c in value[4:] + value[:4])) % 97 == 1
 
 
+def _side(c: str) -> int:
+    """What touches a span: nothing or space, a mark, or a letter or digit."""
+    return 0 if not c.strip() else 2 if c.isalnum() else 1
+
+
 def votes_and_features(text: str, kind: int, start: int, end: int) -> tuple[str, str]:
-    """A character 1, 0 or - of each labeler; and a few small numbers that the classifier sees."""
+    """A character 1, 0 or - of each labeler; and of each feature one that stands for a small number."""
     value, name = text[start:end], KINDS[kind]
-    before = {w.lower() for w in WORD.findall(text[max(0, start - ABOUT) : start])}
+    near_words = [w.lower() for w in WORD.findall(text[max(0, start - ABOUT) : start])]
+    before = set(near_words)
     near, against = any(w in before for w in CONTEXT[name]), any(w in before for w in AGAINST)
     digits = sum(c.isdigit() for c in value)
     # by regular expression: the strict form of the kind; and clean edges
     strict = {"email": value.count("@") == 1 and ".." not in value, "ip": not value.startswith("0."), "card": True, "phone": digits >= 10, "local": "(" in value, "national": not value.startswith(("000", "666", "9")), "account": kind == 6 and _checksum(value), "name": False}[name]
-    left, right = text[start - 1 : start], text[end : end + 1]
-    apart = not left.isalnum() and not right.isalnum()
+    left, right = _side(text[start - 1 : start]), _side(text[end : end + 1])
+    apart = left < 2 and right < 2
     # by gazetteer
     if name == "email":
         listed = "1" if value.rpartition(".")[2].lower() in DOMAINS else "0"
     elif name == "name":
-        listed = "1" if value.split()[0] in GIVEN else "0"
+        listed = "1" if GIVEN.intersection(value.split()[0].split("-")) else "0"
     elif name == "account":
         listed = "1" if value[:2] in ACCOUNT_LANDS else "0"
     else:
         listed = "-"
     votes = ("1" if strict else "0" if name in ("account", "national", "ip") else "-") + ("-" if apart else "0") + listed + ("1" if near else "-") + ("0" if against else "-")
-    features = f"{kind}{int(strict)}{int(apart)}{listed.replace('-', '2')}{int(near)}{int(against)}{min(9, (end - start) // 4)}{min(9, 10 * digits // (end - start))}"
-    return votes, features
+    length, share = min(3, (end - start) // 8), min(2, 3 * digits // (end - start))
+    word = zlib.crc32(near_words[-1].encode("utf-8", "replace")) % (BUCKETS - 1) + 1 if near_words else 0
+    return votes, "".join(chr(48 + x) for x in (kind, strict, apart, int(listed == "1"), int(listed == "0"), near, against, length, share, left, right, word))
 
 
 def _count_rows(batches: Iterator[pa.RecordBatch]):
@@ -165,55 +196,91 @@ def _count_rows(batches: Iterator[pa.RecordBatch]):
             yield batch(schema, [v for v, _ in found], [f for _, f in found], list(found.values()))
 
 
-def reliabilities(kinds: np.ndarray, votes: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[np.ndarray, np.ndarray]:
-    """EM over counted vote patterns (1, 0, -1 for none): each pattern's probability to be personal data, and each
-    labeler's accuracy. Beta priors keep rare labelers near 0.8 and rare kinds near 0.5."""
-    accuracy, prior = np.full(votes.shape[1], 0.8), np.full(len(KINDS), 0.5)
-    p = np.full(len(n), 0.5)
+#: What is believed of a labeler before any data, as counts: how often it abstains, says 0 and says 1 of spans that are
+#: no personal data, and of spans that are.
+BELIEF = np.array([[10.0, 8.0, 2.0], [10.0, 2.0, 8.0]])
+
+
+def reliabilities(kinds: np.ndarray, votes: np.ndarray, n: np.ndarray, rounds: int = 100) -> tuple[np.ndarray, np.ndarray]:
+    """EM over counted vote patterns (1, 0, -1 for none): each pattern's probability to be personal data, and the share
+    of each labeler's votes that are right. A labeler has a distribution of its votes for either class of each kind, as
+    one may know few of a kind's spans and yet be sure of those, and abstaining tells something too."""
+    patterns, at = np.unique(np.column_stack([kinds, votes]), axis=0, return_inverse=True)
+    at, n = at.ravel(), np.bincount(at.ravel(), n, len(patterns))
+    kind, said, labelers = patterns[:, 0], patterns[:, 1:] + 1, np.arange(votes.shape[1])
+    given = np.broadcast_to(BELIEF, (len(KINDS), len(labelers), 2, 3)).copy()
+    prior, p = np.full(len(KINDS), 0.5), np.full(len(n), 0.5)
     for _ in range(rounds):
-        a = np.log(accuracy / (1 - accuracy))
-        score = np.log(prior / (1 - prior))[kinds] + ((votes == 1) * a - (votes == 0) * a).sum(1)
-        p = 1 / (1 + np.exp(-score))
-        right = ((votes == 1) * p[:, None] + (votes == 0) * (1 - p)[:, None]) * n[:, None]
-        cast = (votes >= 0) * n[:, None]
-        accuracy = np.clip((right.sum(0) + 40) / (cast.sum(0) + 50), 0.55, 0.99)
-        prior = np.clip((np.bincount(kinds, p * n, len(KINDS)) + 10) / (np.bincount(kinds, n, len(KINDS)) + 20), 0.05, 0.95)
-    return p, accuracy
+        share = np.log(given / given.sum(3, keepdims=True))
+        of = share[kind[:, None], labelers, :, said]  # pattern, labeler, class
+        p = 1 / (1 + np.exp(-(np.log(prior / (1 - prior))[kind] + (of[:, :, 1] - of[:, :, 0]).sum(1))))
+        given = np.broadcast_to(BELIEF, given.shape).copy()
+        for k, weight in enumerate(((1 - p) * n, p * n)):
+            np.add.at(given[:, :, k], (kind[:, None], labelers, said), weight[:, None])
+        prior = np.clip((np.bincount(kind, p * n, len(KINDS)) + 10) / (np.bincount(kind, n, len(KINDS)) + 20), 0.05, 0.95)
+    right = given[:, :, 0, 1].sum(0) + given[:, :, 1, 2].sum(0)
+    return p[at], right / given[:, :, :, 1:].sum((0, 2, 3))
+
+
+#: Of each feature, how many values it has; and whether its weight is one for all kinds.
+_RANGES = (len(KINDS), 2, 2, 2, 2, 2, 2, 4, 3, 3, 3, BUCKETS)
+_SHARED = 7
+
+
+def _columns(features: list[str]) -> np.ndarray:
+    """The numbers of the weights that count for each combination of features."""
+    f = np.array([[ord(c) - 48 for c in x] for x in features]).reshape(-1, len(_RANGES))
+    out, at = [], 0
+    for i, size in enumerate(_RANGES):
+        out.append(at + f[:, i] if i < _SHARED else at + f[:, 0] * size + f[:, i])
+        at += size if i < _SHARED else size * len(KINDS)
+    return np.stack(out, 1)
+
+
+WEIGHTS = sum(_RANGES[:_SHARED]) + len(KINDS) * sum(_RANGES[_SHARED:])
+
+
+class Classifier:
+    """A probability for each combination of features, from one weight for each of its columns; without weights, 0."""
 
+    def __init__(self, weights: np.ndarray | None = None):
+        self.weights, self.known = weights, {}
 
-def _inputs(features: list[str]) -> np.ndarray:
-    f = np.array([[int(c) for c in x] for x in features])
-    kind = np.eye(len(KINDS))[f[:, 0]]
-    other = np.concatenate([f[:, 1:3], f[:, 3:4] == 1, f[:, 3:4] == 0, f[:, 4:6], f[:, 6:] / 9], 1).astype(float)
-    return np.concatenate([kind, other], 1)
+    def __call__(self, features: str) -> float:
+        if self.weights is None:
+            return 0.0
+        if (p := self.known.get(features)) is None:
+            p = self.known[features] = float(1 / (1 + np.exp(-self.weights[_columns([features])[0]].sum())))
+        return p
 
 
-def train(rows: list[tuple[str, str, int]], steps: int = 500) -> dict[str, float]:
-    """The classifier's probability for each combination of features, from (votes, features, count)."""
+def train(rows: list[tuple[str, str, int]], steps: int = 500) -> Classifier:
+    """From (votes, features, count)."""
     if not rows:
-        return {}
+        return Classifier()
     features = [f for _, f, _ in rows]
     n = np.array([c for *_, c in rows], float)
     votes = np.array([[{"1": 1, "0": 0}.get(c, -1) for c in v] for v, *_ in rows])
-    p, _ = reliabilities(np.array([int(f[0]) for f in features]), votes, n)
-    x, w = _inputs(features), n / n.sum()
-    weights = np.zeros(x.shape[1])
+    p, _ = reliabilities(np.array([ord(f[0]) - 48 for f in features]), votes, n)
+    columns, w = _columns(features), n / n.sum()
+    weights, flat = np.zeros(WEIGHTS), columns.ravel()
+    scale = 1 / np.sqrt(np.bincount(flat, np.repeat(w, columns.shape[1]), WEIGHTS) + 1e-3)  # rare features learn as fast as frequent ones
     for _ in range(steps):  # gradient descent on the expected log loss with a small ridge
-        q = 1 / (1 + np.exp(-x @ weights))
-        weights -= 1.0 * (x.T @ (w * (q - p)) + 1e-3 * weights)
-    q = 1 / (1 + np.exp(-x @ weights))
-    return dict(zip(features, q.tolist(), strict=True))
+        q = 1 / (1 + np.exp(-weights[columns].sum(1)))
+        g = np.bincount(flat, np.repeat(w * (q - p), columns.shape[1]), WEIGHTS)
+        weights -= 0.1 * scale * (g + 1e-4 * weights) * scale
+    return Classifier(weights)
 
 
-def classifier(docs: DataFrame) -> dict[str, float]:
+def classifier(docs: DataFrame) -> Classifier:
     """Learned from all candidate spans of docs; only counts of combinations reach the driver."""
     rows = documents(docs).select("text").mapInArrow(tidy(_count_rows), "votes string, features string, n long").groupBy("votes", "features").agg(F.sum("n").alias("n"))
     return train(sorted((r["votes"], r["features"], r["n"]) for r in rows.collect()))
 
 
-def all_spans(text: str, known: dict[str, float], cut: float) -> tuple[list, list]:
+def all_spans(text: str, known: Classifier, cut: float) -> tuple[list, list]:
     base = base_spans(text)
-    extra = [s for s in candidate_spans(text, base) if known.get(votes_and_features(text, *s)[1], 0.0) >= cut]
+    extra = [s for s in candidate_spans(text, base) if known(votes_and_features(text, *s)[1]) >= cut]
     return base, sorted(base + extra)
 
 
@@ -221,7 +288,7 @@ def _said(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans)
 
 
-def _found(known: dict[str, float], cut: float):
+def _found(known: Classifier, cut: float):
     schema = pa.schema([("doc_id", pa.int64()), *((f"n_{k}", pa.int64()) for k in KINDS[:BASE]), ("base_sha256", pa.string()), ("spans", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]):
