@@ -126,6 +126,29 @@ class Moody:
         return verdicts.Verdict([*people, people[0], "nobody"], "no" not in people, 0.75, "r")
 
 
+def test_chat_adjudicator_retries(monkeypatch):
+    from twinfold.sources import http
+
+    monkeypatch.setattr(http.time, "sleep", lambda s: None)
+    content = json.dumps({"entities": ["a", "b"], "is_duplicate": True, "certainty": 0.9, "reason": "r"})
+    answering(monkeypatch, error(503), ConnectionError(), {"choices": [{"message": {"content": content}}]})
+    got = verdicts.ChatAdjudicator("http://u", "k", "m").judge("[]")
+    assert (got.entities, got.is_duplicate, got.certainty) == (["a", "b"], True, 0.9)
+    answering(monkeypatch, error(401))
+    with pytest.raises(urllib.error.HTTPError):
+        verdicts.ChatAdjudicator("http://u", "k", "m").judge("[]")
+
+
+def test_progress_is_said_in_tenths(spark):
+    from twinfold.plans.run import Progress, percent
+
+    said = []
+    done = spark.sparkContext.accumulator(0, Progress(20, said.append))
+    for _ in range(20):
+        done.add(1)
+    assert said == [f"judged {2 * i}/20 clusters ({10 * i} %)" for i in range(1, 11)] and percent(0, 0) == 100 and percent(1, 3) == 33
+
+
 def test_verdicts_are_isolated_and_checked(spark):
     clusters = [("1", ["a", "b"]), ("2", ["bad", "c"]), ("3", ["no", "d"]), ("4", [str(i) for i in range(26)]), ("5", ["e", "gone"])]
     rows = [(c, iris, json.dumps([{"iri": i} for i in iris])) for c, iris in clusters]
@@ -147,10 +170,10 @@ def test_text_of_literals(spark):
 
 def test_insert_is_cut_and_empty_groups_write_nothing(spark):
     none = spark.createDataFrame([], "line string")
-    assert groups.insert_statements(none, "urn:g") == []
-    three = spark.createDataFrame([(f"<urn:{i}> <p> <o> .",) for i in range(3)], "line string")
-    made = groups.insert_statements(three, "urn:g", most=2)
-    assert len(made) == 2 and made[0].startswith("INSERT DATA { GRAPH <urn:g> {\n<urn:0>")
+    assert groups.insert_statements(none, "urn:g").count() == 0 and groups.send(groups.insert_statements(none, "urn:g"), print) == 0
+    three = spark.createDataFrame([(f"<urn:{i}> <p> <o> .",) for i in range(3)], "line string").coalesce(1)
+    made = [r["statement"] for r in groups.insert_statements(three, "urn:g", most=2).collect()]
+    assert len(made) == 2 and made[0].startswith("INSERT DATA { GRAPH <urn:g> {\n<urn:0>") and made[1].count("<p>") == 1
     bad = spark.createDataFrame([(["x> } ; DROP ALL #", "y"], 1.0, 'a" . } DROP', "llm")], "entities array<string>, confidence double, reason string, method string")
     lines = groups.ntriples(groups.assertion_triples(groups.identified(bad, "urn:g", F.lit("1")), F.lit("t"))).collect()
     assert any("<x%3E%20%7D%20;%20DROP%20ALL%20#>" in r["line"] for r in lines) and any('"a\\" . } DROP"' in r["line"] for r in lines)
@@ -189,14 +212,18 @@ def store():
 def test_endpoint_as_a_source(spark, store, tmp_path):
     url, seen = store
     spark.dataSource.register(SparqlTriples)
-    got = spark.read.format("sparql_triples").option("endpoint", url).option("page_size", "2").option("user", "u").option("password", "p").load()
-    assert got.rdd.getNumPartitions() == 3 and got.count() == 10 and {r["pos"] for r in got.collect()} == {0, 1}
-    assert all(a and a.startswith("Basic ") for a, _ in seen)
     log = str(tmp_path / "job" / "sparql.jsonl")
+    got = spark.read.format("sparql_triples").option("endpoint", url).option("page_size", "2").option("user", "u").option("password", "p").option("log", log).load()
+    assert {r["pos"] for r in got.collect()} == {0, 1} and all(a and a.startswith("Basic ") for a, _ in seen)
+    sent = {form["query"][0] for _, form in seen}
+    logged = spark.read.json(log).collect()
+    assert len(sent) == 4 and {r["statement"] for r in logged} == sent and {r["operation"] for r in logged} == {"query"}
+    assert got.rdd.getNumPartitions() == 3 and got.count() == 10
     Endpoint(url, user="only", log=statement_log(log)).update("  INSERT DATA {} ")
     assert seen[-1] == (None, {"update": ["  INSERT DATA {} "]})
-    line = json.loads(open(log).read())
-    assert (line["operation"], line["statement"]) == ("update", "INSERT DATA {}")
+    assert [r["statement"] for r in spark.read.json(log).where("operation = 'update'").collect()] == ["INSERT DATA {}"]
+    answered = groups.insert_statements(spark.createDataFrame([(f"<urn:{i}> <p> <o> .",) for i in range(5)], "line string").coalesce(1), "urn:g", 2)
+    assert groups.send(answered, Endpoint(url).update) == 3 and "<urn:4>" in seen[-1][1]["update"][0]
 
 
 ENV = {"SPARQL_ENDPOINT": "http://s", "LLM_BASE_URL": "http://l", "LLM_API_KEY": "k", "LLM_MODEL": "m"}
@@ -212,14 +239,22 @@ def test_config():
 def test_run_end_to_end(spark, tmp_path):
     names = ("audit_log", "sparql_log", "llm_log", "persons_cache", "embedding_cache")
     cfg = replace(C.from_environment(ENV), cluster_threshold=0.999, cluster_name_similarity_penalty=0.0, **{f"{n}_path": str(tmp_path / n) for n in names})
-    said, updates = [], []
-    result = run(spark, cfg, lambda: triples(spark, f"{TESTDATA}/sf0.001"), Letters(), verdicts.SharedSignals(), updates.append, said.append)
+    said, log = [], str(tmp_path / "updates")
+
+    def update(statement):
+        with open(log, "a") as f:
+            f.write(json.dumps(statement) + "\n")
+
+    result = run(spark, cfg, lambda: triples(spark, f"{TESTDATA}/sf0.001"), Letters(), verdicts.SharedSignals(), update, said.append)
+    updates = [json.loads(x) for x in open(log)]
     assert result["rule_based_groups"] == 14 and result["groups_found"] == 14 + result["llm_groups"] and result["llm_groups"] > 0
     assert updates and updates[0].startswith(f"INSERT DATA {{ GRAPH <{V.DEFAULT_GRAPH}>")
     assert spark.read.json(cfg.audit_log_path).count() == result["groups_found"]
     assert spark.read.json(cfg.llm_log_path).count() >= result["llm_groups"]
+    assert sorted(r["statement"] for r in spark.read.json(cfg.sparql_log_path).collect()) == sorted(x.strip() for x in updates)
+    assert any(x.startswith("judged ") and x.endswith("clusters (100 %)") for x in said)
     fetched = []
-    run(spark, cfg, lambda: fetched.append(1), Letters(), verdicts.SharedSignals(), updates.append, said.append)
+    run(spark, cfg, lambda: fetched.append(1), Letters(), verdicts.SharedSignals(), update, said.append)
     assert not fetched  # the person cache served the second run
 
 

@@ -13,14 +13,14 @@ from twinfold.operators.verdicts import ChatAdjudicator
 from twinfold.plans.config import Config, from_environment
 from twinfold.plans.jobs import JobManager, serve
 from twinfold.plans.run import run
-from twinfold.sources.sparql import Endpoint, SparqlTriples, statement_log
+from twinfold.sources.sparql import Endpoint, SparqlTriples
 
 
 def execute(config: Config) -> dict:
     spark = SparkSession.builder.appName("twinfold").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     spark.dataSource.register(SparqlTriples)
-    options = {"endpoint": config.sparql_endpoint, "user": config.sparql_user or "", "password": config.sparql_password or ""}
-    endpoint = Endpoint(config.sparql_endpoint, config.sparql_update_endpoint, config.sparql_user, config.sparql_password, statement_log(config.sparql_log_path))
+    options = {"endpoint": config.sparql_endpoint, "user": config.sparql_user or "", "password": config.sparql_password or "", "log": config.sparql_log_path}
+    endpoint = Endpoint(config.sparql_endpoint, config.sparql_update_endpoint, config.sparql_user, config.sparql_password)
     return run(
         spark,
         config,

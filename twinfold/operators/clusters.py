@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from twinfold.functions import vocabulary as V
 from twinfold.functions.text import present
 from twinfold.operators import embedding, idf, knn
-from twinfold.operators.components import connected_components
+from twinfold.operators.components import checkpointed, connected_components
 
 #: Declared order of a person's fields in a payload.
 FIELDS = ["iri", "name", "github_username", "email", "url", "orcid", "infoscience_id", *V.LISTS, "bio", "location", "company", "properties"]
@@ -24,13 +24,18 @@ def cluster_persons(persons: DataFrame, provider: embedding.EmbeddingProvider, m
     """cluster_id, iri of persons whose embeddings are near: embed, weigh names, link, find components."""
     held = embedding.embed(persons.select("iri", *{"name", *fields} - {"iri"}), provider, model, fields, cache_path, batch_size, concurrency)
     held = idf.with_idf(held) if penalty else held
-    ids = held.withColumn("id", F.xxhash64("iri"))
+    ids = numbered(held.select("iri", "vector", *(["idf"] if penalty else [])))
     edges = knn.edges(ids, k, threshold, penalty)
     found = connected_components(edges)
     named = found.join(ids.select(F.col("id").alias("node"), "iri"), "node")
     return named.select(F.min("iri").over(_same("component")).alias("cluster_id"), "iri")
 
 
+def numbered(persons: DataFrame) -> DataFrame:
+    """persons with a number of their own, in the order of their IRIs; written, as numbers depend on partitions."""
+    return checkpointed(persons.repartitionByRange("iri").sortWithinPartitions("iri").withColumn("id", F.monotonically_increasing_id()))
+
+
 def _same(column: str):
     from pyspark.sql import Window
 

@@ -26,9 +26,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 def _temporary(df: DataFrame) -> DataFrame:
-    """Where no folder is set, as in tests: a temporary one of this machine."""
+    """Where no folder is set, as in tests: a temporary one of this machine, which no cluster's executors share."""
     import tempfile
 
+    if not df.sparkSession.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+
     df.sparkSession.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="twinfold-checkpoint-"))
     return df.checkpoint()
 

@@ -6,10 +6,7 @@ by the tasks that fetched them, and downstream plans read the table, so a retrie
 
 from __future__ import annotations
 
-import json
 import time
-import urllib.error
-import urllib.request
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
@@ -20,6 +17,7 @@ from pyspark.sql import functions as F
 
 from twinfold.functions.text import cache_key, embed_text
 from twinfold.sources.caches import append_embeddings, read_embeddings
+from twinfold.sources.http import post_json
 
 
 class EmbeddingProvider(Protocol):
@@ -67,11 +65,7 @@ def embed(persons: DataFrame, provider: EmbeddingProvider, model: str, fields: l
 
 @dataclass
 class HttpEmbeddings:
-    """A service that takes {model, input} and returns {data: [{index, embedding}]}.
-
-    Time-outs, broken connections, 429 and 5xx are tried again, others are not: after 2 ** attempt seconds, and for 429
-    after Retry-After or 10 * 2 ** attempt seconds.
-    """
+    """A service that takes {model, input} and returns {data: [{index, embedding}]}."""
 
     url: str
     key: str
@@ -81,28 +75,8 @@ class HttpEmbeddings:
     sleep: Callable[[float], None] = time.sleep
 
     def embed(self, texts: list[str]) -> list[list[float]]:
-        body = json.dumps({"model": self.model, "input": texts}).encode()
-        for attempt in range(self.attempts):
-            request = urllib.request.Request(self.url, body, {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"})
-            try:
-                with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-                    rows = sorted(json.load(answer)["data"], key=lambda r: r["index"])
-                if len(rows) != len(texts):
-                    raise ValueError(f"asked for {len(texts)} vectors, got {len(rows)}")
-                return [r["embedding"] for r in rows]
-            except urllib.error.HTTPError as e:
-                if e.code != 429 and e.code < 500:
-                    raise
-                self.sleep(self._pause(e, attempt))
-            except (TimeoutError, ConnectionError, urllib.error.URLError):
-                self.sleep(2**attempt)
-        raise RuntimeError(f"no answer after {self.attempts} attempts")
-
-    @staticmethod
-    def _pause(e: urllib.error.HTTPError, attempt: int) -> float:
-        if e.code != 429:
-            return 2**attempt
-        try:
-            return float(e.headers.get("Retry-After") or 0) or 10 * 2**attempt
-        except ValueError:
-            return 10 * 2**attempt
+        answer = post_json(self.url, self.key, {"model": self.model, "input": texts}, self.attempts, self.timeout, self.sleep)
+        rows = sorted(answer["data"], key=lambda r: r["index"])
+        if len(rows) != len(texts):
+            raise ValueError(f"asked for {len(texts)} vectors, got {len(rows)}")
+        return [r["embedding"] for r in rows]

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable, Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions import vocabulary as V
 from twinfold.functions.text import decimal_text, iri_text, literal_text, utc_iso
+from twinfold.operators.components import checkpointed
 
 COLUMNS = ["entities", "confidence", "reason", "method"]
 
@@ -31,6 +35,17 @@ def ranked(groups: DataFrame) -> DataFrame:
     return groups.orderBy(method_rank(F.col("method")), F.desc("confidence"), F.array_join("entities", " "))
 
 
+def numbered(groups: DataFrame) -> DataFrame:
+    """groups with place, their number in the order of ranked(). Rows are sorted by ranges and counted by range, so no
+    task holds more than a range; an offset for each partition is all that is broadcast."""
+    keys = [method_rank(F.col("method")), F.desc("confidence"), F.array_join("entities", " ")]
+    ordered = checkpointed(groups.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftright("at", 33).alias("part")
+    offsets = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
+    out = ordered.withColumn("part", part).join(F.broadcast(offsets.select("part", "before")), "part")
+    return out.select(*groups.columns, (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).alias("place"))
+
+
 def summary(groups: DataFrame, graph: str = V.DEFAULT_GRAPH) -> DataFrame:
     """One row. entities_covered counts an entity in each of its groups; distinct_entities counts it once."""
     counts = groups.agg(F.count(F.lit(1)).alias("groups_found"), F.count_if(F.col("method") == "rule-based").alias("rule_based_groups"), F.count_if(F.col("method") == "llm").alias("llm_groups"), F.coalesce(F.sum(F.size("entities")), F.lit(0)).cast("long").alias("entities_covered"))
@@ -65,15 +80,36 @@ def ntriples(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", iri_text(F.col("s")), iri_text(F.col("p")), "o", F.lit(".")).alias("line"))
 
 
-def insert_statements(lines: DataFrame, graph: str, most: int = 5000) -> list[str]:
-    """INSERT DATA updates of at most so many statements each; none if there are none."""
-    out, held = [], []
-    for r in lines.orderBy("line").toLocalIterator():
-        held.append(r["line"])
-        if len(held) == most:
-            out.append(held)
-            held = []
-    return ["INSERT DATA { GRAPH <%s> {\n%s\n} }" % (graph, "\n".join(x)) for x in [*out, held] if x]
+def insert_statements(lines: DataFrame, graph: str, most: int = 5000) -> DataFrame:
+    """statement: INSERT DATA updates of at most so many lines each, made where the lines lie; none if there are none."""
+
+    def run(frames: Iterator[pd.DataFrame]):
+        held: list[str] = []
+        for f in frames:
+            held += f["line"].tolist()
+            while len(held) >= most:
+                yield made(held[:most])
+                held = held[most:]
+        if held:
+            yield made(held)
+
+    def made(part: list[str]) -> pd.DataFrame:
+        return pd.DataFrame({"statement": ["INSERT DATA { GRAPH <%s> {\n%s\n} }" % (graph, "\n".join(part))]})
+
+    return lines.select("line").sortWithinPartitions("line").mapInPandas(run, "statement string")
+
+
+def send(statements: DataFrame, update: Callable[[str], None], parallel: int = 1) -> int:
+    """Execute each update where it lies, at most `parallel` at a time; returns how many. A task that runs again sends
+    its statements again, which inserts nothing new. update must be fit to be sent to executors."""
+
+    def run(frames: Iterator[pd.DataFrame]):
+        for f in frames:
+            for statement in f["statement"]:
+                update(statement)
+            yield pd.DataFrame({"n": [len(f)]})
+
+    return statements.repartition(parallel).mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
 
 def audit_rows(groups: DataFrame, moment: Column | None = None) -> DataFrame:

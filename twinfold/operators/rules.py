@@ -32,11 +32,11 @@ def by_github_username(persons: DataFrame) -> DataFrame:
 
 
 def by_uuid(persons: DataFrame) -> DataFrame:
-    """key, entities, reason of persons with one UUID; the reason warns where usernames differ."""
+    """key, entities, reason, conflict (usernames differ, and the reason warns) of persons with one UUID."""
     names = F.array_sort(F.collect_set(present("github_username"))).alias("usernames")
     found = _groups(persons, uuid_key(F.col("infoscience_id")), names)
     caution = F.when(F.size("usernames") > 1, F.format_string(CAUTION, F.array_join("usernames", ", "))).otherwise("")
-    return found.select("key", "entities", F.concat(F.format_string(SAME_UUID, "key", F.size("entities")), caution).alias("reason"))
+    return found.select("key", "entities", F.concat(F.format_string(SAME_UUID, "key", F.size("entities")), caution).alias("reason"), (F.size("usernames") > 1).alias("conflict"))
 
 
 RESOLVERS: list[Resolver] = [by_github_username, by_uuid]

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
-import urllib.request
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
 from typing import Protocol
 
 import pandas as pd
+from pyspark import Accumulator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinfold.sources.http import post_json
+
 POLICY = """Decide whether these person records of an open-source knowledge graph are one real person with several identities.
 For: one username is a variant of the other; a repository both contributed to; the same name, hashed e-mail, social handle, blog or ORCID; a later account with hardly any activity.
 Not against: another avatar, creation date, number of followers or repositories, or contributions elsewhere.
@@ -48,27 +50,27 @@ class SharedSignals:
 
 @dataclass
 class ChatAdjudicator:
-    """A chat completion service that answers with the JSON object of POLICY."""
+    """A chat completion service that answers with the JSON object of POLICY; retried as embeddings are."""
 
     url: str
     key: str
     model: str
+    attempts: int = 6
     timeout: float = 180.0
 
     def judge(self, payload: str) -> Verdict:
         body = {"model": self.model, "messages": [{"role": "system", "content": POLICY}, {"role": "user", "content": payload}], "response_format": {"type": "json_object"}}
-        request = urllib.request.Request(self.url, json.dumps(body).encode(), {"Authorization": f"Bearer {self.key}", "Content-Type": "application/json"})
-        with urllib.request.urlopen(request, timeout=self.timeout) as answer:
-            said = json.loads(json.load(answer)["choices"][0]["message"]["content"])
+        answer = post_json(self.url, self.key, body, self.attempts, self.timeout)
+        said = json.loads(answer["choices"][0]["message"]["content"])
         return Verdict(list(said["entities"]), bool(said["is_duplicate"]), float(said["certainty"]), str(said["reason"]))
 
 
 VERDICT = "cluster_id string, status string, entities array<string>, is_duplicate boolean, certainty double, reason string, prompt string, error string"
 
 
-def judge(payloads: DataFrame, adjudicator: Adjudicator, cap: int = 25, parallel: int = 1) -> DataFrame:
-    """A row for each cluster: judged, failed (with the error; the others go on) or skipped_oversized. Calls a service:
-    write the result before using it twice."""
+def judge(payloads: DataFrame, adjudicator: Adjudicator, cap: int = 25, parallel: int = 6, done: Accumulator | None = None) -> DataFrame:
+    """A row for each cluster: judged, failed (with the error; the others go on) or skipped_oversized. At most `parallel`
+    clusters are judged at a time; `done` counts them. Calls a service: write the result before using it twice."""
 
     def run(frames: Iterator[pd.DataFrame]):
         for f in frames:
@@ -81,6 +83,8 @@ def judge(payloads: DataFrame, adjudicator: Adjudicator, cap: int = 25, parallel
                     except Exception as e:  # noqa: BLE001  one cluster's failure is its own
                         row |= {"status": "failed", "error": f"{type(e).__name__}: {e}"}
                 rows.append(row)
+                if done is not None:
+                    done.add(1)
             yield pd.DataFrame(rows, columns=["cluster_id", "status", "entities", "is_duplicate", "certainty", "reason", "prompt", "error"])
 
     return payloads.select(F.col("cluster_id").cast("string").alias("cluster_id"), "iris", "payload").repartition(parallel).mapInPandas(run, VERDICT)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import AccumulatorParam
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,10 +19,34 @@ from twinfold.plans.config import Config
 from twinfold.sources import caches
 
 
+def percent(done: int, total: int) -> int:
+    return done * 100 // total if total else 100
+
+
+class Progress(AccumulatorParam):
+    """Counts clusters as tasks end; each tenth of all is said once."""
+
+    def __init__(self, total: int, say: Callable[[str], None]):
+        self.total, self.say, self.next = total, say, 10
+
+    def zero(self, value: int) -> int:
+        return 0
+
+    def addInPlace(self, a: int, b: int) -> int:  # noqa: N802
+        if self.say and (now := percent(a + b, self.total)) >= self.next:
+            self.say(f"judged {a + b}/{self.total} clusters ({now} %)")
+            self.next = now - now % 10 + 10
+        return a + b
+
+    def __getstate__(self) -> dict:
+        return {"total": self.total, "say": None, "next": 10}  # an executor only counts
+
+
 def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], embeddings: EmbeddingProvider, adjudicator: verdicts.Adjudicator, update: Callable[[str], None], say: Callable[[str], None] = print) -> dict:
     """Returns groups_found, rule_based_groups, llm_groups, entities_covered, dedup_graph.
 
-    triples() gives the table (s, pos, p, o); update(statement) executes an update. Nothing is merged in the source.
+    triples() gives the table (s, pos, p, o); update(statement) executes an update, on executors. Nothing is merged in
+    the source.
     """
     people = caches.persons_from(spark, config.persons_cache_path, lambda: persons.persons(triples()), config.use_persons_cache)
     matches = checkpointed(rules.resolve(people))
@@ -33,7 +58,8 @@ def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], e
     sizes = found.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
     say(f"clusters: {clusters.statistics(sizes, pool.count()).first().asDict()}")
 
-    said = checkpointed(verdicts.judge(clusters.payload(found.join(pool, "iri")), adjudicator, config.agent_max_cluster_size))
+    done = spark.sparkContext.accumulator(0, Progress(sizes.count(), say))
+    said = checkpointed(verdicts.judge(clusters.payload(found.join(pool, "iri")), adjudicator, config.agent_max_cluster_size, config.embed_concurrency, done))
     log = said.where("status = 'judged'").select(utc_iso(F.current_timestamp()).alias("timestamp"), "prompt", F.struct("entities", "is_duplicate", "certainty", "reason").alias("response"))
     groups.append_json(log, config.llm_log_path)
     say(f"verdicts: {verdicts.counters(said).first().asDict()}")
@@ -47,9 +73,9 @@ def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], e
         say(row["line"])
 
     moment = spark.sql("SELECT current_timestamp() AS t").select(utc_iso(F.col("t")).alias("t")).first()["t"]
-    statements = groups.insert_statements(groups.ntriples(groups.assertion_triples(every, F.lit(moment))), config.dedup_graph)
-    for statement in statements:
-        update(statement)
-    if not statements:
+    statements = checkpointed(groups.insert_statements(groups.ntriples(groups.assertion_triples(every, F.lit(moment))), config.dedup_graph))
+    if not statements.isEmpty():
+        groups.append_json(statements.select(utc_iso(F.current_timestamp()).alias("timestamp"), F.lit("update").alias("operation"), F.trim("statement").alias("statement")), config.sparql_log_path)
+    if not groups.send(statements, update):
         say(f"nothing to write to {config.dedup_graph}")
     return {k: result[k] for k in ("groups_found", "rule_based_groups", "llm_groups", "entities_covered", "dedup_graph")}

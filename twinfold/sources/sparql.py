@@ -3,16 +3,17 @@
     spark.dataSource.register(SparqlTriples)
     spark.read.format("sparql_triples").option("endpoint", url).load()
 
-Options: endpoint, update_endpoint (the endpoint if unset), user and password (sent only if both are given), page_size.
+Options: endpoint, update_endpoint (the endpoint if unset), user and password (sent only if both are given), page_size,
+timeout (seconds), log (a folder for statement logs: the count and all page queries are logged before the pages are read).
 """
 
 from __future__ import annotations
 
 import base64
 import json
-import os
 import urllib.parse
 import urllib.request
+import uuid
 from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
@@ -20,15 +21,15 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from twinfold.functions import vocabulary as V
 
-Log = Callable[[str, str], None]
+Log = Callable[..., None]
 SCHEMA = "s string, pos int, p string, o string"
 
 
 class Endpoint:
     """Queries and updates of one endpoint; every statement is logged before it is sent."""
 
-    def __init__(self, endpoint: str, update_endpoint: str | None = None, user: str | None = None, password: str | None = None, log: Log | None = None):
-        self.endpoint, self.update_endpoint, self.log = endpoint, update_endpoint or endpoint, log
+    def __init__(self, endpoint: str, update_endpoint: str | None = None, user: str | None = None, password: str | None = None, log: Log | None = None, timeout: float = 300.0):
+        self.endpoint, self.update_endpoint, self.log, self.timeout = endpoint, update_endpoint or endpoint, log, timeout
         self.login = base64.b64encode(f"{user}:{password}".encode()).decode() if user and password else None
 
     def _post(self, url: str, field: str, statement: str) -> bytes:
@@ -37,7 +38,7 @@ class Endpoint:
         headers = {"Accept": "application/sparql-results+json", "Content-Type": "application/x-www-form-urlencoded"}
         if self.login:
             headers["Authorization"] = f"Basic {self.login}"
-        with urllib.request.urlopen(urllib.request.Request(url, urllib.parse.urlencode({field: statement}).encode(), headers)) as answer:
+        with urllib.request.urlopen(urllib.request.Request(url, urllib.parse.urlencode({field: statement}).encode(), headers), timeout=self.timeout) as answer:
             return answer.read()
 
     def query(self, statement: str) -> list[dict[str, str]]:
@@ -51,13 +52,18 @@ class Endpoint:
         self._post(self.update_endpoint, "update", statement)
 
 
-def statement_log(path: str) -> Log:
-    """Appends one JSON line for each statement: timestamp, operation, statement. Makes the folder if there is none."""
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+def statement_log(folder: str) -> Log:
+    """log(operation, statement, ...) adds a file to the folder (a path or URL), with one JSON line for each statement:
+    timestamp, operation, statement. Makes the folder if there is none."""
 
-    def log(operation: str, statement: str) -> None:
-        with open(path, "a", encoding="utf-8") as f:
-            f.write(json.dumps({"timestamp": datetime.now(timezone.utc).isoformat(), "operation": operation, "statement": statement.strip()}, ensure_ascii=False) + "\n")
+    def log(operation: str, *statements: str) -> None:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+        store.create_dir(base, recursive=True)
+        lines = [json.dumps({"timestamp": datetime.now(timezone.utc).isoformat(), "operation": operation, "statement": x.strip()}, ensure_ascii=False) for x in statements]
+        with store.open_output_stream(f"{base.rstrip('/')}/{operation}-{uuid.uuid4().hex}.json") as f:
+            f.write(("\n".join(lines) + "\n").encode())
 
     return log
 
@@ -79,11 +85,17 @@ class _Page(InputPartition):
 class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.size = int(options.get("page_size", 5000))
-        self.endpoint = Endpoint(options["endpoint"], options.get("update_endpoint"), options.get("user"), options.get("password"))
+        self.endpoint = Endpoint(options["endpoint"], options.get("update_endpoint"), options.get("user"), options.get("password"), timeout=float(options.get("timeout", 300)))
+        self.log = statement_log(options["log"]) if options.get("log") else None
 
     def partitions(self) -> list[_Page]:
+        if self.log:
+            self.log("query", count_query())
         n = int(self.endpoint.query(count_query())[0]["n"])
-        return [_Page(i) for i in range(-(-n // self.size))] or [_Page(0)]
+        pages = range(max(1, -(-n // self.size)))
+        if self.log:  # executors send these; a page that is read again is not logged again
+            self.log("query", *(page_query(i, self.size) for i in pages))
+        return [_Page(i) for i in pages]
 
     def read(self, partition: _Page) -> Iterator[tuple]:
         before, pos = None, 0
