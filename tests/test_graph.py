@@ -27,7 +27,7 @@ def brute(vectors, k, least):
 def test_neighbours_equal_brute_force(spark, monkeypatch, blocked):
     if blocked:
         monkeypatch.setattr(knn, "BROADCAST_BYTES", 0)
-        monkeypatch.setattr(knn, "BLOCK", 16)
+        monkeypatch.setattr(knn, "BLOCK_BYTES", 16 * 6 * 8)
     v = np.random.default_rng(5).normal(size=(60, 6)).astype(np.float32)
     got = {(r["i"], r["j"]) for r in knn.neighbours(frame(spark, v), 4, 0.2).collect()}
     assert got == brute(v, 4, 0.2)
@@ -45,6 +45,37 @@ def test_hashing_finds_close_pairs(spark):
     assert {(i, i ^ 1) for i in range(20)} <= got
 
 
+def test_recall_of_hashing(spark):
+    """Against the exact neighbours of vectors in loose clusters."""
+    rng = np.random.default_rng(11)
+    v = (np.repeat(rng.normal(size=(60, 16)), 5, axis=0) + 0.05 * rng.normal(size=(300, 16))).astype(np.float32)
+    exact = {(r["i"], r["j"]) for r in knn.neighbours(frame(spark, v), 5, 0.95).collect()}
+    got = {(r["i"], r["j"]) for r in knn.neighbours_by_hashing(frame(spark, v), 5, 0.95).collect()}
+    assert len(exact) > 1000 and len(got & exact) >= 0.95 * len(exact)
+
+
+@pytest.mark.parametrize("blocked", [False, True])
+def test_ties_go_to_the_smaller_id(spark, monkeypatch, blocked):
+    if blocked:
+        monkeypatch.setattr(knn, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(knn, "BLOCK_BYTES", 7 * 9 * 8)
+    v = np.repeat(np.random.default_rng(12).normal(size=(3, 9)), 15, axis=0).astype(np.float32)
+    got = {(r["i"], r["j"]) for r in knn.neighbours(frame(spark, v), 4, 0.9).collect()}
+    assert got == {(i, j) for i in range(45) for j in [x for x in range(i // 15 * 15, i // 15 * 15 + 15) if x != i][:4]}
+
+
+def test_plain_pairs_are_for_few_vectors(spark, monkeypatch):
+    monkeypatch.setattr(knn, "PLAIN", 3)
+    with pytest.raises(ValueError, match="neighbours"):
+        knn.similar_pairs(frame(spark, np.eye(4)), 0.3)
+
+
+def test_numbers_are_of_one_person_each(spark):
+    people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
+    got = clusters.numbered(people).collect()
+    assert len({r["id"] for r in got}) == 200 and [r["iri"] for r in sorted(got, key=lambda r: r["id"])] == sorted(r["iri"] for r in got)
+
+
 def test_few_equal_zero_and_no_vectors(spark):
     assert knn.edges(frame(spark, [[1, 0]]), threshold=0.5).count() == 0
     same = {(r["i"], r["j"]) for r in knn.edges(frame(spark, [[1, 1]] * 3 + [[0, 0]]), threshold=0.9).collect()}

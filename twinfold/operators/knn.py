@@ -19,7 +19,12 @@ from twinfold.operators.idf import effective_threshold
 
 #: Largest matrix that is broadcast, in bytes of float64; beyond it, pairs of blocks are dealt out.
 BROADCAST_BYTES = 256 << 20
-BLOCK = 4096
+#: Bytes of a block; a vector is sent once for each block, so fewer, larger ones move less.
+BLOCK_BYTES = 16 << 20
+#: Of a similarity, what ranks; the last bits of a product depend on the shape of its matrices.
+DIGITS = 12
+#: Most vectors whose pairs the plain form makes.
+PLAIN = 10_000
 
 
 def top_k(pairs: DataFrame, k: int) -> DataFrame:
@@ -29,6 +34,8 @@ def top_k(pairs: DataFrame, k: int) -> DataFrame:
 
 def similar_pairs(vectors: DataFrame, least: float) -> DataFrame:
     """i, j, sim of all ordered pairs with sim >= least, on built-in functions: the plain form, for small tables."""
+    if vectors.count() > PLAIN:
+        raise ValueError(f"more than {PLAIN} vectors: use neighbours()")
     u = vectors.select("id", unit(F.col("vector")).alias("u"))
     a, b = u.select(F.col("id").alias("i"), F.col("u").alias("ui")), u.select(F.col("id").alias("j"), F.col("u").alias("uj"))
     half = a.join(b, F.col("i") < F.col("j")).select("i", "j", dot(F.col("ui"), F.col("uj")).alias("sim")).where(F.col("sim") >= least)
@@ -41,13 +48,21 @@ def _unit_rows(vectors) -> np.ndarray:
 
 
 def _near(ids: np.ndarray, left: np.ndarray, others: np.ndarray, right: np.ndarray, k: int, least: float) -> pd.DataFrame:
+    """Each left vector's k nearest of the right ones; products are rounded, so that ties do not depend on the blocks."""
     rows = []
-    for s in range(0, len(ids), 512):
-        sim = left[s : s + 512] @ right.T
-        sim[ids[s : s + 512, None] == others[None, :]] = -np.inf
-        r, c = np.nonzero(sim >= least)
-        found = pd.DataFrame({"i": ids[s + r], "j": others[c], "sim": sim[r, c]})
-        rows.append(found.sort_values(["i", "sim", "j"], ascending=[True, False, True]).groupby("i").head(k))
+    step = max(1, min(512, (32 << 20) // (8 * max(1, len(others)))))
+    for s in range(0, len(ids), step):
+        sim = np.round(left[s : s + step] @ right.T, DIGITS)
+        sim[ids[s : s + step, None] == others[None, :]] = -np.inf
+        cut = np.full(len(sim), least)
+        if sim.shape[1] > k:
+            cut = np.maximum(np.partition(sim, sim.shape[1] - k, axis=1)[:, -k], least)  # the k-th best
+        r, c = np.nonzero(sim >= cut[:, None])
+        order = np.lexsort((others[c], -sim[r, c], r))
+        r, c = r[order], c[order]
+        kept = np.arange(len(r)) - np.searchsorted(r, r) < k  # of ties with the k-th, the smaller ids
+        r, c = r[kept], c[kept]
+        rows.append(pd.DataFrame({"i": ids[s + r], "j": others[c], "sim": sim[r, c]}))
     return pd.concat(rows) if rows else pd.DataFrame({"i": [], "j": [], "sim": []})
 
 
@@ -71,7 +86,7 @@ def neighbours(vectors: DataFrame, k: int = 20, least: float = 0.99) -> DataFram
                     yield _near(f["id"].to_numpy(np.int64), _unit_rows(f["vector"]), others, right, k, least)
 
         return top_k(vectors.mapInPandas(run, schema), k)
-    blocks = -(-n // BLOCK)
+    blocks = -(-n * d * 8 // BLOCK_BYTES)
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = dealt.select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "vector")
 
@@ -88,7 +103,8 @@ def neighbours(vectors: DataFrame, k: int = 20, least: float = 0.99) -> DataFram
 
 
 def neighbours_by_hashing(vectors: DataFrame, k: int = 20, least: float = 0.99, tables: int = 8, width: float = 0.5) -> DataFrame:
-    """As neighbours(), but approximate: pairs that no random projection puts in one bucket are missed."""
+    """As neighbours(), but approximate: pairs that no random projection puts in one bucket are missed. Recall grows with
+    the number of tables and the width; a test measures it against neighbours()."""
     from pyspark.ml.feature import BucketedRandomProjectionLSH
     from pyspark.ml.functions import array_to_vector
 
