@@ -13,8 +13,11 @@ similarity is at least `percent` hundredths. The join finds the components of th
    tell long sets apart as well as short ones.
 5. Within a group every pair is verified once at most on whole sets; pairs that other links already join are skipped.
 
-Buckets and groups of more than BUCKET and GROUP members are split in blocks, and each pair of blocks is a key of its
-own, so no task holds a whole bucket or group and no pair is lost.
+Buckets and groups of more than BUCKET and GROUP members are dealt out (steps 3 to 5 alike, see _linked): a sample of
+about SAMPLE members shows which belong together, and PIVOTS of the largest such set go to every block. What a block
+joins to a pivot is done; only the members left outside are then compared with all members, block by block. No link is
+lost: two members that are both joined to pivots are already in one component. A group of k near copies costs k rows
+and not k squared; the price is k times the number outside, k squared at worst, if hardly any two of k candidates link.
 
 Words: A-Z lower-cased if `lower`, then `[^\\x20\\x09-\\x0D]+`. With fewer words than n the whole sequence is the one
 shingle. Cases: null and empty texts and those without words have an empty set and link with nothing; repeated rows
@@ -29,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, mix, tidy, written
@@ -41,6 +44,12 @@ PARTS = 128
 BUCKET = 512
 GROUP = 64
 FINE = 4
+#: Members of a large key that are compared first, and how many of the largest set among them go to every block.
+SAMPLE = 64
+PIVOTS = 8
+#: What a row is to a worker: one of a whole key; of a sample; a pivot; another member of a block; one left outside, and
+#: what that is compared with.
+WHOLE, SAMPLED, PIVOT, MEMBER, LEFT, RIGHT = range(6)
 #: Most rows of a table of groups or of large buckets that is broadcast, 12 to 20 bytes each.
 BROADCAST_ROWS = 500_000
 
@@ -185,6 +194,58 @@ class Forest:
         return others[first]
 
 
+def span(doc: np.ndarray, side: np.ndarray, passes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The rows (i, j) of a spanning forest of the pairs that passes(i, others) lets through, and the rows to report.
+
+    LEFT rows are compared with RIGHT ones only, others each with each; pairs that are joined already are skipped. To
+    report: of SAMPLED rows PIVOTS of the largest tree, of MEMBER rows those that share no tree with a pivot.
+    """
+    forest, out_i, out_j = Forest(len(doc)), [], []
+    rights = np.flatnonzero(side == RIGHT)
+    for i in np.flatnonzero(side == LEFT) if len(rights) else range(len(doc) - 1):
+        others = rights[doc[rights] != doc[i]] if len(rights) else np.arange(i + 1, len(doc))
+        others = others[forest.label[others] != forest.label[i]]
+        if len(others):
+            ok = passes(i, others)
+            if ok.any():
+                new = forest.join(i, others[ok])
+                out_i.append(np.full(len(new), i))
+                out_j.append(new)
+    report = np.zeros(0, np.int64)
+    if side[0] == SAMPLED:
+        labels, sizes = np.unique(forest.label, return_counts=True)
+        report = np.flatnonzero(forest.label == labels[sizes.argmax()])[:PIVOTS]
+    elif (members := side == MEMBER).any():
+        report = np.flatnonzero(members & ~np.isin(forest.label, forest.label[side == PIVOT]))
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *out_i]), np.concatenate([none, *out_j]), report
+
+
+_SPANNED = pa.schema([("i", pa.int64()), ("j", pa.int64()), ("key", pa.int64())])
+
+
+class _Spanned:
+    """Collects links (i, j), and reported members without j but with their key."""
+
+    def __init__(self):
+        self.links, self.reported = [], []
+
+    def add(self, key: int, doc: np.ndarray, side: np.ndarray, passes) -> None:
+        i, j, report = span(doc, side, passes)
+        if len(i):
+            self.links.append(np.stack([doc[i], doc[j]]))
+        if len(report):
+            self.reported.append(np.stack([doc[report], np.full(len(report), key)]))
+
+    def batch(self) -> pa.RecordBatch:
+        none = np.zeros((2, 0), np.int64)
+        (i, j), (member, key) = (np.concatenate([none, *x], 1) for x in (self.links, self.reported))
+        self.links, self.reported = [], []
+        nulls = [pa.nulls(len(x)).cast(pa.int64()) for x in (i, key)]
+        columns = [pa.array(np.append(i, member)), pa.concat_arrays([pa.array(j), nulls[1]]), pa.concat_arrays([nulls[0], pa.array(key)])]
+        return pa.RecordBatch.from_arrays(columns, schema=_SPANNED)
+
+
 def _pairs_pass(n, place, sums, i, others, percent: int) -> np.ndarray:
     """Which of others may link with i: length, positional and suffix filter."""
     ni, no = n[i], n[others]
@@ -199,39 +260,26 @@ def _pairs_pass(n, place, sums, i, others, percent: int) -> np.ndarray:
 
 
 def _bucket_edges(percent: int):
-    schema = pa.schema([("i", pa.int64()), ("j", pa.int64())])
-
-    def edges(doc, n, place, sums, starts, ends) -> Iterator[pa.RecordBatch]:
-        two = starts[ends - starts == 2]
-        out_i, out_j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        if len(two):
-            ok = _pairs_pass(n, place, sums, two, two + 1, percent)
-            out_i.append(doc[two[ok]])
-            out_j.append(doc[two[ok] + 1])
-        for s, e in zip(starts[ends - starts > 2].tolist(), ends[ends - starts > 2].tolist(), strict=True):
-            forest, inside = Forest(e - s), np.arange(s, e)
-            for i in range(e - s - 1):
-                others = np.flatnonzero(forest.label[i + 1 :] != forest.label[i]) + i + 1
-                if len(others):
-                    ok = _pairs_pass(n, place, sums, s + i, inside[others], percent)
-                    if ok.any():
-                        new = forest.join(i, others[ok])
-                        out_i.append(np.full(len(new), doc[s + i]))
-                        out_j.append(doc[s + new])
-        yield batch(schema, np.concatenate(out_i), np.concatenate(out_j))
-
     def run(batches: Iterator[pa.RecordBatch]):
-        for keys, columns in grouped(batches, ["hash", "g1", "g2"], ["doc_id", "n", "place"], "sums"):
-            sums = columns.pop()
+        found = _Spanned()
+        for keys, (doc, n, place, side, sums) in grouped(batches, ["key", "a", "b"], ["doc_id", "n", "place", "side"], "sums"):
             cut = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0)) + 1
             starts, ends = np.append(0, cut), np.append(cut, len(keys[0]))
-            yield from edges(*columns, sums, starts, ends)
+            small = (ends - starts == 2) & (side[starts] == WHOLE)
+            two = starts[small]
+            if len(two):
+                two = two[_pairs_pass(n, place, sums, two, two + 1, percent)]
+                found.links.append(np.stack([doc[two], doc[two + 1]]))
+            others = ~small & ((ends - starts > 1) | (side[starts] != WHOLE))
+            for s, e in zip(starts[others].tolist(), ends[others].tolist(), strict=True):
+                found.add(keys[0][s], doc[s:e], side[s:e], lambda i, o, s=s: _pairs_pass(n, place, sums, s + i, s + o, percent))
+            yield found.batch()
 
     return run
 
 
 def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], numbers: list[str], binary: str):
-    """Rows sorted by keys as numpy columns, whole groups at a time."""
+    """Rows sorted by keys as numpy columns, as many whole groups as have come."""
     rest: pa.Table | None = None
 
     def columns(t: pa.Table):
@@ -256,7 +304,7 @@ def grouped(batches: Iterator[pa.RecordBatch], keys: list[str], numbers: list[st
 
 
 def _group_sets(width: int, lower: bool):
-    schema = pa.schema([("doc_id", pa.int64()), ("component", pa.int64()), ("blocks", pa.int32()), ("set", pa.list_(pa.int64()))])
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("blocks", pa.int32()), ("set", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
@@ -265,7 +313,7 @@ def _group_sets(width: int, lower: bool):
             def out():
                 ends = np.cumsum([0, *map(len, sets)])
                 at = pa.array(rows)
-                return batch(schema, b.column("doc_id").take(at), b.column("component").take(at), b.column("blocks").take(at), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))))
+                return batch(schema, *(b.column(c).take(at) for c in schema.names[:3]), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64))))
 
             for i, s in _sets(b, width, lower):
                 rows.append(i)
@@ -292,106 +340,130 @@ def folded(sums: np.ndarray, parts: int) -> np.ndarray:
 
 
 def _group_sums(width: int, lower: bool):
-    schema = pa.schema([("doc_id", pa.int64()), ("component", pa.int64()), ("blocks", pa.int32()), ("n", pa.int64()), ("sums", pa.binary())])
+    """Of each text, its finer counts and then its number of shingles in 8 bytes."""
+    schema = pa.schema([("key", pa.int64()), ("doc_id", pa.int64()), ("blocks", pa.int32()), ("sums", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
-            found = [(i, len(s), fine_sums(s).tobytes()) for i, s in _sets(b, width, lower)]
+            found = [fine_sums(s).tobytes() + len(s).to_bytes(8, "little") for _, s in _sets(b, width, lower)]
             if found:
-                yield batch(schema, *(b.column(c) for c in schema.names[:3]), [n for _, n, _ in found], [x for *_, x in found])
+                yield batch(schema, *(b.column(c) for c in schema.names[:3]), found)
 
     return run
 
 
-def _alike(percent: int):
-    schema = pa.schema([("i", pa.int64()), ("j", pa.int64())])
-
-    def edges(docs: np.ndarray, blocks: np.ndarray, n: np.ndarray, sums: list[np.ndarray]):
-        parts, forest = np.array([len(x) for x in sums]), Forest(len(docs))
-        levels = {p: np.stack([folded(x, p) if len(x) >= p else np.zeros(p, np.uint8) for x in sums]) for p in set(parts.tolist())}
-        mixed = blocks.min() != blocks.max()
-        for i in range(len(docs) - 1):
-            near = (forest.label[i + 1 :] != forest.label[i]) & (100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :]))
-            if mixed:
-                near &= blocks[i + 1 :] != blocks[i]  # pairs within one block are another key's
-            others = np.flatnonzero(near) + i + 1
-            for p in set(np.minimum(parts[others], parts[i]).tolist()):
-                these = others[np.minimum(parts[others], parts[i]) == p]
-                apart = levels[p][these] - levels[p][i]
-                both = n[i] + n[these]
-                ok = np.minimum(apart, -apart).sum(1, dtype=np.int64) <= both - 2 * -(-both * percent // (100 + percent))
-                if ok.any():
-                    new = forest.join(i, these[ok])
-                    yield from ((docs[i], docs[j]) for j in new)
+def _by_key(passes_of, column: str):
+    """A worker that gathers the rows of a key and spans them; passes_of(values of the column) compares them."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        key, rows = None, []
+        at, docs, sides, values, found = None, [], [], [], _Spanned()
 
-        def out():
-            docs, blocks, n, sums = zip(*rows, strict=True)
-            return list(edges(np.array(docs), np.array(blocks), np.array(n), [np.frombuffer(x, np.uint8) for x in sums]))
+        def add():
+            if len(docs) > 1 or docs and sides[0] != WHOLE:
+                found.add(at[0], np.array(docs), np.array(sides), passes_of(values))
 
         for b in batches:
-            found = []
-            for c, b1, b2, *row in zip(*(b.column(x).to_pylist() for x in ("component", "b1", "b2", "doc_id", "block", "n", "sums")), strict=True):
-                if (c, b1, b2) != key:
-                    found += out() if rows else []
-                    key, rows = (c, b1, b2), []
-                rows.append(row)
-            if found:
-                yield batch(schema, *zip(*found, strict=True))
-        if rows and (found := out()):
-            yield batch(schema, *zip(*found, strict=True))
+            for key, doc, side, value in zip(zip(*(b.column(c).to_pylist() for c in ("key", "a", "b")), strict=True), b.column("doc_id").to_pylist(), b.column("side").to_pylist(), b.column(column), strict=True):
+                if key != at:
+                    add()
+                    at, docs, sides, values = key, [], [], []
+                docs.append(doc)
+                sides.append(side)
+                values.append(np.frombuffer(value.as_buffer().to_pybytes(), np.uint8) if column == "sums" else value.values.to_numpy().view(np.uint64).copy())
+            yield found.batch()
+        add()
+        yield found.batch()
 
     return run
 
 
+def _alike(percent: int):
+    """Whether the finer counts of two sets differ by no more than the sets may."""
+
+    def passes_of(values: list[np.ndarray]):
+        n, sums = np.array([int(v[-8:].view(np.int64)[0]) for v in values]), [v[:-8] for v in values]
+        parts = np.array([len(x) for x in sums])
+        levels = {p: np.stack([folded(x, p) if len(x) >= p else np.zeros(p, np.uint8) for x in sums]) for p in set(parts.tolist())}
+
+        def passes(i: int, others: np.ndarray) -> np.ndarray:
+            ok = 100 * np.minimum(n[i], n[others]) >= percent * np.maximum(n[i], n[others])
+            both, level = n[i] + n[others], np.minimum(parts[others], parts[i])
+            for p in set(level[ok].tolist()):
+                these = np.flatnonzero(ok & (level == p))
+                apart = levels[p][others[these]] - levels[p][i]
+                ok[these] = np.minimum(apart, -apart).sum(1, dtype=np.int64) <= both[these] - 2 * -(-both[these] * percent // (100 + percent))
+            return ok
+
+        return passes
+
+    return _by_key(passes_of, "sums")
+
+
 def _verified(percent: int):
-    schema = pa.schema([("i", pa.int64()), ("j", pa.int64())])
-
-    def links(docs: list[int], blocks: list[int], sets: list[np.ndarray]):
-        n, forest = np.array([len(s) for s in sets]), Forest(len(docs))
-        block = np.array(blocks)
-        for i in range(len(docs) - 1):
-            near = (forest.label[i + 1 :] != forest.label[i]) & (100 * np.minimum(n[i], n[i + 1 :]) >= percent * np.maximum(n[i], n[i + 1 :]))
-            if block.min() != block.max():
-                near &= block[i + 1 :] != block[i]  # pairs within one block are another key's
-            others = np.flatnonzero(near) + i + 1
-            if len(others):
-                every = np.concatenate([sets[j] for j in others])
+    """Whether two sets link, by their shingles."""
+
+    def passes_of(sets: list[np.ndarray]):
+        n = np.array([len(s) for s in sets])
+
+        def passes(i: int, others: np.ndarray) -> np.ndarray:
+            ok = 100 * np.minimum(n[i], n[others]) >= percent * np.maximum(n[i], n[others])
+            near = others[ok]
+            if len(near):
+                every = np.concatenate([sets[j] for j in near])
                 at = np.searchsorted(sets[i], every)
                 hit = sets[i][np.minimum(at, n[i] - 1)] == every
-                both = np.add.reduceat(hit, np.cumsum(n[others]) - n[others], dtype=np.int64)
-                ok = 100 * both >= percent * (n[i] + n[others] - both)
-                for j in forest.join(i, others[ok]):
-                    yield docs[i], docs[j]
+                both = np.add.reduceat(hit, np.cumsum(n[near]) - n[near], dtype=np.int64)
+                ok[ok] = 100 * both >= percent * (n[i] + n[near] - both)
+            return ok
 
-    def run(batches: Iterator[pa.RecordBatch]):
-        key, docs, blocks, sets = None, [], [], []
-        for b in batches:
-            out = []
-            lists = b.column("set")
-            flat, ends = lists.flatten().to_numpy(), np.cumsum([0, *lists.value_lengths().to_pylist()])
-            for r, (c, b1, b2, doc, block) in enumerate(zip(*(b.column(x).to_pylist() for x in ("component", "b1", "b2", "doc_id", "block")), strict=True)):
-                if (c, b1, b2) != key:
-                    out += links(docs, blocks, sets)
-                    key, docs, blocks, sets = (c, b1, b2), [], [], []
-                docs.append(doc)
-                blocks.append(block)
-                sets.append(flat[ends[r] : ends[r + 1]].view(np.uint64).copy())
-            if out:
-                yield batch(schema, *zip(*out, strict=True))
-        if out := list(links(docs, blocks, sets)):
-            yield batch(schema, *zip(*out, strict=True))
+        return passes
+
+    return _by_key(passes_of, "set")
 
-    return run
 
+def _few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
-def _blocked(df: DataFrame, n: str, names: tuple[str, str], own: str) -> DataFrame:
-    """Each row once for every pair of its block with another one (n blocks; by doc_id)."""
-    block = F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
-    df = df.withColumn(own, block).withColumn("other", F.explode(F.expr(f"sequence(0, {n} - 1)")))
-    return df.withColumn(names[0], F.least(own, "other")).withColumn(names[1], F.greatest(own, "other")).drop("other")
+
+def _linked(rows: DataFrame, size: int, worker) -> DataFrame:
+    """i, j: links that span what the worker joins of the members (doc_id and more columns) of each key.
+
+    blocks: how many blocks of about `size` members the key has. Where it has several, pivots are sought in a sample,
+    each block is spanned with them, and what stays outside is compared with all members.
+    """
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.drop("blocks").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(tidy(worker), "i long, j long, key long")
+
+    def at(a: Column, b: int, side: int) -> dict[str, Column]:
+        return {"a": a, "b": F.lit(b), "side": F.lit(side)}
+
+    def of(found: DataFrame) -> DataFrame:
+        return found.where("j is null").select("key", F.col("i").alias("doc_id"))
+
+    links, large = [], rows.where("blocks > 1")
+    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+    if large.isEmpty():
+        return dealt(rows.withColumns(at(F.lit(0), 0, WHOLE))).select("i", "j")
+    sampled = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.floor(F.col("blocks") * size / SAMPLE), F.lit(1))) == 0
+    first = written(dealt(large.where(sampled).withColumns(at(F.lit(0), 0, SAMPLED))))
+    pivots = _few(of(first).withColumn("side", F.lit(PIVOT)))
+    marked = rows.join(pivots, ["key", "doc_id"], "left").withColumn("side", F.coalesce("side", F.when(F.col("blocks") > 1, MEMBER).otherwise(WHOLE)))
+    everywhere = F.when(F.col("side") == PIVOT, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
+    second = written(dealt(marked.withColumn("a", F.explode(everywhere)).withColumn("b", F.lit(0))))
+    links += [first, second]
+    outside = of(second)
+    if not outside.isEmpty():
+        lefts = _few(written(outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("lefts"))))
+        held = large.join(lefts, "key").withColumn("own", own)
+        right = held.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))).withColumn("b", F.col("own")).withColumn("side", F.lit(RIGHT))
+        left = held.join(_few(outside), ["key", "doc_id"]).withColumn("a", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("lefts")).cast("int"))
+        left = left.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(LEFT))
+        links.append(dealt(left.unionByName(right).drop("own", "lefts")))
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out.where("j is not null").select("i", "j")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
@@ -408,32 +480,26 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1"))
     entries = prefixes.mapInArrow(tidy(_entries(HashFilter(met, "hash").reader())), "hash long, doc_id long, n int, place int, sums binary")
     large = met.where(F.col("count") > BUCKET).select("hash", F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
-    entries = entries.join(F.broadcast(large) if large.count() <= BROADCAST_ROWS else large, "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    entries = _blocked(entries, "blocks", ("g1", "g2"), "own").select("hash", "g1", "g2", "doc_id", "n", "place", "sums")
-    edges = entries.repartition("hash", "g1", "g2").sortWithinPartitions("hash", "g1", "g2").mapInArrow(tidy(_bucket_edges(percent)), "i long, j long")
-    keys = ["component", "b1", "b2"]
+    entries = entries.join(_few(large), "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumnRenamed("hash", "key")
+    edges = _linked(entries, BUCKET, _bucket_edges(percent))
 
     def sized(found: DataFrame) -> DataFrame:
-        """doc_id, component, blocks of each member of a group."""
-        found = written(found.select(F.col("node").alias("doc_id"), "component"))
-        sizes = written(found.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")))
-        return written(found.join(sizes, "component").select("doc_id", "component", "blocks"))
+        """key, doc_id, blocks of each member of a group."""
+        found = written(found.select(F.col("node").alias("doc_id"), F.col("component").alias("key")))
+        sizes = written(found.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")))
+        return written(found.join(_few(sizes), "key").select("key", "doc_id", "blocks"))
 
     def texts(groups: DataFrame) -> DataFrame:
-        return docs.join(F.broadcast(groups) if groups.count() <= BROADCAST_ROWS else groups, "doc_id").select("doc_id", "text", "component", "blocks")
+        return docs.join(_few(groups), "doc_id").select("key", "doc_id", "blocks", "text")
 
     groups = sized(connected_components(edges, written))
     large = groups.where("blocks > 1")
     if not large.isEmpty():
-        held = texts(large).mapInArrow(tidy(_group_sums(width, lower)), "doc_id long, component long, blocks int, n long, sums binary")
-        held = _blocked(held, "blocks", ("b1", "b2"), "block").select(*keys, "doc_id", "block", "n", "sums")
-        finer = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(_alike(percent)), "i long, j long")
-        groups = written(groups.where("blocks = 1").unionByName(sized(connected_components(finer, written))))
-
-    held = texts(groups).mapInArrow(tidy(_group_sets(width, lower)), "doc_id long, component long, blocks int, set array<long>")
-    held = _blocked(held, "blocks", ("b1", "b2"), "block").select(*keys, "doc_id", "block", "set")
-    links = held.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(tidy(_verified(percent)), "i long, j long")
-    linked = written(connected_components(links, written))
+        held = texts(large).mapInArrow(tidy(_group_sums(width, lower)), "key long, doc_id long, blocks int, sums binary")
+        groups = written(groups.where("blocks = 1").unionByName(sized(connected_components(_linked(held, GROUP, _alike(percent)), written))))
+
+    held = texts(groups).mapInArrow(tidy(_group_sets(width, lower)), "key long, doc_id long, blocks int, set array<long>")
+    linked = written(connected_components(_linked(held, GROUP, _verified(percent)), written))
 
     named = classes.select("n", "k1", "k2", "rep").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = written(named.select("n", "k1", "k2", F.coalesce("component", "rep").alias("component_id")))
