@@ -4,8 +4,9 @@ Only the histogram of piece lengths (at most `size` bins) reaches the driver. Th
 pieces that fill a sequence exactly are enumerated, their repeat counts are fitted to the histogram by non-negative
 least squares (multiplicative updates, which keep every count at 0 or more), rounded with the remainder carried on, and
 cut to what is left of each length. What no pattern took is packed best fit, longest first, on counts of equal
-sequences, so the work depends on the number of lengths and not on the number of documents. The plan is kept only if
-it needs no more sequences than best fit alone.
+sequences, so the work depends on the number of lengths and not on the number of documents. If that needs more sequences
+than the sum of lengths does, smaller SHARES of the fitted counts are tried, which leave the residual more of the short
+pieces that fill gaps; the fewest sequences win, of these the largest share.
 
 Pieces are then numbered by (length, doc_id, piece) over all tasks; each stretch of equal numbers of a plan takes the
 next ones of its length. No group of equal lengths has to be in one task.
@@ -27,6 +28,9 @@ from pyspark.sql import functions as F
 from twinfold.llm.common import batch, documents, tidy, written
 from twinfold.llm.tokens import encoder
 
+#: Of the fitted repeat counts, what is tried until no fewer sequences are possible.
+SHARES = (1.0, 0.99, 0.95, 0.9, 0.75, 0.5, 0.25, 0.0)
+
 Plan = list[tuple[int, tuple[int, ...]]]  # (number of sequences, lengths of the pieces in each)
 
 
@@ -89,23 +93,36 @@ def best_fit(counts: np.ndarray, size: int) -> Plan:
     return [(n, lengths) for groups in room.values() for n, lengths in groups]
 
 
-def plan(counts: np.ndarray, size: int) -> Plan:
-    """counts: pieces of each length, 0 to size."""
-    plain = best_fit(counts, size)
+def sequences(made: Plan) -> int:
+    return sum(n for n, _ in made)
+
+
+def rounded(found: np.ndarray, x: np.ndarray, counts: np.ndarray) -> tuple[Plan, np.ndarray]:
+    """Whole repeat counts of the patterns, remainders carried on, as far as pieces are left; and what is left."""
     left, out = counts.astype(np.int64).copy(), []
-    found = patterns(np.flatnonzero(counts), size)
-    if len(found):
-        x = fit(found, counts)
-        carried = np.floor(np.cumsum(x) + 0.5)
-        repeats = np.diff(np.append(0, carried)).astype(np.int64)
-        for i in np.flatnonzero(repeats):
-            lengths, each = np.unique(found[i][found[i] > 0], return_counts=True)
-            n = int(min(repeats[i], (left[lengths] // each).min()))
-            if n > 0:
-                left[lengths] -= n * each
-                out.append((n, tuple(int(v) for v in found[i] if v)))
-    out += best_fit(left, size)
-    return out if sum(n for n, _ in out) <= sum(n for n, _ in plain) else plain
+    repeats = np.diff(np.append(0, np.floor(np.cumsum(x) + 0.5))).astype(np.int64)
+    for i in np.flatnonzero(repeats):
+        lengths, each = np.unique(found[i][found[i] > 0], return_counts=True)
+        n = int(min(repeats[i], (left[lengths] // each).min()))
+        if n > 0:
+            left[lengths] -= n * each
+            out.append((n, tuple(int(v) for v in found[i] if v)))
+    return out, left
+
+
+def plan(counts: np.ndarray, size: int) -> Plan:
+    """counts: pieces of each length, 0 to size. The fitted patterns come first, the residual's sequences after them."""
+    least = -(-int((counts * np.arange(size + 1)).sum()) // size)
+    found, best = patterns(np.flatnonzero(counts), size), None
+    x = fit(found, counts) if len(found) else np.zeros(0)
+    for share in SHARES:
+        made, left = rounded(found, x * share, counts)
+        made += best_fit(left, size)
+        if best is None or sequences(made) < sequences(best):
+            best = made
+        if sequences(best) == least:
+            break
+    return best
 
 
 def _stretches(made: Plan, counts: np.ndarray) -> tuple[np.ndarray, ...]:
