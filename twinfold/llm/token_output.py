@@ -15,15 +15,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from twinfold.llm import frame_blocks
-from twinfold.llm.common import batch, documents, shared_folder, tidy
+from twinfold.llm.common import batch, documents, shared_folder, tidy, written
 from twinfold.llm.tokens import encoder
 
 #: Ids of a file, unless one document has more.
 FILE_IDS = 4_000_000
+#: Tasks whose files are numbered together.
+STRIDE = 1000
 _LEAST = -(2**63)
 
 
@@ -34,7 +36,7 @@ def _store(url: str):
 
 
 def _writer(folder: str, path: str, end_id: int, file_ids: int):
-    schema = pa.schema([("file", pa.string()), ("part", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
+    schema = pa.schema([("file", pa.string()), ("part", pa.int64()), ("seq", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -52,7 +54,7 @@ def _writer(folder: str, path: str, end_id: int, file_ids: int):
             if store.get_file_info(f"{base}/{name}").is_file:  # of an attempt that was lost; not every store overwrites
                 store.delete_file(f"{base}/{name}")
             store.move(draft, f"{base}/{name}")
-            out = batch(schema, [name], [part], [len(doc_ids)], [len(ids)])
+            out = batch(schema, [name], [part], [seq], [len(doc_ids)], [len(ids)])
             doc_ids, texts, size, seq = [], [], 0, seq + 1
             return out
 
@@ -71,18 +73,24 @@ def _writer(folder: str, path: str, end_id: int, file_ids: int):
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 0, file_ids: int = FILE_IDS) -> DataFrame:
-    """Write the files; returns one row for each: file, n_docs, n_ids, start (ids of all files before it)."""
-    spark = docs.sparkSession
+    """Write the files; returns one row for each: file, n_docs, n_ids, start (ids of all files before it).
+
+    Starts are sums over files of a task, tasks of a STRIDE, and strides; no row of a file reaches the driver."""
     store, base = _store(folder)
     store.create_dir(base, recursive=True)
     ordered = documents(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    schema = "file string, part long, n_docs long, n_ids long"
-    files = sorted(ordered.mapInArrow(tidy(_writer(folder, tokenizer_path, end_id, file_ids)), schema).collect(), key=lambda r: r["file"])
-    start, rows = 0, []
-    for r in files:  # one row for each file, whatever its documents
-        rows.append((r["file"], r["n_docs"], r["n_ids"], start))
-        start += r["n_ids"]
-    return spark.createDataFrame(rows, "file string, n_docs long, n_ids long, start long")
+    schema = "file string, part long, seq long, n_docs long, n_ids long"
+    files = written(ordered.mapInArrow(tidy(_writer(folder, tokenizer_path, end_id, file_ids)), schema))
+
+    def before(within: list[str], by: str) -> Column:
+        return F.sum("n_ids").over(Window.partitionBy(*within).orderBy(by)) - F.col("n_ids")
+
+    stride = F.floor(F.col("part") / STRIDE).alias("stride")
+    parts = files.groupBy("part").agg(F.sum("n_ids").alias("n_ids")).select("part", stride, "n_ids")
+    strides = parts.groupBy("stride").agg(F.sum("n_ids").alias("n_ids")).select("stride", before([], "stride").alias("a"))
+    parts = parts.select("part", "stride", before(["stride"], "part").alias("b")).join(strides, "stride")
+    starts = files.select("file", "part", "n_docs", "n_ids", before(["part"], "seq").alias("c")).join(parts, "part")
+    return written(starts.select("file", "n_docs", "n_ids", (F.col("a") + F.col("b") + F.col("c")).alias("start")))
 
 
 def _read(batches: Iterator[pa.RecordBatch]):
