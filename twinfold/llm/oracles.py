@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from twinfold.llm.quality_rules import BINS, CHI2_SHARE, FLOOR, P
+from twinfold.llm.quality_rules import BINS, CHI2_SHARE, FLOOR, IQR, P
 from twinfold.llm.secret_scan import ACCESS, ASSIGN, RUN
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -87,15 +87,16 @@ def _quality_rules(share: float = 0.75, steps: int = 4, least: int = 100, cut: f
         f"part AS (SELECT lang, source, CASE WHEN count(*) >= {least} THEN source ELSE 'rest of ' || lang END AS part FROM b WHERE NOT base_failed GROUP BY lang, source)",
         f"v AS (SELECT b.*, part, {', '.join(f'{e} AS z{i}' for i, e in enumerate(z))} FROM b LEFT JOIN part USING (lang, source))",
         "p AS (SELECT * FROM v WHERE NOT base_failed)",
-        f"e0 AS (SELECT lang, part, {', '.join(f'quantile_disc(z{i}, 0.5) AS m{i}' for i in dims)}, {', '.join(f'{FLOOR[i] ** 0.5 if i == j else 0.0!r}::double AS l{i}{j}' for i, j in pairs)} FROM p GROUP BY lang, part)",
+        f"q AS (SELECT lang, part, {', '.join(f'quantile_disc(z{i}, [0.25, 0.5, 0.75]) AS q{i}' for i in dims)} FROM p GROUP BY lang, part)",
+        f"e0 AS (SELECT lang, part, start, {', '.join(f'q{i}[2] AS m{i}' for i in dims)}, {', '.join(f'sqrt(CASE WHEN start = 0 THEN {FLOOR[i]!r}::double ELSE greatest(pow((q{i}[3] - q{i}[1]) / {IQR}, 2), {FLOOR[i]!r}::double) END) AS l{i}{j}' if i == j else f'0.0::double AS l{i}{j}' for i, j in pairs)} FROM q, (VALUES (0), (1)) starts (start))",
     ]
     y = [f"(z{i} - m{i}" + "".join(f" - l{i}{j} * y{j}" for j in range(i)) + f") / l{i}{i} AS y{i}" for i in dims]
     distance = f"{', '.join(y)}, {' + '.join(f'y{i} * y{i}' for i in dims)} AS dist"
     for k in range(steps + 1):
         out += [
-            f"d{k} AS (SELECT *, floor(log2(dist + 1e-9) * {BINS})::int AS bin FROM (SELECT lang, part, {', '.join(f'z{i}' for i in dims)}, {distance} FROM p JOIN e{k} USING (lang, part)))",
-            f"n{k} AS (SELECT lang, part, bin, sum(count(*)) OVER (PARTITION BY lang, part) AS total, sum(count(*)) OVER (PARTITION BY lang, part ORDER BY bin) - count(*) AS below FROM d{k} GROUP BY lang, part, bin)",
-            f"t{k} AS (SELECT lang, part, max(bin) AS bin, max(total) AS total FROM n{k} WHERE below < ceil({share} * total) GROUP BY lang, part)",
+            f"d{k} AS (SELECT *, floor(log2(dist + 1e-9) * {BINS})::int AS bin FROM (SELECT lang, part, start, {', '.join(f'z{i}' for i in dims)}, {distance} FROM p JOIN e{k} USING (lang, part)))",
+            f"n{k} AS (SELECT lang, part, start, bin, sum(count(*)) OVER (PARTITION BY lang, part, start) AS total, sum(count(*)) OVER (PARTITION BY lang, part, start ORDER BY bin) - count(*) AS below FROM d{k} GROUP BY lang, part, start, bin)",
+            f"t{k} AS (SELECT lang, part, start, max(bin) AS bin, max(total) AS total FROM n{k} WHERE below < ceil({share} * total) GROUP BY lang, part, start)",
         ]
         if k < steps:
             floors = ", ".join(f"greatest(avg(z{i} * z{i}) - avg(z{i}) * avg(z{i}), 0) + {FLOOR[i]} AS c{i}{i}" if i == j else f"avg(z{i} * z{j}) - avg(z{i}) * avg(z{j}) AS c{i}{j}" for i, j in pairs)
@@ -104,10 +105,11 @@ def _quality_rules(share: float = 0.75, steps: int = 4, least: int = 100, cut: f
                 lower.append(f"sqrt(greatest(c{j}{j}" + "".join(f" - l{j}{q} * l{j}{q}" for q in range(j)) + f", 1e-6)) AS l{j}{j}")
                 lower += [f"(c{i}{j}" + "".join(f" - l{i}{q} * l{j}{q}" for q in range(j)) + f") / l{j}{j} AS l{i}{j}" for i in range(j + 1, P)]
             out += [
-                f"c{k} AS (SELECT lang, part, {', '.join(f'avg(z{i}) AS m{i}' for i in dims)}, {floors} FROM d{k} JOIN t{k} USING (lang, part) WHERE d{k}.bin <= t{k}.bin GROUP BY lang, part)",
-                f"e{k + 1} AS (SELECT lang, part, {', '.join(f'm{i}' for i in dims)}, {', '.join(lower)} FROM c{k})",
+                f"c{k} AS (SELECT lang, part, start, {', '.join(f'avg(z{i}) AS m{i}' for i in dims)}, {floors} FROM d{k} JOIN t{k} USING (lang, part, start) WHERE d{k}.bin <= t{k}.bin GROUP BY lang, part, start)",
+                f"e{k + 1} AS (SELECT lang, part, start, {', '.join(f'm{i}' for i in dims)}, {', '.join(lower)} FROM c{k})",
             ]
-    out.append(f"far AS (SELECT doc_id, dist / greatest(pow(2.0, (bin + 1) / {BINS}.0) / {CHI2_SHARE}, 1) AS far FROM (SELECT doc_id, lang, part, {distance} FROM p JOIN e{steps} USING (lang, part)) JOIN t{steps} USING (lang, part) WHERE total >= {least})")
+    out.append(f"best AS (SELECT * FROM e{steps} JOIN t{steps} USING (lang, part, start) QUALIFY row_number() OVER (PARTITION BY lang, part ORDER BY round({' + '.join(f'ln(l{i}{i})' for i in dims)}, 9), start) = 1)")
+    out.append(f"far AS (SELECT doc_id, dist / greatest(pow(2.0, (bin + 1) / {BINS}.0) / {CHI2_SHARE}, 1) AS far FROM (SELECT doc_id, lang, part, bin, total, {distance} FROM p JOIN best USING (lang, part)) WHERE total >= {least})")
     return "WITH " + ",\n".join(out) + f"\nSELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(far, 0) <= {cut} AS kept FROM b LEFT JOIN far USING (doc_id)"
 
 

@@ -1,24 +1,23 @@
 """Quality rules: fixed base rules, then robust multivariate outliers per language and source, on built-in functions.
 
 Each document's statistics become a vector of five transformed numbers. For every (language, source) with at least
-`least` documents (smaller ones go to their language's rest) the minimum-covariance-determinant estimate is sought:
-start from the documents nearest to the median, then concentrate: mean and covariance of the nearest `share` of the
-documents, new Mahalanobis distances, and again. A document whose squared distance exceeds `cut` times the chi-square
-scale of its group is rejected.
+`least` documents (smaller ones go to their language's rest) the minimum-covariance-determinant estimate is sought from
+two starts: the documents nearest to the median, by the floor of each statistic and by its quartiles' distance. Each
+concentrates: mean and covariance of the nearest `share` of the documents, new Mahalanobis distances, and again. Of the
+two estimates the one with the smaller determinant counts. A document whose squared distance exceeds `cut` times the
+chi-square scale of its group is rejected.
 
 A concentration step is one pass: sums for mean and covariance are aggregated by group and by bin of the distance
 (BINS for each doubling), so the nearest share follows from counts of bins, ties go together, and a group of any
 size is summed before anything is shuffled. Covariances get a floor on the diagonal, as many statistics are constant.
 
-Cases: null and empty texts have no words and fail the base rules; repeated rows get the same verdict; null languages
-and sources are groups of their own; groups too small to estimate keep what passes the base rules; an empty table
+Cases: null and empty texts have no words and fail the base rules; repeated rows get the same verdict; a null language
+or source counts as an empty one; groups too small to estimate keep what passes the base rules; an empty table
 gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +31,8 @@ NOT_SYMBOL = r"[^#*$%&|<>]+"
 #: 0.75 quantile of chi-square with 5 degrees of freedom.
 CHI2_SHARE = 6.6257
 P = 5
+#: The distance of the quartiles of a normal distribution, in standard deviations.
+IQR = 1.349
 #: Bins of a distance for each doubling.
 BINS = 16
 #: Floors of the covariance's diagonal, in units of the transformed statistics.
@@ -98,32 +99,39 @@ def _bin(d: Column) -> Column:
 
 def _estimate(sums: DataFrame) -> DataFrame:
     """Group, m, l (covariance with floor, factored) from n and sums of z and of products."""
-    out = sums.select("lang", "part", "n", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)), *(F.col(f"p{i}{j}") for i, j in _PAIRS))
-    out = out.select("lang", "part", "n", *(f"m{i}" for i in range(P)), *((F.greatest(F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"), F.lit(0.0)) + FLOOR[i] if i == j else F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")).alias(f"c{i}{j}") for i, j in _PAIRS))
+    out = sums.select("lang", "part", "start", "n", *((F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)), *(F.col(f"p{i}{j}") for i, j in _PAIRS))
+    out = out.select("lang", "part", "start", "n", *(f"m{i}" for i in range(P)), *((F.greatest(F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"), F.lit(0.0)) + FLOOR[i] if i == j else F.col(f"p{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")).alias(f"c{i}{j}") for i, j in _PAIRS))
     for j in range(P):
         pivot = F.sqrt(F.greatest(F.col(f"c{j}{j}") - sum((F.col(f"l{j}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0)), F.lit(1e-6)))
         out = out.withColumn(f"l{j}{j}", pivot)
         for i in range(j + 1, P):
             out = out.withColumn(f"l{i}{j}", (F.col(f"c{i}{j}") - sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}{j}"))
-    return out.select("lang", "part", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in _PAIRS))
+    return out.select("lang", "part", "start", *(f"m{i}" for i in range(P)), *(f"l{i}{j}" for i, j in _PAIRS))
 
 
 def robust_estimates(stats: DataFrame, share: float = 0.75, steps: int = 4) -> DataFrame:
     """lang, part, m, l, scale: of each group of documents with columns lang, part and z0..z4."""
-    keys = ["lang", "part"]
-    median = stats.groupBy(*keys).agg(*(F.percentile_approx(f"z{i}", 0.5, 1000).alias(f"m{i}") for i in range(P)))
-    apart = [F.lit(math.sqrt(FLOOR[i])) if i == j else F.lit(0.0) for i, j in _PAIRS]
-    now = written(median.select(*keys, *(f"m{i}" for i in range(P)), *(c.alias(f"l{i}{j}") for c, (i, j) in zip(apart, _PAIRS, strict=True))))
+    keys = ["lang", "part", "start"]
+    quartiles = stats.groupBy("lang", "part").agg(*(F.percentile_approx(f"z{i}", [0.25, 0.5, 0.75], 1000).alias(f"q{i}") for i in range(P)))
+    quartiles = quartiles.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
+
+    def spread(i: int) -> Column:
+        wide = (F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / IQR
+        return F.sqrt(F.when(F.col("start") == 0, FLOOR[i]).otherwise(F.greatest(wide * wide, F.lit(FLOOR[i]))))
+
+    now = written(quartiles.select(*keys, *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)), *((spread(i) if i == j else F.lit(0.0)).alias(f"l{i}{j}") for i, j in _PAIRS)))
     for step in range(steps + 1):
         z = [F.col(f"z{i}") for i in range(P)]
-        sums = stats.join(now, keys).withColumn("key", F.struct(*keys, _bin(_distance()).alias("bin"))).groupBy("key").agg(F.count(F.lit(1)).alias("n"), *(F.sum(z[i]).alias(f"s{i}") for i in range(P)), *(F.sum(z[i] * z[j]).alias(f"p{i}{j}") for i, j in _PAIRS))
+        sums = stats.join(now, ["lang", "part"]).withColumn("key", F.struct(*keys, _bin(_distance()).alias("bin"))).groupBy("key").agg(F.count(F.lit(1)).alias("n"), *(F.sum(z[i]).alias(f"s{i}") for i in range(P)), *(F.sum(z[i] * z[j]).alias(f"p{i}{j}") for i, j in _PAIRS))
         sums = sums.select("key.*", *sums.columns[1:])  # by key first, so that a large group's sums are few rows
         group = Window.partitionBy(*keys)
         sums = sums.withColumn("total", F.sum("n").over(group)).withColumn("below", F.sum("n").over(group.orderBy("bin")) - F.col("n"))
         near = sums.where(F.col("below") < F.ceil(share * F.col("total")))
         if step == steps:
             scale = near.groupBy(*keys).agg(F.max("bin").alias("bin"), F.max("total").alias("total")).select(*keys, "total", (F.pow(F.lit(2.0), (F.col("bin") + 1) / BINS) / CHI2_SHARE).alias("scale"))
-            return written(now.join(scale, keys))
+            size = F.round(sum((F.log(f"l{i}{i}") for i in range(P)), F.lit(0.0)), 9)  # half the determinant's logarithm
+            best = F.row_number().over(Window.partitionBy("lang", "part").orderBy(size, "start"))
+            return written(now.join(scale, keys).withColumn("best", best).where("best = 1").drop("best", "start"))
         following = written(_estimate(near.groupBy(*keys).agg(F.sum("n").alias("n"), *(F.sum(f"s{i}").alias(f"s{i}") for i in range(P)), *(F.sum(f"p{i}{j}").alias(f"p{i}{j}") for i, j in _PAIRS))))
         drop_written(now)
         now = following
