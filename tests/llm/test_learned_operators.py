@@ -248,20 +248,70 @@ def test_toxicity_without_labels_of_both_kinds(spark, labels):
 
 
 def test_pipeline(spark):
+    """Each stage against a plain computation over its own input, texts and all."""
+    from test_text_operators import brute_components, brute_scan
+    from tokenizers import Tokenizer
+
+    from twinfold.llm.tokens import default_path
+
     d, columns = f"{TESTDATA}/sf0.001", ["doc_id", "text", "lang", "source", "n_chars"]
-    docs = spark.read.parquet(f"{d}/documents.parquet")
+    docs, held = spark.read.parquet(f"{d}/documents.parquet"), {}
+    stages, items = dict(corpus_pipeline.STAGES), [tuple(r) for r in spark.read.parquet(f"{d}/benchmark.parquet").select("item_id", "text").collect()]
+    assert list(stages) == ["toxicity", "near_duplicates", "decontamination", "pii", "packing"]
+
+    def rows(frame):
+        return {r["doc_id"]: tuple(r) for r in frame.select(columns).collect()}
+
+    before = rows(docs)
     for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = corpus_pipeline.written(stage(spark, docs, d))
-        assert after.columns == columns and 0.7 * docs.count() < after.count() <= docs.count()
-        if name != "pii":
-            assert after.exceptAll(docs).count() == 0
-        docs = after
-    rows = corpus_pipeline.STAGES[-1][1](spark, docs, d)
-    assert {r["doc_id"] for r in rows.select("doc_id").collect()} == {r["doc_id"] for r in docs.select("doc_id").collect()}
-    assert corpus_pipeline.run(spark, d).count() == rows.count()
+        docs = corpus_pipeline.written(stage(spark, docs, d))
+        assert docs.columns == columns
+        held[name] = before, rows(docs)
+        before = held[name][1]
+
+    old, new = held["toxicity"]
+    scores = by_id(toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")))
+    assert new == {i: r for i, r in old.items() if scores[i]["predicted"] == 0}
+    old, new = held["near_duplicates"]
+    ids = sorted(old)
+    _, labels = brute_components([old[i][1] for i in ids], 5, 80)
+    assert new == {i: old[i] for k, i in enumerate(ids) if labels[k] == k} and len(new) < len(old)
+    old, new = held["decontamination"]
+    assert new == {i: r for (i, r), found in zip(old.items(), brute_scan([r[1] for r in old.values()], items), strict=True) if not found[3]}
+    old, new = held["pii"]
+    spans = by_id(pii.pii_spans(spark.createDataFrame(list(old.values()), docs.schema)))
+    names, hidden = {k: i for i, k in enumerate(pii.KINDS)}, 0
+    for i, (_, text, lang, source, n_chars) in old.items():
+        found = [(names[k], int(s), int(e)) for k, s, e in (x.split(":") for x in spans[i]["spans"].split(",") if x)]
+        assert {(k, s, e) for k, s, e in brute_base(text or "")} <= set(found)
+        for k, s, e in sorted(found, key=lambda x: -x[1]) if not any(a < f and c < e for _, a, e in found for _, c, f in found if (a, e) != (c, f)) else ():
+            text, hidden = text[:s] + f"<{pii.KINDS[k].upper()}>" + text[e:], hidden + 1
+        assert new[i] == (i, text, lang, source, None if text is None else len(text)) or len(found) > 1
+    assert hidden and new.keys() == old.keys()
+
+    packed = {}
+    for r in stages["packing"](spark, docs, d).collect():
+        packed.setdefault(r["doc_id"], []).append(r)
+    library = Tokenizer.from_file(default_path())
+    for i, r in new.items():
+        x = np.array(library.encode(r[1] or "", add_special_tokens=False).ids + [0], "<u4")
+        pieces = sorted(packed[i], key=lambda p: p["piece"])
+        assert [p["start"] for p in pieces] == np.cumsum([0, *(p["length"] for p in pieces)])[:-1].tolist() and sum(p["length"] for p in pieces) == len(x)
+        assert all(p["ids_crc32"] == zlib.crc32(x[p["start"] : p["start"] + p["length"]].tobytes()) for p in pieces)
+    assert packed.keys() == new.keys()
+    whole = corpus_pipeline.run(spark, d).drop("sequence_id", "offset").collect()
+    assert sorted(map(tuple, whole)) == sorted(tuple(r)[:5] for x in packed.values() for r in x)
     assert corpus_pipeline.ORACLE_SQL is None
 
 
+def test_labels_that_contradict_each_other_are_not_learned(spark):
+    texts, labels = corpus(spark)
+    rows = [(i, y, 1, "x", "y") for i, y in enumerate(labels) if i % 3]
+    both = rows + [(i, y, 1, "x", "y") for i in range(0, 400, 3) for y in (0, 1)] + rows[:50] + [(None, 1, 1, "", "")]
+    a, b = (by_id(toxicity.toxicity(awkward(spark, texts), spark.createDataFrame(x, LABELS))) for x in (rows, both))
+    assert a == b
+
+
 def test_pipeline_of_nothing(spark, tmp_path):
     for name in ("documents", "benchmark", "labels"):
         spark.read.parquet(f"{TESTDATA}/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")

@@ -141,16 +141,19 @@ def test_quality_estimates_equal_plain_concentration(spark):
         r = got[i]
         z.append([np.log(1 + r["n_words"]), np.log((1 + r["word_chars"]) / r["n_words"]), np.sqrt(r["n_symbols"] / r["word_chars"]), 0.0, np.sqrt(r["n_repeat_words"] / r["n_words"])])
     z = np.array(z)
-    mean, cov = np.array([np.sort(z[:, k])[(len(z) + 1) // 2 - 1] for k in range(5)]), np.diag(Q.FLOOR)
-    for step in range(5):
-        d = np.einsum("ij,jk,ik->i", z - mean, np.linalg.inv(cov), z - mean)
-        bins = np.floor(np.log2(d + 1e-9) * Q.BINS)
-        near = bins <= np.sort(bins)[int(np.ceil(0.75 * len(z))) - 1]
-        if step < 4:
-            mean = z[near].mean(0)
-            cov = np.cov(z[near].T, bias=True) + np.diag(Q.FLOOR)
-    scale = max(1.0, 2 ** ((bins[near].max() + 1) / Q.BINS) / Q.CHI2_SHARE)
-    assert np.allclose([got[i]["distance"] for i in range(312)], d / scale, rtol=1e-6)
+    ends = []
+    for start in range(2):
+        q = np.array([[np.sort(z[:, k])[int(np.ceil(s * len(z))) - 1] for k in range(5)] for s in (0.25, 0.5, 0.75)])
+        mean, cov = q[1], np.diag(np.maximum(start * ((q[2] - q[0]) / Q.IQR) ** 2, Q.FLOOR))
+        for step in range(5):
+            d = np.einsum("ij,jk,ik->i", z - mean, np.linalg.inv(cov), z - mean)
+            bins = np.floor(np.log2(d + 1e-9) * Q.BINS)
+            near = bins <= np.sort(bins)[int(np.ceil(0.75 * len(z))) - 1]
+            if step < 4:
+                mean = z[near].mean(0)
+                cov = np.cov(z[near].T, bias=True) + np.diag(Q.FLOOR)
+        ends.append((round(np.log(np.linalg.det(cov)) / 2, 9), start, d / max(1.0, 2 ** ((bins[near].max() + 1) / Q.BINS) / Q.CHI2_SHARE)))
+    assert np.allclose([got[i]["distance"] for i in range(312)], min(ends, key=lambda e: e[:2])[2], rtol=1e-6)
 
 
 def brute_parser(rows, width):
@@ -286,6 +289,63 @@ def test_jaccard_join(spark, monkeypatch, width, percent, block):
     assert jaccard_components(empty(spark), width, percent).count() == 0
 
 
+@pytest.mark.parametrize("size", [4, 16])
+def test_large_groups_lose_no_link(spark, monkeypatch, size):
+    """Families that chain, families side by side, and members that only a chain joins, over many blocks."""
+    import random
+
+    for name, value in (("BUCKET", size), ("GROUP", size), ("SAMPLE", 3 * size), ("PIVOTS", 2)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng, texts = random.Random(size), []
+    common = [f"c{i}" for i in range(60)]
+    for k in range(3):
+        base = common + [f"f{k}x{i}" for i in range(4 * k)]
+        for _ in range(50):
+            copy = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                copy[rng.randrange(len(copy))] = f"u{rng.randrange(40)}"
+            texts.append(" ".join(copy))
+    chain = list(common)
+    for i in range(40):  # each step changes one word more
+        chain[i] = f"chain{i}"
+        texts.append(" ".join(chain))
+    sizes, labels = brute_components(texts, 3, 80)
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = by_id(jaccard_components(docs, 3, 80))
+    assert [(got[i]["n_shingles"], got[i]["component_id"]) for i in range(len(texts))] == list(zip(sizes, labels, strict=True))
+
+
+def test_a_family_of_near_copies_costs_no_square(spark, monkeypatch):
+    """Rows dealt out for a family of k distinct near copies, against k and k squared."""
+    import random
+
+    rng, base, k = random.Random(1), [f"t{i}" for i in range(120)], 3000
+    texts = []
+    for i in range(k):
+        copy = list(base)
+        copy[rng.randrange(120)] = f"own{i}"
+        texts.append(" ".join(copy))
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    real, dealt = jaccard_join._linked, {size: spark.sparkContext.accumulator(0) for size in (jaccard_join.BUCKET, jaccard_join.GROUP)}
+
+    def counted(rows, size, worker):
+        seen = dealt[size]
+
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+
+        return real(rows, size, lambda batches: worker(run(batches)))
+
+    monkeypatch.setattr(jaccard_join, "_linked", counted)
+    got = jaccard_components(docs, 5, 80).collect()
+    assert {r["component_id"] for r in got} == {0}
+    entries = k * 25  # a prefix of a fifth of the shingles
+    assert dealt[jaccard_join.BUCKET].value < 2 * entries < entries * k / jaccard_join.BUCKET
+    assert dealt[jaccard_join.GROUP].value < 2 * 3 * k < k * k / jaccard_join.GROUP  # two steps, one over finer counts
+
+
 def test_near_unique_keeps_one_of_each(spark):
     left = near_unique(awkward(spark))
     ids = [r["doc_id"] for r in left.collect()]

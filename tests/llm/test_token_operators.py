@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from twinfold.llm import frame_blocks
-from twinfold.llm.pattern_packing import best_fit, pattern_packing, patterns, plan
+from twinfold.llm.pattern_packing import best_fit, fit, pattern_packing, patterns, plan, rounded, sequences
 from twinfold.llm.token_counts import read_scores, token_counts, trie_counts
 from twinfold.llm.token_output import token_output
 from twinfold.llm.tokens import Encoder, default_path, pretokens
@@ -75,12 +75,17 @@ def test_token_output(spark):
     assert token_output(empty(spark), default_path()).count() == 0
 
 
-def test_token_files_are_cut(spark, tmp_path):
-    from twinfold.llm.token_output import read_token_files, write_token_files
+def test_token_files_are_cut(spark, tmp_path, monkeypatch):
+    from twinfold.llm import token_output
 
-    files = write_token_files(awkward(spark), f"file://{tmp_path}/ids", default_path(), file_ids=50)
+    monkeypatch.setattr(token_output, "STRIDE", 2)
+    files = token_output.write_token_files(awkward(spark), f"file://{tmp_path}/ids", default_path(), file_ids=50)
+    at = 0
+    for r in files.orderBy("file").collect():
+        assert r["start"] == at
+        at += r["n_ids"]
     assert files.count() > 3
-    assert sum(r["n_tokens"] for r in read_token_files(spark, f"file://{tmp_path}/ids", files).collect()) == sum(len(ids(t)) for t in [*TEXTS, TEXTS[6]])
+    assert sum(r["n_tokens"] for r in token_output.read_token_files(spark, f"file://{tmp_path}/ids", files).collect()) == sum(len(ids(t)) for t in [*TEXTS, TEXTS[6]])
 
 
 def test_pattern_packing(spark):
@@ -112,13 +117,16 @@ def test_a_plan_packs_every_piece_and_is_no_worse_than_best_fit(lengths):
     made = plan(counts, 64)
     assert (sum((n * np.bincount(p, minlength=65) for n, p in made), np.zeros(65, int)) == counts).all()
     assert all(sum(p) <= 64 for _, p in made)
-    assert sum(n for n, _ in made) <= sum(n for n, _ in best_fit(counts, 64))
+    assert sequences(made) <= sequences(best_fit(counts, 64))
 
 
 def test_a_plan_of_many_pieces_is_nearly_full():
     counts = np.bincount(np.minimum(2048, np.random.default_rng(3).lognormal(6, 1, 50_000).astype(int) + 1), minlength=2049)
     least = -(-int((counts * np.arange(2049)).sum()) // 2048)
-    assert sum(n for n, _ in plan(counts, 2048)) <= least * 1.002
+    made = plan(counts, 2048)
+    found = patterns(np.flatnonzero(counts), 2048)
+    fitted, _ = rounded(found, fit(found, counts), counts)
+    assert sequences(made) <= least * 1.002 and made[: len(fitted)] == fitted and sequences(fitted) > 0.8 * sequences(made)
 
 
 def test_patterns_fill_the_sequence():

@@ -9,7 +9,8 @@ The vocabulary is public and has ranks but no probabilities. A piece of rank r h
 -ln(r + `shift`), a Zipf law up to a constant; of equal scores the split into fewer pieces counts.
 
 Cases: a null or empty text has 0 tokens; repeated rows count each; an empty table gives an empty result; other
-columns are ignored. Memory: one batch of texts and at most MEMO remembered pre-tokens a worker, whatever the corpus.
+columns are ignored; a null doc_id stays null. Memory: one batch of texts, at most MEMO remembered pre-tokens a worker and
+those of the texts at hand (about 500,000, or one text's), whatever the corpus.
 """
 
 from __future__ import annotations

@@ -7,12 +7,14 @@
    single letters set apart by spaces or marks form a lattice of letters, and Viterbi search takes the path of highest
    probability under the channel and the language model. Between letters set apart there may be an edge of words.
 3. Restored texts are scored by a logistic regression over words and word beginnings. It is fitted to the `sample`
-   labelled documents with the smallest hashes of their ids: features are the words whose documents of either label
+   labelled documents with the smallest hashes of their ids: features are all words whose documents of either label
    differ beyond chance (log-likelihood ratio at least `least`), and never a language, source or id.
 
-Cases: null and empty texts have the score of a text without any known word;
-without labels of both kinds every score is the share of toxic ones; repeated rows score alike; an empty table gives no
-rows; other columns are ignored.
+The `words` most frequent words of at most REMEMBERED letters help to part letters set apart; others are parted by
+trigrams. Cases: null and empty texts have the score of a text without any known word; without labels of both kinds every
+score is the share of toxic ones; a document with labels that contradict each other is not learned from, equal ones count
+once; repeated rows score alike, and are learned from each; a null doc_id has no label and is scored; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -53,6 +55,7 @@ SINGLE = re.compile(r" ([^\W\d_])(?= [^\W\d_]{2})")
 WORD = re.compile(r"[^\W\d_]+")
 COST = 3.0  # of a stand-in, in nats
 WHOLE = "="  # before a word among the counts of trigrams
+ALL = ""  # counts documents among the counts of words
 EDGE = 3.0  # of an edge of words between letters set apart, or of none where they stand further apart, in nats
 PREFIX = 4  # letters of a word's beginning that is a feature
 
@@ -305,7 +308,7 @@ def _word_rows(model: LanguageModel):
     def run(batches: Iterator[pa.RecordBatch]):
         restored = restorer(model)
         for b in batches:
-            found: Counter = Counter()
+            found: Counter = Counter((t, ALL) for t in b.column("toxic").to_pylist())
             for toxic, text in zip(b.column("toxic").to_pylist(), b.column("text"), strict=True):
                 words = restored(text.as_py())
                 found.update((toxic, w) for w in words)
@@ -360,16 +363,17 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: int = 4_000, least: float = 15.0) -> Model:
+def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least: float = 15.0) -> Model:
     """From all texts, and from the labelled documents that are not held out, at most `sample` of them."""
     language = language_model(docs)
-    given = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id"))).dropDuplicates(["doc_id"])
+    given = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
+    given = given.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most").select("doc_id", "toxic")
     given = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     given = written(given)
     texts = documents(docs).join(F.broadcast(given), "doc_id").select("toxic", "text")
-    sizes = {r["toxic"]: r["n"] for r in documents(docs).select("doc_id").join(F.broadcast(given), "doc_id").groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = sizes.get(1, 0), sizes.get(0, 0)
     counts = texts.mapInArrow(tidy(_word_rows(language)), "toxic int, word string, n long").groupBy("word").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("good"))
+    counts = written(counts)
+    bad, good = next(((r["bad"], r["good"]) for r in counts.where(F.col("word") == ALL).collect()), (0, 0))
 
     def part(n: Column, total: int, other: Column) -> Column:
         """Of the log-likelihood ratio: n documents where the word's share of all would give other's."""
@@ -377,12 +381,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, features: in
 
     b, g = F.col("bad"), F.col("good")
     ratio = part(b, bad, b + g) + part(g, good, b + g) + part(bad - b, bad, bad + good - b - g) + part(good - g, good, bad + good - b - g)
-    best = counts.select("word", ratio.alias("ratio")).where(F.col("ratio") >= least).orderBy(F.desc("ratio"), "word").limit(features)
-    chosen = sorted(r["word"] for r in best.collect())
+    best = counts.select("word", ratio.alias("ratio")).where((F.col("ratio") >= least) & (F.col("word") != ALL))
+    chosen = sorted(r["word"] for r in best.collect())  # of the sample's words
     rows = texts.mapInArrow(tidy(_hit_rows(language, chosen)), "toxic int, hits array<int>").collect()
     rows.sort(key=lambda r: (r["toxic"], r["hits"]))
     bias, w = fit(np.array([r["toxic"] for r in rows]), [r["hits"] for r in rows], len(chosen))
-    drop_written(given)
+    drop_written(given, counts)
     return Model(language, bias, {c: float(x) for c, x in zip(chosen, w, strict=True) if abs(x) > 1e-3})
 
 
