@@ -169,6 +169,19 @@ def grams_of(words):
     return grams
 
 
+def test_trigrams_equal_plain_counts():
+    words, n = ["idiot", "a", "éß", "stuuupid", "漢字", "ab", "abab"], [3, 5, 2, 7, 1, 4, 2**40]
+    got, kept = toxicity.word_trigrams(words, np.array(n))
+    want = grams_of([])
+    for w, k in zip(words, n, strict=True):
+        if len(w) > 1 and w != "stuuupid":
+            w = "  " + w.replace("漢", "\ufffd").replace("字", "\ufffd") + " "
+            for i in range(len(w) - 2):
+                want[w[i : i + 3]] = want.get(w[i : i + 3], 0) + k
+    assert got == want and kept.tolist() == [w not in ("a", "stuuupid") for w in words]
+    assert toxicity.word_trigrams([], np.zeros(0, np.int64))[0] == {}
+
+
 def test_words_of_any_length():
     model = toxicity.LanguageModel(grams_of(["idiot"] * 60 + ["stupid"] * 60 + "the that and this with trash moron loser worthless then tree letter silly still".split() * 10))
     found = toxicity.restorer(model)

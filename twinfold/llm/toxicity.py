@@ -215,35 +215,55 @@ def disguised(text: str) -> list[str]:
     return mixed(text) + set_apart(text)
 
 
+def word_trigrams(words: list[str], n: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
+    """Counts of the trigrams of words, each of which stands n times, and which words were counted: those of two letters
+    and more and none three times in a row. Two spaces stand before a word and one after it."""
+    if not words:
+        return {}, np.zeros(0, bool)
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    code = np.frombuffer("".join(f"  {w} " for w in words).encode("utf-32-le"), np.uint32)
+    code = np.where(code > 0x17F, 0xFFFD, code)
+    owner = np.repeat(np.arange(len(words)), lengths + 1)  # of each trigram
+    at = np.arange(len(owner)) + 2 * owner
+    a, b, c = code[at], code[at + 1], code[at + 2]
+    kept = lengths > 1
+    kept[owner[(a == b) & (b == c)]] = False
+    letters, code = np.unique(code, return_inverse=True)
+    k = len(letters)
+    ids = (code[at] * k + code[at + 1]) * k + code[at + 2]
+    sums = np.bincount(ids, np.where(kept, n, 0)[owner], k**3)
+    found = np.flatnonzero(sums)
+    letters = [chr(x) for x in letters]
+    return {letters[x // k // k] + letters[x // k % k] + letters[x % k]: int(y) for x, y in zip(found.tolist(), sums[found], strict=True)}, kept
+
+
 def _trigrams(batches: Iterator[pa.RecordBatch]):
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
+    words, alone = Counter(), Counter()
 
-    def out(words: Counter, alone: Counter):
-        found: Counter = Counter()
-        for w, n in alone.items():
+    def out():
+        found, (seen, n) = Counter(), (list(words), np.fromiter(words.values(), np.int64, len(words)))
+        for w, k in alone.items():
             w = OTHER.sub("\ufffd", w)
-            found[f"  {w}"] += n
-            found[f" {w} "] += n
-            found[WHOLE + w] += n
-        for w, n in words.items():
-            if len(w) > 1 and not REPEATED.search(w):
-                if len(w) <= REMEMBERED:
-                    found[WHOLE + w] += n
-                w = f"  {OTHER.sub('\ufffd', w)} "
-                for i in range(len(w) - 2):
-                    found[w[i : i + 3]] += n
+            found[f"  {w}"] += k
+            found[f" {w} "] += k
+            found[WHOLE + w] += k
+        grams, kept = word_trigrams(seen, n)
+        found.update(grams)
+        found.update({WHOLE + seen[i]: words[seen[i]] for i in np.flatnonzero(kept) if len(seen[i]) <= REMEMBERED})
+        words.clear()
+        alone.clear()
         return batch(schema, list(found), list(found.values()))
 
     for b in batches:
-        words, alone = Counter(), Counter()
         for text in b.column("text"):
             text = text.as_py().lower()
             words.update(WORD.findall(text))
             alone.update(m[1] for m in SINGLE.finditer(text) if m.start() > 1 and text[m.start() - 2 : m.start()].isalpha())
             if len(words) > 300_000:
-                yield out(words, alone)
-                words, alone = Counter(), Counter()
-        yield out(words, alone)
+                yield out()
+    if words:
+        yield out()
 
 
 def language_model(docs: DataFrame, words: int = 20_000) -> LanguageModel:
