@@ -289,6 +289,12 @@ def test_jaccard_join(spark, monkeypatch, width, percent, block):
     assert jaccard_components(empty(spark), width, percent).count() == 0
 
 
+def test_jaccard_join_of_rows_without_ids(spark):
+    rows = [(None, "a b c d e"), (4, "A b  c d e"), (None, "p q r s t"), (None, "p q r s t"), (None, None), (2, "x")]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(["(None, 3, 4)", "(4, 3, 4)", "(None, 3, None)", "(None, 3, None)", "(None, 0, None)", "(2, 1, 2)"])
+
+
 @pytest.mark.parametrize("size", [4, 16])
 def test_large_groups_lose_no_link(spark, monkeypatch, size):
     """Families that chain, families side by side, and members that only a chain joins, over many blocks."""
@@ -328,7 +334,7 @@ def test_a_family_of_near_copies_costs_no_square(spark, monkeypatch):
     docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
     real, dealt = jaccard_join._linked, {size: spark.sparkContext.accumulator(0) for size in (jaccard_join.BUCKET, jaccard_join.GROUP)}
 
-    def counted(rows, size, worker):
+    def counted(small, large, size, worker):
         seen = dealt[size]
 
         def run(batches):
@@ -336,7 +342,7 @@ def test_a_family_of_near_copies_costs_no_square(spark, monkeypatch):
                 seen.add(b.num_rows)
                 yield b
 
-        return real(rows, size, lambda batches: worker(run(batches)))
+        return real(small, large, size, lambda batches: worker(run(batches)))
 
     monkeypatch.setattr(jaccard_join, "_linked", counted)
     got = jaccard_components(docs, 5, 80).collect()

@@ -21,13 +21,15 @@ and not k squared; the price is k times the number outside, k squared at worst,
 
 Words: A-Z lower-cased if `lower`, then `[^\\x20\\x09-\\x0D]+`. With fewer words than n the whole sequence is the one
 shingle. Cases: null and empty texts and those without words have an empty set and link with nothing; repeated rows
-fall in one component; an empty table gives no rows; other columns are ignored; doc_id must not be null.
+fall in one component; a row with a null doc_id has the component of rows with an equal set, or null if none has an id;
+an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -425,45 +427,40 @@ def _few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _linked(rows: DataFrame, size: int, worker) -> DataFrame:
+def _linked(small: DataFrame | None, large: DataFrame | None, size: int, worker) -> DataFrame:
     """i, j: links that span what the worker joins of the members (doc_id and more columns) of each key.
 
-    blocks: how many blocks of about `size` members the key has. Where it has several, pivots are sought in a sample,
-    each block is spanned with them, and what stays outside is compared with all members.
+    A key of `small` is one task's. Those of `large` have `blocks` blocks of about `size` members each: pivots are sought
+    in a sample, each block is spanned with them, and what stays outside is compared with all members.
     """
 
     def dealt(df: DataFrame) -> DataFrame:
         return df.drop("blocks").repartition("key", "a", "b").sortWithinPartitions("key", "a", "b").mapInArrow(tidy(worker), "i long, j long, key long")
 
-    def at(a: Column, b: int, side: int) -> dict[str, Column]:
-        return {"a": a, "b": F.lit(b), "side": F.lit(side)}
-
     def of(found: DataFrame) -> DataFrame:
         return found.where("j is null").select("key", F.col("i").alias("doc_id"))
 
-    links, large = [], rows.where("blocks > 1")
-    own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
-    if large.isEmpty():
-        return dealt(rows.withColumns(at(F.lit(0), 0, WHOLE))).select("i", "j")
-    sampled = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.floor(F.col("blocks") * size / SAMPLE), F.lit(1))) == 0
-    first = written(dealt(large.where(sampled).withColumns(at(F.lit(0), 0, SAMPLED))))
-    pivots = _few(of(first).withColumn("side", F.lit(PIVOT)))
-    marked = rows.join(pivots, ["key", "doc_id"], "left").withColumn("side", F.coalesce("side", F.when(F.col("blocks") > 1, MEMBER).otherwise(WHOLE)))
-    everywhere = F.when(F.col("side") == PIVOT, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array(own))
-    second = written(dealt(marked.withColumn("a", F.explode(everywhere)).withColumn("b", F.lit(0))))
-    links += [first, second]
-    outside = of(second)
-    if not outside.isEmpty():
-        lefts = _few(written(outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("lefts"))))
-        held = large.join(lefts, "key").withColumn("own", own)
-        right = held.withColumn("a", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1))).withColumn("b", F.col("own")).withColumn("side", F.lit(RIGHT))
-        left = held.join(_few(outside), ["key", "doc_id"]).withColumn("a", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("lefts")).cast("int"))
-        left = left.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("side", F.lit(LEFT))
-        links.append(dealt(left.unionByName(right).drop("own", "lefts")))
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return out.where("j is not null").select("i", "j")
+    zero, links = F.lit(0), []
+    if small is not None:
+        links.append(dealt(small.withColumns({"a": zero, "b": zero, "side": F.lit(WHOLE)})))
+    if large is not None:
+        large = written(large)
+        own = F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")
+        sampled = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.floor(F.col("blocks") * size / SAMPLE), F.lit(1))) == 0
+        first = written(dealt(large.where(sampled).withColumns({"a": zero, "b": zero, "side": F.lit(SAMPLED)})))
+        marked = large.join(_few(of(first).withColumn("side", F.lit(PIVOT))), ["key", "doc_id"], "left").withColumn("side", F.coalesce("side", F.lit(MEMBER)))
+        everywhere = F.when(F.col("side") == PIVOT, F.sequence(zero, F.col("blocks") - 1)).otherwise(F.array(own))
+        second = written(dealt(marked.withColumn("a", F.explode(everywhere)).withColumn("b", zero)))
+        links += [first, second]
+        outside = of(second)
+        lefts = written(outside.groupBy("key").agg(F.ceil(F.count(zero) / size).cast("int").alias("lefts")))
+        if not lefts.isEmpty():
+            held = large.join(_few(lefts), "key").withColumn("own", own)
+            right = held.withColumn("a", F.explode(F.sequence(zero, F.col("lefts") - 1))).withColumn("b", F.col("own")).withColumn("side", F.lit(RIGHT))
+            left = held.join(_few(outside), ["key", "doc_id"]).withColumn("a", F.pmod(F.xxhash64("doc_id", F.lit(2)), F.col("lefts")).cast("int"))
+            left = left.withColumn("b", F.explode(F.sequence(zero, F.col("blocks") - 1))).withColumn("side", F.lit(LEFT))
+            links.append(dealt(left.unionByName(right).drop("own", "lefts")))
+    return reduce(DataFrame.unionByName, links).where("j is not null").select("i", "j")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower: bool = True) -> DataFrame:
@@ -479,9 +476,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     prefixes = written(prefixes.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
     met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1"))
     entries = prefixes.mapInArrow(tidy(_entries(HashFilter(met, "hash").reader())), "hash long, doc_id long, n int, place int, sums binary")
-    large = met.where(F.col("count") > BUCKET).select("hash", F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
-    entries = entries.join(_few(large), "hash", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumnRenamed("hash", "key")
-    edges = _linked(entries, BUCKET, _bucket_edges(percent))
+    entries = entries.withColumnRenamed("hash", "key")
+    large = met.where(F.col("count") > BUCKET).select(F.col("hash").alias("key"), F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
+    if n_large := large.count():
+        known = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
+        edges = _linked(entries.join(known.select("key"), "key", "left_anti"), entries.join(known, "key"), BUCKET, _bucket_edges(percent))
+    else:
+        edges = _linked(entries, None, BUCKET, _bucket_edges(percent))
 
     def sized(found: DataFrame) -> DataFrame:
         """key, doc_id, blocks of each member of a group."""
@@ -489,17 +490,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
         sizes = written(found.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("blocks")))
         return written(found.join(_few(sizes), "key").select("key", "doc_id", "blocks"))
 
-    def texts(groups: DataFrame) -> DataFrame:
-        return docs.join(_few(groups), "doc_id").select("key", "doc_id", "blocks", "text")
+    def held(groups: DataFrame, kernel, column: str) -> DataFrame:
+        texts = docs.join(_few(groups), "doc_id").select("key", "doc_id", "blocks", "text")
+        return texts.mapInArrow(tidy(kernel(width, lower)), f"key long, doc_id long, blocks int, {column}")
 
     groups = sized(connected_components(edges, written))
-    large = groups.where("blocks > 1")
+    small, large = groups.where("blocks = 1"), groups.where("blocks > 1")
     if not large.isEmpty():
-        held = texts(large).mapInArrow(tidy(_group_sums(width, lower)), "key long, doc_id long, blocks int, sums binary")
-        groups = written(groups.where("blocks = 1").unionByName(sized(connected_components(_linked(held, GROUP, _alike(percent)), written))))
-
-    held = texts(groups).mapInArrow(tidy(_group_sets(width, lower)), "key long, doc_id long, blocks int, set array<long>")
-    linked = written(connected_components(_linked(held, GROUP, _verified(percent)), written))
+        found = connected_components(_linked(None, held(large, _group_sums, "sums binary"), GROUP, _alike(percent)), written)
+        groups = written(small.unionByName(sized(found)))
+        small, large = groups.where("blocks = 1"), groups.where("blocks > 1")
+    rest = None if large.isEmpty() else held(large, _group_sets, "set array<long>")
+    links = _linked(held(small, _group_sets, "set array<long>"), rest, GROUP, _verified(percent))
+    linked = written(connected_components(links, written))
 
     named = classes.select("n", "k1", "k2", "rep").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left")
     named = written(named.select("n", "k1", "k2", F.coalesce("component", "rep").alias("component_id")))
