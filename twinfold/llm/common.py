@@ -26,6 +26,9 @@ CHUNK_BYTES = 2_000_000
 #: Bytes of an Arrow batch between the JVM and Python (a single larger row is a batch).
 BATCH_BYTES = 8_000_000
 
+#: Bytes of a partition whose worker keeps its memory.
+SMALL_BYTES = 1_000_000
+
 #: Largest filter of hashes that is broadcast, as a power of 2 of bits (32 MB). A fuller one only lets more through.
 FILTER_BITS = 28
 
@@ -98,10 +101,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def tidy(function: Callable[[Iterator[pa.RecordBatch]], Iterable[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The same function for mapInArrow; a worker gives memory back when its partition is done, as it lives on."""
+    """The same function for mapInArrow; a worker gives memory back when its partition is done, as it lives on. That takes
+    some 50 ms, which a partition of less than SMALL_BYTES is not worth."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from function(batches)
+        seen = 0
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            nonlocal seen
+            for b in batches:
+                seen += b.nbytes
+                yield b
+
+        yield from function(counted())
+        if seen < SMALL_BYTES:
+            return
         gc.collect()
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # there is no such function outside glibc
