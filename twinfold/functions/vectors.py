@@ -13,7 +13,8 @@ def norm(v: Column) -> Column:
 def unit(v: Column) -> Column:
     """v / (|v| + 1e-10) in double precision; a zero vector stays zero."""
     v = v.cast("array<double>")
-    return F.transform(v, lambda x: x / (norm(v) + F.lit(1e-10)))
+    scaled = F.transform(F.array(norm(v)), lambda n: F.transform(v, lambda x: x / (n + F.lit(1e-10))))  # the norm once
+    return F.element_at(scaled, 1)
 
 
 def dot(a: Column, b: Column) -> Column:

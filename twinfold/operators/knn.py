@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,6 +23,7 @@ BROADCAST_BYTES = 256 << 20
 BLOCK_BYTES = 16 << 20
 #: Of a similarity, what ranks; the last bits of a product depend on the shape of its matrices.
 DIGITS = 12
+NEAR = pa.schema([("i", pa.int64()), ("j", pa.int64()), ("sim", pa.float64()), ("rank", pa.int32())])
 #: Most vectors whose pairs the plain form makes.
 PLAIN = 10_000
 
@@ -42,14 +43,16 @@ def similar_pairs(vectors: DataFrame, least: float) -> DataFrame:
     return half.unionByName(half.select(F.col("j").alias("i"), F.col("i").alias("j"), "sim"))
 
 
-def _unit_rows(vectors) -> np.ndarray:
-    m = np.array(list(vectors), np.float64)
+def _unit_rows(vectors: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:
+    """Rows of length 1 from lists of d numbers."""
+    m = vectors.flatten().to_numpy(zero_copy_only=False) if isinstance(vectors, pa.Array) else vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
+    m = m.astype(np.float64).reshape(len(vectors), d)
     return m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-10)
 
 
-def _near(ids: np.ndarray, left: np.ndarray, others: np.ndarray, right: np.ndarray, k: int, least: float) -> pd.DataFrame:
-    """Each left vector's k nearest of the right ones; products are rounded, so that ties do not depend on the blocks."""
-    rows = []
+def _near(ids: np.ndarray, left: np.ndarray, others: np.ndarray, right: np.ndarray, k: int, least: float) -> Iterator[pa.RecordBatch]:
+    """i, j, sim, rank of each left vector's k nearest of the right ones; products are rounded, so that ties do not depend
+    on the blocks."""
     step = max(1, min(512, (32 << 20) // (8 * max(1, len(others)))))
     for s in range(0, len(ids), step):
         sim = np.round(left[s : s + step] @ right.T, DIGITS)
@@ -60,46 +63,46 @@ def _near(ids: np.ndarray, left: np.ndarray, others: np.ndarray, right: np.ndarr
         r, c = np.nonzero(sim >= cut[:, None])
         order = np.lexsort((others[c], -sim[r, c], r))
         r, c = r[order], c[order]
-        kept = np.arange(len(r)) - np.searchsorted(r, r) < k  # of ties with the k-th, the smaller ids
+        rank = np.arange(len(r)) - np.searchsorted(r, r) + 1
+        kept = rank <= k  # of ties with the k-th, the smaller ids
         r, c = r[kept], c[kept]
-        rows.append(pd.DataFrame({"i": ids[s + r], "j": others[c], "sim": sim[r, c]}))
-    return pd.concat(rows) if rows else pd.DataFrame({"i": [], "j": [], "sim": []})
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[s + r], others[c], sim[r, c], rank[kept].astype(np.int32))], schema=NEAR)
 
 
 def neighbours(vectors: DataFrame, k: int = 20, least: float = 0.99) -> DataFrame:
     """i, j, sim, rank of each vector's k nearest others with sim >= least. vectors: id, vector (all of one length).
 
-    Products run in blocks of numpy matrices. Only rows above `least` and in a block's top k leave Python.
+    Products run in blocks of numpy matrices. Only rows above `least` and in a block's top k leave Python; where all
+    other vectors are one block, that is the result.
     """
     spark = vectors.sparkSession
     vectors = vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
-    n, d = vectors.agg(F.count(F.lit(1)), F.max(F.size("vector"))).first()
-    schema = "i long, j long, sim double"
-    if n * max(1, d or 0) * 8 <= BROADCAST_BYTES:
-        held = vectors.toPandas().sort_values("id")
-        sent = spark.sparkContext.broadcast((held["id"].to_numpy(np.int64), _unit_rows(held["vector"]) if len(held) else np.zeros((0, 1))))
+    n, d = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    schema = "i long, j long, sim double, rank int"
+    if n * d * 8 <= BROADCAST_BYTES:
+        held = vectors.toArrow().sort_by("id")
+        sent = spark.sparkContext.broadcast((held["id"].to_numpy(), _unit_rows(held["vector"], d)))
 
-        def run(frames: Iterator[pd.DataFrame]):
+        def run(batches: Iterator[pa.RecordBatch]):
             others, right = sent.value
-            for f in frames:
-                if len(f):
-                    yield _near(f["id"].to_numpy(np.int64), _unit_rows(f["vector"]), others, right, k, least)
+            for b in batches:
+                yield from _near(b.column("id").to_numpy(), _unit_rows(b.column("vector"), d), others, right, k, least)
 
-        return top_k(vectors.mapInPandas(run, schema), k)
+        return vectors.mapInArrow(run, schema)
     blocks = -(-n * d * 8 // BLOCK_BYTES)
     dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     dealt = dealt.select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "vector")
 
-    def pair(f: pd.DataFrame) -> pd.DataFrame:
-        same = f["a"].iloc[0] == f["b"].iloc[0]
-        x, y = (f, f) if same else (f[f["block"] == f["a"]], f[f["block"] == f["b"]])
-        if not len(x) or not len(y):
-            return pd.DataFrame({"i": [], "j": [], "sim": []})
-        xi, xu, yi, yu = x["id"].to_numpy(np.int64), _unit_rows(x["vector"]), y["id"].to_numpy(np.int64), _unit_rows(y["vector"])
-        out = [_near(xi, xu, yi, yu, k, least)]
-        return pd.concat(out if same else [*out, _near(yi, yu, xi, xu, k, least)])
+    def pair(t: pa.Table) -> pa.Table:
+        block, a, b = (t[c].to_numpy() for c in ("block", "a", "b"))
+        ids, units = t["id"].to_numpy(), _unit_rows(t["vector"], d)
+        x, y = block == a, block == b
+        out = [*_near(ids[x], units[x], ids[y], units[y], k, least)]
+        if len(t) and a[0] != b[0]:
+            out += _near(ids[y], units[y], ids[x], units[x], k, least)
+        return pa.Table.from_batches(out, schema=NEAR)
 
-    return top_k(dealt.groupBy("a", "b").applyInPandas(pair, schema), k)
+    return top_k(dealt.groupBy("a", "b").applyInArrow(pair, schema).drop("rank"), k)
 
 
 def neighbours_by_hashing(vectors: DataFrame, k: int = 20, least: float = 0.99, tables: int = 8, width: float = 0.5) -> DataFrame:

@@ -94,7 +94,8 @@ def sql(body: str, *steps: str) -> str:
 
 
 def _people(spark: SparkSession, d: str) -> DataFrame:
-    return persons.persons(triples(spark, d))
+    """Written once, as a run's person cache is, since most queries read them more than once."""
+    return checkpointed(persons.persons(triples(spark, d)))
 
 
 def _pool(spark: SparkSession, d: str) -> DataFrame:
@@ -141,7 +142,7 @@ def property_bag(spark, d):
 
 @query(sql("SELECT * EXCLUDE (violations) FROM people", "people"))
 def persons_valid(spark, d):
-    return _people(spark, d).select("iri", "name", *V.SCALARS, *(joined(c).alias(c) for c in V.LISTS))
+    return persons.persons(triples(spark, d)).select("iri", "name", *V.SCALARS, *(joined(c).alias(c) for c in V.LISTS))
 
 
 @query(sql("SELECT iri, name, violations FROM checked WHERE violations <> ''", "checked"))
@@ -159,22 +160,22 @@ def orcid_normalise(spark, d):
 
 @query(sql("SELECT iri, account FROM keys WHERE account IS NOT NULL", "keys"))
 def github_key(spark, d):
-    return _people(spark, d).select("iri", text.github_key(F.col("github_username"), F.col("url")).alias("account")).where("account is not null")
+    return persons.persons(triples(spark, d)).select("iri", text.github_key(F.col("github_username"), F.col("url")).alias("account")).where("account is not null")
 
 
 @query(sql("SELECT key, entities, n, reason FROM github", "github"))
 def github_groups(spark, d):
-    return rules.by_github_username(_people(spark, d)).select("key", joined("entities").alias("entities"), F.size("entities").cast("long").alias("n"), "reason")
+    return rules.by_github_username(persons.persons(triples(spark, d))).select("key", joined("entities").alias("entities"), F.size("entities").cast("long").alias("n"), "reason")
 
 
 @query(sql("SELECT key, entities, n, reason FROM uuid", "uuid"))
 def uuid_groups(spark, d):
-    return rules.by_uuid(_people(spark, d)).select("key", joined("entities").alias("entities"), F.size("entities").cast("long").alias("n"), "reason")
+    return rules.by_uuid(persons.persons(triples(spark, d))).select("key", joined("entities").alias("entities"), F.size("entities").cast("long").alias("n"), "reason")
 
 
 @query(sql("SELECT key, reason FROM uuid WHERE n_usernames > 1", "uuid"))
 def uuid_conflicts(spark, d):
-    return rules.by_uuid(_people(spark, d)).where("conflict").select("key", "reason")
+    return rules.by_uuid(persons.persons(triples(spark, d))).where("conflict").select("key", "reason")
 
 
 @query(sql("SELECT entities, reason FROM matches", "matches"))
@@ -325,7 +326,7 @@ _HAS = "concat_ws('|', 'iri', 'name', " + ", ".join(f"CASE WHEN nullif({c}, '')
 
 @query(sql(f"SELECT iri, {_HAS} AS fields FROM people", "people"))
 def llm_payload_fields(spark, d):
-    found = clusters.payload(_people(spark, d).withColumn("cluster_id", F.col("iri")))
+    found = clusters.payload(persons.persons(triples(spark, d)).withColumn("cluster_id", F.col("iri")))
     return found.select(F.col("cluster_id").alias("iri"), joined(F.json_object_keys(F.get_json_object("payload", "$[0]"))).alias("fields"))
 
 
