@@ -475,14 +475,19 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, lower
     prefixes = docs.mapInArrow(tidy(_prefixes(width, lower, percent, sent)), "doc_id long, n int, prefix array<long>, sums binary")
     prefixes = written(prefixes.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"))
     met = written(prefixes.select(F.explode("prefix").alias("hash")).groupBy("hash").count().where("count > 1"))
-    entries = prefixes.mapInArrow(tidy(_entries(HashFilter(met, "hash").reader())), "hash long, doc_id long, n int, place int, sums binary")
-    entries = entries.withColumnRenamed("hash", "key")
+
+    def entries(of: DataFrame, column: str) -> DataFrame:
+        """Of these shingles, and of a few more that the filter lets through."""
+        found = prefixes.mapInArrow(tidy(_entries(HashFilter(of, column).reader())), "hash long, doc_id long, n int, place int, sums binary")
+        return found.withColumnRenamed("hash", "key")
+
+    every = entries(met, "hash")
     large = met.where(F.col("count") > BUCKET).select(F.col("hash").alias("key"), F.ceil(F.col("count") / BUCKET).cast("int").alias("blocks"))
     if n_large := large.count():
         known = F.broadcast(large) if n_large <= BROADCAST_ROWS else large
-        edges = _linked(entries.join(known.select("key"), "key", "left_anti"), entries.join(known, "key"), BUCKET, _bucket_edges(percent))
+        edges = _linked(every.join(known.select("key"), "key", "left_anti"), entries(large, "key").join(known, "key"), BUCKET, _bucket_edges(percent))
     else:
-        edges = _linked(entries, None, BUCKET, _bucket_edges(percent))
+        edges = _linked(every, None, BUCKET, _bucket_edges(percent))
 
     def sized(found: DataFrame) -> DataFrame:
         """key, doc_id, blocks of each member of a group."""
