@@ -246,6 +246,18 @@ def test_toxicity_on_held_out_documents(spark):
     assert left.columns == awkward(spark).columns and left.count() < 320
 
 
+def test_held_out_documents_of_the_tables(spark):
+    """Accuracy, recall and ranking on labels that the model has not seen."""
+    d = f"{TESTDATA}/sf0.01"
+    labels = spark.read.parquet(f"{d}/labels.parquet").where("toxic is not null")
+    got = by_id(toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), labels))
+    held = [(got[r["doc_id"]], r["toxic"]) for r in labels.collect() if r["doc_id"] in got and got[r["doc_id"]]["held_out"]]
+    bad, good = ([r["score"] for r, y in held if y == k] for k in (1, 0))
+    assert len(bad) > 5 and len(good) > 50
+    assert np.mean([r["predicted"] == y for r, y in held]) > 0.95 and np.mean([s >= 0.5 for s in bad]) > 0.8
+    assert np.mean([a > b for a in bad for b in good]) > 0.95
+
+
 def test_held_out_labels_are_not_learned(spark):
     texts, labels = corpus(spark)
     rows = [(i, y, 1, "x", "y") for i, y in enumerate(labels)]
