@@ -247,15 +247,17 @@ def test_toxicity_on_held_out_documents(spark):
 
 
 def test_held_out_documents_of_the_tables(spark):
-    """Accuracy, recall and ranking on labels that the model has not seen."""
-    d = f"{TESTDATA}/sf0.01"
+    """Accuracy, recall and ranking on labels that the model has not seen. About a tenth of the documents labelled toxic
+    hold no word that tells, as labels are noisy."""
+    d = f"{TESTDATA}/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet").where("toxic is not null")
     got = by_id(toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), labels))
     held = [(got[r["doc_id"]], r["toxic"]) for r in labels.collect() if r["doc_id"] in got and got[r["doc_id"]]["held_out"]]
     bad, good = ([r["score"] for r, y in held if y == k] for k in (1, 0))
-    assert len(bad) > 5 and len(good) > 50
-    assert np.mean([r["predicted"] == y for r, y in held]) > 0.95 and np.mean([s >= 0.5 for s in bad]) > 0.8
-    assert np.mean([a > b for a in bad for b in good]) > 0.95
+    assert len(bad) > 50 and len(good) > 500
+    right, caught, clean = np.mean([r["predicted"] == y for r, y in held]), np.mean([s >= 0.5 for s in bad]), np.mean([s < 0.5 for s in good])
+    above = np.mean([a > b for a in bad for b in good])
+    assert min(right, clean) > 0.98 and caught > 0.85 and above > 0.9, (right, caught, clean, above)
 
 
 def test_held_out_labels_are_not_learned(spark):
