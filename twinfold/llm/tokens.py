@@ -13,7 +13,7 @@ PLAIN_CHARS = "\t\n\r\x20-\x7e¡-ɏ‐-‧"
 PLAIN_SPLIT = r" ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+| ?[0-9²³¹¼-¾]+|'(?:[stmd]|re|ve|ll)| ?[^\sA-Za-z0-9ª²³µ¹º¼-¾À-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+"
 
 #: Pre-tokens that a worker remembers in each of two generations (about 200 bytes each).
-MEMO = 500_000
+MEMO = 300_000
 
 
 def default_path(name: str = "byte_bpe_50k.json") -> str:
