@@ -248,7 +248,7 @@ def test_toxicity_on_held_out_documents(spark):
 
 def test_held_out_documents_of_the_tables(spark):
     """Accuracy, recall and ranking on labels that the model has not seen. About a tenth of the documents labelled toxic
-    hold no word that tells, as labels are noisy."""
+    are missed: most of them hold no word that tells, some hold one in capitals between marks."""
     d = f"{TESTDATA}/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet").where("toxic is not null")
     got = by_id(toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), labels))
