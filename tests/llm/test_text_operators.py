@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as fn
 from fixtures import BASE, LONG, LOWER, PASSAGE, TEXTS, awkward, by_id, empty, words
@@ -426,3 +427,33 @@ def test_secrets_of_a_text_with_very_many(spark):
     text = "token=abcdef1 " * 20_000
     got = by_id(secret_scan(awkward(spark, [text])))[0]
     assert got["n_assign"] == 20_000 and got["spans"].endswith("assign:279986:279999")
+
+
+def twins(n, a="i", b="x"):
+    """Two words of n letters whose weighted byte sums are equal for every weight modulo a power of two (Thue-Morse)."""
+    word = "".join((a, b)[i.bit_count() & 1] for i in range(n))
+    return word, word.translate(str.maketrans(a + b, b + a))
+
+
+@pytest.mark.parametrize("lane", [0, 1])
+def test_word_hashes_tell_words_apart(lane):
+    texts = [" ".join(w for n in (512, 1024, 4096, 65_536) for a, b in ("ix", "58", "m}") for w in twins(n, a, b)), "", "  ", "a b\tab\nba é 漢字漢字漢字漢字 abcdefgh abcdefghi abcdefghij", "a"]
+    data = [t.encode() for t in texts]
+    hashes, offsets = common.word_hashes(np.frombuffer(b"".join(data), np.uint8), np.cumsum([0, *map(len, data)]), lane=lane)
+    seen = {}
+    for i, d in enumerate(data):
+        assert len(d.split()) == offsets[i + 1] - offsets[i]
+        for w, h in zip(d.split(), hashes[offsets[i] : offsets[i + 1]].tolist(), strict=True):
+            assert seen.setdefault(w, h) == h
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_words_with_equal_byte_sums_are_not_equal(spark):
+    rest = " ".join(f"rest{i}" for i in range(34))
+    pairs = [twins(n) for n in (512, 4096, 65_536)]
+    rows = [(10 * k + j, w + " " + rest + f"{k}") for k, p in enumerate(pairs) for j, w in enumerate(p)]
+    assert {r["n_removed"] for r in substring_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+    rows = [(10 * k + j, " ".join([w] * 5)) for k, p in enumerate(pairs) for j, w in enumerate(p)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert all(r["component_id"] == r["doc_id"] for r in jaccard_components(docs, width=3, percent=90).collect())
+    assert near_unique(docs).count() == len(rows)

@@ -129,11 +129,11 @@ def batch(schema: str | pa.Schema, *columns) -> pa.RecordBatch:
 
 
 _M1, _M2, _M3 = (np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15))
-_BYTE = np.random.Generator(np.random.PCG64(20240229)).integers(1, 2**64 - 1, 256, dtype=np.uint64) | np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
+_KEEP = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)  # the first n bytes of a piece
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -151,29 +151,37 @@ def combine(columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = False, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words `[^\\x20\\x09-\\x0D]+` of documents that lie one after the other in UTF-8 bytes.
 
-    bounds: n + 1 byte offsets. Returns the hashes and n + 1 offsets into them, a document's words in order.
+    bounds: n + 1 byte offsets. Returns the hashes and n + 1 offsets into them, a document's words in order. A word is
+    read in pieces of eight bytes; each is scrambled before it is chained to those before it, so that words of few
+    letters in other orders do not meet. Other lanes give hashes of their own. Words of up to eight bytes and one length
+    never collide.
     """
     if lower:
         data = _LOWER[data]
     inside = ~_SPACE[data]
-    first = inside.copy()
+    first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
-    edges = bounds[:-1][bounds[:-1] < len(data)]
-    first[edges] = inside[edges]
+    last[:-1] &= ~inside[1:]
+    edges = bounds[(bounds > 0) & (bounds < len(data))]
+    first[edges], last[edges - 1] = inside[edges], inside[edges - 1]
     starts = np.flatnonzero(first)
     offsets = np.searchsorted(starts, bounds)
     if not len(starts):
         return np.zeros(0, np.uint64), offsets
-    kept = data[inside]
-    at = np.cumsum(inside)[starts] - 1  # each word's first byte among the bytes of words
-    lengths = np.diff(np.append(at, len(kept)))
-    place = np.arange(len(kept)) - np.repeat(at, lengths)
-    power = np.cumprod(np.full(int(lengths.max()), 0x9E3779B97F4A7C15, np.uint64))
-    sums = np.add.reduceat(_BYTE[kept] * power[place], at)
-    return mix(sums + lengths.astype(np.uint64) * _M2), offsets
+    lengths = np.flatnonzero(last) + 1 - starts
+    pieces = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
+    seed = mix(np.full(1, lane, np.uint64) + _M3)[0]
+    out = mix(mix((pieces[starts] & _KEEP[np.minimum(lengths, 8)]) ^ seed) + lengths.astype(np.uint64) * _M2)
+    at, longer = 8, np.flatnonzero(lengths > 8)
+    while len(longer):
+        piece = pieces[starts[longer] + at] & _KEEP[np.minimum(lengths[longer] - at, 8)]
+        out[longer] = mix(out[longer] * _M3 + mix(piece ^ seed))
+        at += 8
+        longer = longer[lengths[longer] > at]
+    return out, offsets
 
 
 def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -196,10 +204,10 @@ def text_chunks(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]
         row = end
 
 
-def hashed_texts(column: pa.Array, lower: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def hashed_texts(column: pa.Array, lower: bool = False, lane: int = 0) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, word hashes, word offsets) of each chunk of texts."""
     for row, data, bounds in text_chunks(column):
-        yield row, *word_hashes(data, bounds, lower)
+        yield row, *word_hashes(data, bounds, lower, lane)
 
 
 def span_hashes(h: np.ndarray, width: int) -> np.ndarray:
