@@ -44,6 +44,36 @@ reach AS (SELECT i AS node, i AS label FROM mirrored UNION SELECT m.j, r.label F
 comp AS (SELECT node, min(label) AS label FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(label, d.doc_id) AS component_id FROM d LEFT JOIN n USING (doc_id) LEFT JOIN comp ON node = d.doc_id"""
 
+# The CRC-32 of ASCII texts: the table of its 256 steps, and a fold over characters.
+_CRC_TABLE = "crc AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS step FROM range(256) t(n))"
+
+
+def _crc(text: str) -> str:
+    codes = f"list_transform(range(1, length({text}) + 1), lambda i: ascii(substr({text}, i, 1))::bigint)"
+    return f"xor(4294967295, list_reduce({codes}, lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]), 4294967295::bigint))"
+
+
+#: Stretches of equal five-word sequences at one distance q are runs, the least q of a stretch its period.
+PERIODIC_RUNS = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT doc_id, {_WORDS} AS w, {_crc("doc_id::varchar")} AS h FROM documents, crc),
+g AS (SELECT doc_id, w, len(w) AS n, h, h // 10 AS g, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) END AS a FROM d),
+p AS (SELECT doc_id, w, n, a, h % 10 = 0 AND n > 0 AS hit, 1 + (n - a) // (3 + g % 8) AS p FROM g),
+x AS (SELECT doc_id, CASE WHEN hit THEN list_transform(range(0, n), lambda i: w[1 + CASE WHEN i >= a THEN a + (i - a) % p ELSE i END]) ELSE w END AS w FROM p),
+gram AS (SELECT doc_id, n, i, array_to_string(w[i + 1:i + 5], ' ') AS gram FROM (SELECT doc_id, w, len(w) AS n, unnest(range(0, len(w) - 4)) AS i FROM x WHERE len(w) >= 6)),
+pair AS (SELECT a.doc_id, a.i, b.i - a.i AS q FROM gram a JOIN gram b ON a.doc_id = b.doc_id AND a.gram = b.gram AND a.i < b.i AND 4 * (b.i - a.i) <= a.n),
+island AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pair),
+stretch AS (SELECT doc_id, q, min(i) AS s, max(i) - min(i) + 5 + q AS len FROM island GROUP BY doc_id, q, k),
+run AS (SELECT doc_id, s, len, min(q) AS q FROM stretch WHERE len >= greatest(6, 4 * q) GROUP BY doc_id, s, len),
+best AS (SELECT doc_id, s, len, q FROM run QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY len::double / q DESC, s, q) = 1),
+said AS (SELECT doc_id, count(*) AS n, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS said FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM run),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(0, len(w))) AS i FROM x),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_runs, s AS start, len::bigint AS length, q::bigint AS period, (1000 * len // q)::bigint AS exponent_milli,
+       sha256(coalesce(said, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM x LEFT JOIN best USING (doc_id) LEFT JOIN said USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
 
 def _spans(rank: int, pattern: str, group: int, condition: str) -> str:
     p = "'" + pattern.replace("'", "''") + "'"

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from twinfold.llm import oracles
 from twinfold.llm.common import table
 from twinfold.llm.decontamination import scan
+from twinfold.llm.digests import run_digests, with_repeats
 from twinfold.llm.jaccard_join import jaccard_components
 from twinfold.llm.pattern_packing import pattern_packing
+from twinfold.llm.periodic_runs import periodic_runs
 from twinfold.llm.pii import pii_spans
 from twinfold.llm.quality_rules import quality_rules
 from twinfold.llm.secret_scan import secret_scan
@@ -62,7 +64,23 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-_ALL = (op1_decontamination, op2_quality_rules, op3_frame_of_reference, op4_substring_dedup, op5_pii, op6_jaccard_join, op7_secret_scan, op8_pattern_packing, op9_token_counts, op10_toxicity)
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(periodic_runs(with_repeats(table(spark, sf_dir, "documents"))))
+
+
+_ALL = (
+    op1_decontamination,
+    op2_quality_rules,
+    op3_frame_of_reference,
+    op4_substring_dedup,
+    op5_pii,
+    op6_jaccard_join,
+    op7_secret_scan,
+    op8_pattern_packing,
+    op9_token_counts,
+    op10_toxicity,
+    op12_periodic_runs,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 
@@ -73,4 +91,5 @@ ORACLE_SQL: dict[str, str] = {
     "op4_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_jaccard_join": oracles.JACCARD_JOIN,
     "op7_secret_scan": oracles.SECRET_SCAN,
+    "op12_periodic_runs": oracles.PERIODIC_RUNS,
 }
