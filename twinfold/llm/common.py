@@ -151,6 +151,18 @@ def combine(columns: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def word_starts(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which bytes are in words `[^\\x20\\x09-\\x0D]+`, where words start, and n + 1 offsets into these, of documents that
+    lie one after the other (bounds: n + 1 byte offsets)."""
+    inside = ~_SPACE[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    edges = bounds[bounds < len(data)]
+    first[edges] = inside[edges]
+    starts = np.flatnonzero(first)
+    return inside, starts, np.searchsorted(starts, bounds)
+
+
 def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = False, lane: int = 0) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of all words `[^\\x20\\x09-\\x0D]+` of documents that lie one after the other in UTF-8 bytes.
 
@@ -161,16 +173,13 @@ def word_hashes(data: np.ndarray, bounds: np.ndarray, lower: bool = False, lane:
     """
     if lower:
         data = _LOWER[data]
-    inside = ~_SPACE[data]
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
-    edges = bounds[(bounds > 0) & (bounds < len(data))]
-    first[edges], last[edges - 1] = inside[edges], inside[edges - 1]
-    starts = np.flatnonzero(first)
-    offsets = np.searchsorted(starts, bounds)
+    inside, starts, offsets = word_starts(data, bounds)
     if not len(starts):
         return np.zeros(0, np.uint64), offsets
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    ends = bounds[(bounds > 0) & (bounds < len(data))] - 1
+    last[ends] = inside[ends]
     lengths = np.flatnonzero(last) + 1 - starts
     pieces = np.ndarray(len(data) + 1, "<u8", np.append(data, np.zeros(8, np.uint8)), strides=(1,))
     seed = mix(np.full(1, lane, np.uint64) + _M3)[0]

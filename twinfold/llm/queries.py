@@ -11,6 +11,7 @@ from twinfold.llm.common import table
 from twinfold.llm.decontamination import scan
 from twinfold.llm.digests import run_digests, with_repeats
 from twinfold.llm.jaccard_join import jaccard_components
+from twinfold.llm.mixture import mixed_documents, mixture
 from twinfold.llm.pattern_packing import pattern_packing
 from twinfold.llm.periodic_runs import periodic_runs
 from twinfold.llm.pii import pii_spans
@@ -68,6 +69,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(with_repeats(table(spark, sf_dir, "documents"))))
 
 
+def op13_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed_documents(mixture(table(spark, sf_dir, "documents"))).select("doc_id", "size", "source_size", "target", "taken")
+
+
 _ALL = (
     op1_decontamination,
     op2_quality_rules,
@@ -80,6 +85,7 @@ _ALL = (
     op9_token_counts,
     op10_toxicity,
     op12_periodic_runs,
+    op13_source_mixture,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
