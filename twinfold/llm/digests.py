@@ -43,3 +43,15 @@ def run_digests(found: DataFrame) -> DataFrame:
     found = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
     milli = F.expr("best.length * 1000 div best.period")
     return found.select("doc_id", "n_runs", "best.start", "best.length", "best.period", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def damaged(conversations: DataFrame) -> DataFrame:
+    """conv_id, turn, role, text after damage by the checksum of `conv_id:turn` modulo 20: 0 drops a row, 1 empties its
+    text, 2 removes its marks . ! ?, 3 repeats it, 4 makes it the user's. Nulls count as one space."""
+    said = F.concat_ws(":", *(F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")))
+    role, text = (F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("role", "text"))
+    rows = conversations.select("conv_id", "turn", role.alias("role"), text.alias("text"), F.pmod(crc(said), F.lit(20)).alias("code")).where("code <> 0")
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("code") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.when(F.col("code") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies).select("conv_id", "turn", "role", "text")

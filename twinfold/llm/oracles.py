@@ -53,6 +53,37 @@ def _crc(text: str) -> str:
     return f"xor(4294967295, list_reduce({codes}, lambda c, b: xor(c >> 8, step[(xor(c, b) & 255) + 1]), 4294967295::bigint))"
 
 
+#: The least edits row by row: of all ways to a state, the cheapest and of those the one with the least letters.
+CONVERSATION_REPAIR = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+named AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') AS said FROM conversations),
+coded AS (SELECT conv_id, turn, role, text, {_crc("said")} % 20 AS code FROM named, crc),
+hit AS (SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+               CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE code WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM coded),
+r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS k, rtrim(text, E' \t\n\x0b\f\r') AS shown FROM hit),
+f AS (SELECT *, left(role, 1) AS c, CASE WHEN shown = '' THEN 'b' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY k) > 1 THEN 'd' WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 't' ELSE '.' END AS fault FROM r),
+pre(s, ins, s1, said, more) AS (VALUES (0, 0, 0, '', 0), (0, 1, 2, 'user:' || chr(10), 5), (0, 2, 3, 'user:' || chr(10) || 'assistant:' || chr(10), 10), (1, 0, 1, '', 0), (1, 1, 2, 'user:' || chr(10), 5),
+  (1, 2, 3, 'user:' || chr(10) || 'assistant:' || chr(10), 10), (2, 0, 2, '', 0), (2, 1, 3, 'assistant:' || chr(10), 5), (3, 0, 3, '', 0), (3, 1, 2, 'user:' || chr(10), 5)),
+op(edit, c, s1, s2, price) AS (SELECT * FROM (VALUES ('K', 's', 0, 1, 0), ('K', 'u', 0, 2, 0), ('K', 'u', 1, 2, 0), ('K', 'u', 3, 2, 0), ('K', 'a', 2, 3, 0)) UNION ALL SELECT 'R', NULL, s, CASE s WHEN 2 THEN 3 ELSE 2 END, 1 FROM range(4) t(s) UNION ALL SELECT 'D', NULL, s, s, 2 FROM range(4) t(s)),
+dp AS (
+  SELECT DISTINCT conv_id, 0::bigint AS k, 0 AS s, 0 AS cost, '' AS audit, '' AS said FROM f
+  UNION ALL
+  SELECT conv_id, k, s, cost, audit, said FROM (
+    SELECT dp.conv_id, f.k, op.s2 AS s, dp.cost + pre.more + op.price + CASE WHEN op.edit <> 'D' AND f.fault = 't' THEN 5 ELSE 0 END AS cost, dp.audit || repeat('I', pre.ins) || op.edit AS audit,
+           dp.said || pre.said || CASE op.edit WHEN 'K' THEN f.role || ':' || f.text || chr(10) WHEN 'R' THEN CASE pre.s1 WHEN 2 THEN 'assistant:' ELSE 'user:' END || f.text || chr(10) ELSE '' END AS said
+    FROM dp JOIN f ON f.conv_id IS NOT DISTINCT FROM dp.conv_id AND f.k = dp.k + 1 JOIN pre ON pre.s = dp.s JOIN op ON op.s1 = pre.s1 AND (op.edit = 'D' OR f.fault NOT IN ('b', 'd')) AND (op.c IS NULL OR op.c = f.c))
+  QUALIFY row_number() OVER (PARTITION BY conv_id, k, s ORDER BY cost, audit) = 1),
+ended AS (SELECT dp.conv_id, cost + CASE s WHEN 1 THEN 10 WHEN 2 THEN 5 ELSE 0 END AS cost, audit || CASE s WHEN 1 THEN 'II' WHEN 2 THEN 'I' ELSE '' END AS audit,
+                 said || CASE s WHEN 1 THEN 'user:' || chr(10) || 'assistant:' || chr(10) WHEN 2 THEN 'assistant:' || chr(10) ELSE '' END AS said
+          FROM dp JOIN (SELECT conv_id, max(k) AS k FROM f GROUP BY conv_id) n ON n.conv_id IS NOT DISTINCT FROM dp.conv_id AND n.k = dp.k),
+best AS (SELECT * FROM ended QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY cost, audit) = 1),
+next AS (SELECT *, c || lead(c) OVER (PARTITION BY conv_id ORDER BY k) AS pair FROM f),
+n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'b') AS blank, count(*) FILTER (fault = 'd') AS duplicate, count(*) FILTER (fault = 't') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM next GROUP BY conv_id),
+c AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(cost, 0)::bigint AS cost, coalesce(audit, '') AS audit, sha256(left(coalesce(said, ''), greatest(length(coalesce(said, '')) - 1, 0))) AS repaired_sha256
+FROM c LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN best ON best.conv_id IS NOT DISTINCT FROM c.conv_id"""
+
 #: Stretches of equal five-word sequences at one distance q are runs, the least q of a stretch its period.
 PERIODIC_RUNS = rf"""
 WITH {_CRC_TABLE},

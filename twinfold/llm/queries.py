@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from twinfold.llm import oracles
 from twinfold.llm.common import table
+from twinfold.llm.conversation_repair import conversation_repair
 from twinfold.llm.decontamination import scan
-from twinfold.llm.digests import run_digests, with_repeats
+from twinfold.llm.digests import damaged, run_digests, with_repeats
 from twinfold.llm.jaccard_join import jaccard_components
 from twinfold.llm.mixture import mixed_documents, mixture
 from twinfold.llm.pattern_packing import pattern_packing
@@ -65,6 +66,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair(damaged(conversations), conversations)
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(periodic_runs(with_repeats(table(spark, sf_dir, "documents"))))
 
@@ -84,6 +90,7 @@ _ALL = (
     op8_pattern_packing,
     op9_token_counts,
     op10_toxicity,
+    op11_conversation_repair,
     op12_periodic_runs,
     op13_source_mixture,
 )
@@ -97,5 +104,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_substring_dedup": oracles.SUBSTRING_DEDUP,
     "op6_jaccard_join": oracles.JACCARD_JOIN,
     "op7_secret_scan": oracles.SECRET_SCAN,
+    "op11_conversation_repair": oracles.CONVERSATION_REPAIR,
     "op12_periodic_runs": oracles.PERIODIC_RUNS,
 }
