@@ -275,7 +275,8 @@ def mixture(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
 
     last = F.expr(f"(start + size - 1) div {block_words}")
     cut = documents.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block_words}"), last)))
-    cut = cut.join(block_draws(spark, passes, shard_blocks, seed), ["source_number", "block"])
+    draws = block_draws(spark, passes, shard_blocks, seed).hint("merge")  # they grow with the input, which Spark cannot see
+    cut = cut.join(draws, ["source_number", "block"])
     begin, end = F.greatest(F.col("start"), F.col("block") * block_words), F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("words"))
     pieces = cut.where(end > begin).select("shard", "slot", "pass", "row", "doc_id", "key", (begin - F.col("block") * block_words).cast("int").alias("block_start"), (begin - F.col("start")).alias("start"), (end - begin).alias("words"))
     return Mix(documents, sources, pieces, len(found))
