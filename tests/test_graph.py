@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from twinfold.operators import clusters, knn
+from twinfold.operators import clusters, components, knn
 from twinfold.operators.components import connected_components
 
 
@@ -35,8 +35,8 @@ def test_neighbours_equal_brute_force(spark, monkeypatch, blocked):
 
 def test_plain_pairs_equal_the_blocked_ones(spark):
     v = np.random.default_rng(6).normal(size=(30, 4)).astype(np.float32)
-    plain = {(r["i"], r["j"]) for r in knn.similar_pairs(frame(spark, v), 0.3).collect()}
-    assert plain == {(r["i"], r["j"]) for r in knn.neighbours(frame(spark, v), 30, 0.3).collect()}
+    pairs = {(r["i"], r["j"]) for r in knn.similar_pairs(frame(spark, v), 0.3).collect()}
+    assert pairs | {(j, i) for i, j in pairs} == {(r["i"], r["j"]) for r in knn.neighbours(frame(spark, v), 30, 0.3).collect()}
 
 
 def test_hashing_finds_close_pairs(spark):
@@ -64,10 +64,46 @@ def test_ties_go_to_the_smaller_id(spark, monkeypatch, blocked):
     assert got == {(i, j) for i in range(45) for j in [x for x in range(i // 15 * 15, i // 15 * 15 + 15) if x != i][:4]}
 
 
-def test_plain_pairs_are_for_few_vectors(spark, monkeypatch):
-    monkeypatch.setattr(knn, "PLAIN", 3)
-    with pytest.raises(ValueError, match="neighbours"):
-        knn.similar_pairs(frame(spark, np.eye(4)), 0.3)
+def clustered(seed, n, each, d, spread):
+    rng = np.random.default_rng(seed)
+    return (np.repeat(rng.normal(size=(n, d)), each, axis=0) + spread * rng.normal(size=(n * each, d))).astype(np.float32)
+
+
+@pytest.mark.parametrize(("k", "least"), [(3, 0.99), (20, 0.5), (5, -2.0)])
+def test_cells_equal_brute_force(spark, k, least):
+    """Clusters, copies of one vector, multiples of it, zeros and opposite vectors, in blocks of 25 vectors."""
+    v = clustered(21, 25, 8, 8, 0.02)
+    v = np.concatenate([v, np.repeat(v[:1], 70, axis=0), 3 * v[1:4], np.zeros((5, 8), np.float32), -v[:6]])
+    v = v[np.random.default_rng(22).permutation(len(v))]
+    got = knn.neighbours(frame(spark, v), k, least, broadcast_bytes=0, block_bytes=25 * 8 * 8).collect()
+    assert {(r["i"], r["j"]) for r in got} == brute(v, k, least)
+    assert sorted(map(str, got)) == sorted(map(str, knn.neighbours(frame(spark, v), k, least).collect()))
+
+
+def test_cells_compare_few_pairs(spark):
+    v = clustered(23, 60, 20, 16, 0.01)
+    cells = knn.Cells(*knn._plain(frame(spark, v)), 0.99, 5, 20 * 16 * 8)
+    sizes = {r["block"]: r["count"] for r in cells.blocks.groupBy("block").count().collect()}
+    compared = sum(n * n for n in sizes.values()) + sum(r["n"] * sizes[r["other"]] for r in cells.pairs().collect())
+    assert max(sizes.values()) <= 60 and len(sizes) >= 34 and compared < len(v) ** 2 / 10
+
+
+def test_copies_of_one_vector_cost_no_square(spark):
+    """A third of all vectors are equal: they are compared as one, and no row gathers them."""
+    v = np.concatenate([np.repeat(clustered(24, 1, 1, 8, 0), 1000, axis=0), clustered(25, 100, 20, 8, 0.01)])
+    got = knn.neighbours(frame(spark, v), 4, 0.99, broadcast_bytes=0, block_bytes=64 * 8 * 8)
+    assert {(r["i"], r["j"]) for r in got.collect()} == brute(v, 4, 0.99)
+
+
+def test_no_vectors_in_cells(spark):
+    assert knn.neighbours(frame(spark, []), 3, 0.5, broadcast_bytes=-1).count() == 0 and knn.similar_pairs(frame(spark, []), 0.5).count() == 0
+
+
+def test_pairs_of_many_blocks(spark):
+    v = clustered(26, 30, 6, 8, 0.05)
+    m = v.astype(np.float64) / np.linalg.norm(v.astype(np.float64), axis=1, keepdims=True)
+    got = [(r["i"], r["j"]) for r in knn.similar_pairs(frame(spark, v), 0.9, block_bytes=10 * 8 * 8).collect()]
+    assert sorted(got) == [(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if (m @ m.T)[i, j] >= 0.9]
 
 
 def test_numbers_are_of_one_person_each(spark):
@@ -108,6 +144,46 @@ def test_components_do_not_depend_on_order_or_direction(spark, small):
         assert got == {x: label[x] for x in real}
 
 
+def shuffled(pairs, seed):
+    return [pairs[k] for k in np.random.default_rng(seed).permutation(len(pairs))]
+
+
+def test_a_long_path_in_many_partitions(spark):
+    names = np.random.default_rng(31).permutation(10_000).tolist()
+    rows = shuffled(list(zip(names, names[1:], strict=False)), 32) + [(20_000, 20_001)]
+    got = connected_components(spark.createDataFrame(rows, "i long, j long").repartition(6), small=0).collect()
+    assert {r["node"]: r["component"] for r in got} == dict.fromkeys(range(10_000), 0) | {20_000: 20_000, 20_001: 20_000}
+    assert len(got) == 10_002
+
+
+@pytest.mark.parametrize("middle", [0, 2_000_000])
+def test_a_star_of_a_million_edges(spark, monkeypatch, middle):
+    """Its middle is the smallest node, or the largest one; its rows are dealt out in parts."""
+    monkeypatch.setattr(components, "HOT_ROWS", 50_000)
+    edges = spark.range(1, 1_000_001).select(F.lit(middle).alias("i"), F.col("id").alias("j"))
+    got = connected_components(edges.repartition(5), small=0).groupBy("component").count().collect()
+    assert [tuple(r) for r in got] == [(min(middle, 1), 1_000_001)]
+
+
+def test_hot_keys_are_joined_in_parts(spark):
+    rows = spark.createDataFrame([(i % 3 if i % 7 else 9, i) for i in range(300)], "k long, v long")
+    known = rows.groupBy("k").agg(F.sum("v").alias("total"), F.count(F.lit(1)).alias("n"))
+    want = sorted(map(str, rows.join(known.drop("n"), "k").collect()))
+    assert sorted(map(str, components.split_join(rows, known, "k", "n", "v", 20).collect())) == want
+
+
+def test_forests():
+    rng = np.random.default_rng(33)
+    for n, m in ((5, 3), (50, 40), (50, 20), (1000, 900)):
+        a, b = rng.integers(0, n, m), rng.integers(0, n, m)
+        label = {x: x for p in zip(a, b, strict=True) for x in p}
+        for _ in label:
+            for x, y in zip(a, b, strict=True):
+                label[x] = label[y] = min(label[x], label[y])
+        node, root = components.forest(a, b)
+        assert dict(zip(node.tolist(), root.tolist(), strict=True)) == label
+
+
 def test_no_edge_no_cluster(spark):
     assert clusters.clusters(spark.createDataFrame([], "i long, j long")).count() == 0
 

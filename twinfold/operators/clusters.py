@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from twinfold.functions import vocabulary as V
 from twinfold.functions.text import present
 from twinfold.operators import embedding, idf, knn
-from twinfold.operators.components import checkpointed, connected_components
+from twinfold.operators.components import connected_components
+from twinfold.sources.shared import written
 
 #: Declared order of a person's fields in a payload.
 FIELDS = ["iri", "name", "github_username", "email", "url", "orcid", "infoscience_id", *V.LISTS, "bio", "location", "company", "properties"]
@@ -33,7 +34,7 @@ def cluster_persons(persons: DataFrame, provider: embedding.EmbeddingProvider, m
 
 def numbered(persons: DataFrame) -> DataFrame:
     """persons with a number of their own, in the order of their IRIs; written, as numbers depend on partitions."""
-    return checkpointed(persons.repartitionByRange("iri").sortWithinPartitions("iri").withColumn("id", F.monotonically_increasing_id()))
+    return written(persons.repartitionByRange("iri").sortWithinPartitions("iri").withColumn("id", F.monotonically_increasing_id()))
 
 
 def _same(column: str):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from twinfold.functions import vocabulary as V
 from twinfold.functions.text import decimal_text, iri_text, literal_text, utc_iso
-from twinfold.operators.components import checkpointed
+from twinfold.sources.shared import written
 
 COLUMNS = ["entities", "confidence", "reason", "method"]
 
@@ -39,7 +39,7 @@ def numbered(groups: DataFrame) -> DataFrame:
     """groups with place, their number in the order of ranked(). Rows are sorted by ranges and counted by range, so no
     task holds more than a range; an offset for each partition is all that is broadcast."""
     keys = [method_rank(F.col("method")), F.desc("confidence"), F.array_join("entities", " ")]
-    ordered = checkpointed(groups.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()))
+    ordered = written(groups.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()))
     part = F.shiftright("at", 33).alias("part")
     offsets = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
     out = ordered.withColumn("part", part).join(F.broadcast(offsets.select("part", "before")), "part")

@@ -3,6 +3,14 @@
 The base threshold is applied before the top k: both keep a prefix of the same order, so the result is the same and the
 sort is small. What depends on the pair is applied after the top k. Ties go to the smaller id; a vector is not its own
 neighbour; zero vectors have similarity 0.
+
+Beyond one broadcast, vectors are partitioned by metric cells. Pivots are drawn, each vector belongs to the nearest one,
+and each cell keeps the least and greatest distance of its members. As |x - y|^2 <= 2 - 2 sim for vectors of length 1 and
+less, a vector whose neighbours must have a similarity of b looks no further than r = sqrt(2 - 2 b). Where its distance
+to a cell's pivot is D and to its own pivot D0, the triangle inequality excludes the cell if D - r is more than the
+cell's greatest distance, D + r less than its least one, or D - D0 more than 2 r. b is the threshold or, if that is more,
+the k-th best similarity in the vector's own block. Cells are cut into blocks of BLOCK_BYTES, and only pairs of blocks
+that some vector cannot exclude meet, with the vectors that cannot. Equal vectors are compared as one.
 """
 
 from __future__ import annotations
@@ -14,18 +22,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from twinfold.functions.vectors import dot, unit
+from twinfold.functions.vectors import unit
+from twinfold.sources.shared import written
 from twinfold.operators.idf import effective_threshold
 
-#: Largest matrix that is broadcast, in bytes of float64; beyond it, pairs of blocks are dealt out.
+#: Largest matrix that is broadcast, in bytes of float64; beyond it, vectors are partitioned by cells.
 BROADCAST_BYTES = 256 << 20
-#: Bytes of a block; a vector is sent once for each block, so fewer, larger ones move less.
+#: Bytes of a block; a vector is sent once for each block that it cannot exclude, so fewer, larger ones move less.
 BLOCK_BYTES = 16 << 20
+#: Most pivots: a broadcast matrix of so many vectors.
+PIVOTS = 1024
 #: Of a similarity, what ranks; the last bits of a product depend on the shape of its matrices.
 DIGITS = 12
+#: Added to squared distances, so that no rounding excludes a cell.
+SLACK = 1e-9
+#: Vectors whose distances to all pivots are held at once.
+ROWS = 2048
 NEAR = pa.schema([("i", pa.int64()), ("j", pa.int64()), ("sim", pa.float64()), ("rank", pa.int32())])
-#: Most vectors whose pairs the plain form makes.
-PLAIN = 10_000
 
 
 def top_k(pairs: DataFrame, k: int) -> DataFrame:
@@ -33,76 +46,182 @@ def top_k(pairs: DataFrame, k: int) -> DataFrame:
     return pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def similar_pairs(vectors: DataFrame, least: float) -> DataFrame:
-    """i, j, sim of all ordered pairs with sim >= least, on built-in functions: the plain form, for small tables."""
-    if vectors.count() > PLAIN:
-        raise ValueError(f"more than {PLAIN} vectors: use neighbours()")
-    u = vectors.select("id", unit(F.col("vector")).alias("u"))
-    a, b = u.select(F.col("id").alias("i"), F.col("u").alias("ui")), u.select(F.col("id").alias("j"), F.col("u").alias("uj"))
-    half = a.join(b, F.col("i") < F.col("j")).select("i", "j", dot(F.col("ui"), F.col("uj")).alias("sim")).where(F.col("sim") >= least)
-    return half.unionByName(half.select(F.col("j").alias("i"), F.col("i").alias("j"), "sim"))
+def _matrix(vectors: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:
+    flat = vectors.flatten() if isinstance(vectors, pa.Array) else vectors.combine_chunks().flatten()
+    return flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(vectors), d)
 
 
 def _unit_rows(vectors: pa.Array | pa.ChunkedArray, d: int) -> np.ndarray:
     """Rows of length 1 from lists of d numbers."""
-    m = vectors.flatten().to_numpy(zero_copy_only=False) if isinstance(vectors, pa.Array) else vectors.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    m = m.astype(np.float64).reshape(len(vectors), d)
+    m = _matrix(vectors, d)
     return m / (np.linalg.norm(m, axis=1, keepdims=True) + 1e-10)
 
 
-def _near(ids: np.ndarray, left: np.ndarray, others: np.ndarray, right: np.ndarray, k: int, least: float) -> Iterator[pa.RecordBatch]:
-    """i, j, sim, rank of each left vector's k nearest of the right ones; products are rounded, so that ties do not depend
-    on the blocks."""
-    step = max(1, min(512, (32 << 20) // (8 * max(1, len(others)))))
+def _near(ids: np.ndarray, left: np.ndarray, others: np.ndarray, right: np.ndarray, k: int | None, least: float | np.ndarray) -> Iterator[pa.RecordBatch]:
+    """i, j, sim, rank of each left vector's k nearest (all if k is None) of the right ones, at least as similar as its
+    entry of `least`; products are rounded, so that ties do not depend on the blocks."""
+    step, least = max(1, min(512, (32 << 20) // (8 * max(1, len(others))))), np.broadcast_to(least, len(ids))
     for s in range(0, len(ids), step):
         sim = np.round(left[s : s + step] @ right.T, DIGITS)
         sim[ids[s : s + step, None] == others[None, :]] = -np.inf
-        cut = np.full(len(sim), least)
-        if sim.shape[1] > k:
-            cut = np.maximum(np.partition(sim, sim.shape[1] - k, axis=1)[:, -k], least)  # the k-th best
+        cut = least[s : s + step]
+        if k is not None and sim.shape[1] > k:
+            cut = np.maximum(np.partition(sim, sim.shape[1] - k, axis=1)[:, -k], cut)  # the k-th best
         r, c = np.nonzero(sim >= cut[:, None])
         order = np.lexsort((others[c], -sim[r, c], r))
         r, c = r[order], c[order]
         rank = np.arange(len(r)) - np.searchsorted(r, r) + 1
-        kept = rank <= k  # of ties with the k-th, the smaller ids
+        kept = rank <= (len(others) if k is None else k)  # of ties with the k-th, the smaller ids
         r, c = r[kept], c[kept]
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[s + r], others[c], sim[r, c], rank[kept].astype(np.int32))], schema=NEAR)
 
 
-def neighbours(vectors: DataFrame, k: int = 20, least: float = 0.99) -> DataFrame:
+def _plain(vectors: DataFrame) -> tuple[DataFrame, int, int]:
+    """id, vector as the operators take them; how many, and of how many numbers."""
+    vectors = vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
+    return vectors, *vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+
+
+def neighbours(vectors: DataFrame, k: int = 20, least: float = 0.99, broadcast_bytes: int | None = None, block_bytes: int | None = None) -> DataFrame:
     """i, j, sim, rank of each vector's k nearest others with sim >= least. vectors: id, vector (all of one length).
 
     Products run in blocks of numpy matrices. Only rows above `least` and in a block's top k leave Python; where all
     other vectors are one block, that is the result.
     """
     spark = vectors.sparkSession
-    vectors = vectors.select(F.col("id").cast("long").alias("id"), F.col("vector").cast("array<double>").alias("vector"))
-    n, d = vectors.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
-    schema = "i long, j long, sim double, rank int"
-    if n * d * 8 <= BROADCAST_BYTES:
-        held = vectors.toArrow().sort_by("id")
-        sent = spark.sparkContext.broadcast((held["id"].to_numpy(), _unit_rows(held["vector"], d)))
-
-        def run(batches: Iterator[pa.RecordBatch]):
-            others, right = sent.value
-            for b in batches:
-                yield from _near(b.column("id").to_numpy(), _unit_rows(b.column("vector"), d), others, right, k, least)
-
-        return vectors.mapInArrow(run, schema)
-    blocks = -(-n * d * 8 // BLOCK_BYTES)
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    dealt = dealt.select(F.least("block", "other").alias("a"), F.greatest("block", "other").alias("b"), "block", "id", "vector")
-
-    def pair(t: pa.Table) -> pa.Table:
-        block, a, b = (t[c].to_numpy() for c in ("block", "a", "b"))
-        ids, units = t["id"].to_numpy(), _unit_rows(t["vector"], d)
-        x, y = block == a, block == b
-        out = [*_near(ids[x], units[x], ids[y], units[y], k, least)]
-        if len(t) and a[0] != b[0]:
-            out += _near(ids[y], units[y], ids[x], units[x], k, least)
-        return pa.Table.from_batches(out, schema=NEAR)
-
-    return top_k(dealt.groupBy("a", "b").applyInArrow(pair, schema).drop("rank"), k)
+    vectors, n, d = _plain(vectors)
+    if n * d * 8 > (BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
+        return _of_copies(vectors, k, least, n, d, block_bytes or BLOCK_BYTES)
+    held = vectors.toArrow().sort_by("id")
+    sent = spark.sparkContext.broadcast((held["id"].to_numpy(), _unit_rows(held["vector"], d)))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        others, right = sent.value
+        for b in batches:
+            yield from _near(b.column("id").to_numpy(), _unit_rows(b.column("vector"), d), others, right, k, least)
+
+    return vectors.mapInArrow(run, "i long, j long, sim double, rank int")
+
+
+def similar_pairs(vectors: DataFrame, least: float, block_bytes: int | None = None) -> DataFrame:
+    """i, j, sim of all pairs i < j with sim >= least."""
+    vectors, n, d = _plain(vectors)
+    near = Cells(vectors, n, d, least, None, block_bytes or BLOCK_BYTES).near()
+    return near.where("i <> j").select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "sim")
+
+
+def _of_copies(vectors: DataFrame, k: int, least: float, n: int, d: int, block_bytes: int) -> DataFrame:
+    """neighbours() where equal vectors are compared as one. A vector's k nearest are among the k + 1 smallest ids of
+    each group of equal ones; how many copies there are does not matter, and no group is gathered."""
+    keyed = vectors.withColumn("key", F.sha2(F.col("vector").cast("string"), 256))
+    few = keyed.withColumn("copy", F.row_number().over(Window.partitionBy("key").orderBy("id"))).where(F.col("copy") <= k + 1)
+    groups = few.groupBy("key").agg(F.min("id").alias("id"), F.min_by("vector", "id").alias("vector"), F.array_sort(F.collect_list("id")).alias("ids"))
+    groups = written(groups)
+    near = Cells(groups.select("id", "vector"), n, d, least, k, block_bytes).near()
+    near = near.join(groups.select(F.col("id").alias("j"), "ids"), "j").select("i", "sim", F.explode("ids").alias("j"))
+    best = top_k(near, k + 1).groupBy("i").agg(F.array_sort(F.collect_list(F.struct("rank", "j", "sim"))).alias("best"))
+    of = keyed.select("id", "key").join(groups.select("key", F.col("id").alias("i")), "key").join(best, "i")
+    found = F.slice(F.filter("best", lambda b: b["j"] != F.col("id")), 1, k)
+    return of.select(F.col("id").alias("i"), F.posexplode(found).alias("at", "b")).select("i", "b.j", "b.sim", (F.col("at") + 1).cast("int").alias("rank"))
+
+
+_CELL = pa.schema([("id", pa.int64()), ("vector", pa.list_(pa.float64())), ("cell", pa.int32()), ("far", pa.float64())])
+_ASKED = pa.schema([("id", pa.int64()), ("vector", pa.list_(pa.float64())), ("block", pa.int32()), ("bound", pa.float64()), ("near", pa.list_(pa.struct([("j", pa.int64()), ("sim", pa.float64())]))), ("asked", pa.list_(pa.int32()))])
+
+
+def _lists(m: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, m.size + 1, max(1, m.shape[1])), pa.int32()), pa.array(m.ravel()))
+
+
+def _distances(units: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    squares = (units * units).sum(1)[:, None] + (pivots * pivots).sum(1)[None, :] - 2 * (units @ pivots.T)
+    return np.sqrt(np.maximum(squares, 0))
+
+
+class Cells:
+    """Vectors by cells and blocks. blocks: one row a vector with its block, what it found there, and the blocks that it
+    must ask (all that `k` and `least` cannot exclude; if k is None, none before its own, as pairs go one way). Pivots
+    are the vectors with the smallest hashes of ids, at most PIVOTS; the driver holds them and some numbers a cell."""
+
+    def __init__(self, vectors: DataFrame, n: int, d: int, least: float, k: int | None, block_bytes: int):
+        spark, rows = vectors.sparkSession, max(1, block_bytes // max(1, 8 * d))
+        drawn = vectors.orderBy(F.xxhash64("id"), "id").limit(min(PIVOTS, max(1, int(n**0.5)))).toArrow()
+        pivots = _unit_rows(drawn["vector"], d) if len(drawn) else np.zeros((1, max(1, d)))
+        sent = spark.sparkContext.broadcast(pivots)
+
+        def assign(batches: Iterator[pa.RecordBatch]):
+            for b in (b.slice(s, ROWS) for b in batches for s in range(0, b.num_rows, ROWS)):
+                units = _unit_rows(b.column("vector"), d)
+                far = _distances(units, sent.value)
+                cell = far.argmin(1)
+                yield pa.RecordBatch.from_arrays([b.column("id"), _lists(units), pa.array(cell, pa.int32()), pa.array(far[np.arange(len(far)), cell])], schema=_CELL)
+
+        held = written(vectors.mapInArrow(assign, "id long, vector array<double>, cell int, far double"))
+        size, low, high = np.zeros(len(pivots), np.int64), np.full(len(pivots), np.inf), np.zeros(len(pivots))
+        for r in held.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.min("far").alias("low"), F.max("far").alias("high")).collect():
+            size[r["cell"]], low[r["cell"]], high[r["cell"]] = r["n"], r["low"], r["high"]
+        parts = -(-size // rows)  # none of an empty cell
+        first = np.cumsum(parts) - parts
+        cells = spark.sparkContext.broadcast((first, parts, low, high))
+        of_cell = spark.createDataFrame([(c, int(first[c]), int(parts[c])) for c in range(len(parts)) if parts[c]], "cell int, first int, parts int")
+        dealt = held.join(F.broadcast(of_cell), "cell").select("id", "vector", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("block"))
+
+        def own(t: pa.Table) -> pa.Table:
+            ids, units, block = t["id"].to_numpy(), _matrix(t["vector"], d), int(t["block"][0].as_py())
+            order = np.argsort(ids)
+            ids, units = ids[order], units[order]
+            first, parts, low, high = cells.value
+            near = pa.Table.from_batches(_near(ids, units, ids, units, k, least), schema=NEAR)
+            i, j, sim, rank = (near[c].to_numpy() for c in ("i", "j", "sim", "rank"))
+            if k is None:  # pairs go one way
+                i, j, sim = i[i < j], j[i < j], sim[i < j]
+            bound = np.full(len(ids), float(least))
+            if k is not None:
+                full = rank == k
+                bound[np.searchsorted(ids, i[full])] = sim[full]
+            itself = np.round((units * units).sum(1), DIGITS)  # what copies of one vector have
+            shown = np.flatnonzero(itself >= least)
+            at, j, sim = np.append(np.searchsorted(ids, i), shown), np.append(j, ids[shown]), np.append(sim, itself[shown])
+            by = np.argsort(at, kind="stable")
+            found = pa.StructArray.from_arrays([pa.array(j[by]), pa.array(sim[by])], fields=list(_ASKED.field("near").type.value_type))
+            found = pa.ListArray.from_arrays(pa.array(np.searchsorted(at[by], np.arange(len(ids) + 1)), pa.int32()), found)
+
+            cell, rows, blocks = int(np.searchsorted(first + parts, block, "right")), [], []
+            for s in range(0, len(ids), ROWS):
+                far = _distances(units[s : s + ROWS], sent.value)
+                r = np.sqrt(np.maximum(2 - 2 * bound[s : s + ROWS], 0) + SLACK)[:, None]
+                row, c = np.nonzero((far - r <= high) & (far + r >= low) & (far - far[:, [cell]] <= 2 * r) & (parts > 0))
+                count = parts[c]
+                ends = np.cumsum(count)
+                asked = np.arange(int(count.sum())) - np.repeat(ends - count, count) + np.repeat(first[c], count)
+                kept = asked > block if k is None else asked != block
+                rows.append(np.repeat(row + s, count)[kept])
+                blocks.append(asked[kept])
+            row, asked = np.concatenate(rows), np.concatenate(blocks)
+            asked = pa.ListArray.from_arrays(pa.array(np.searchsorted(row, np.arange(len(ids) + 1)), pa.int32()), pa.array(asked, pa.int32()))
+            return pa.Table.from_arrays([pa.array(ids), _lists(units), pa.array(np.full(len(ids), block, np.int32)), pa.array(bound), found, asked], schema=_ASKED)
+
+        self.d, self.k = d, k
+        self.blocks = written(dealt.groupBy("block").applyInArrow(own, "id long, vector array<double>, block int, bound double, near array<struct<j:long,sim:double>>, asked array<int>"))
+
+    def pairs(self) -> DataFrame:
+        """block, other, n: which pairs of blocks meet, and how many vectors of the first ask the second."""
+        return self.blocks.select("block", F.explode("asked").alias("other")).groupBy("block", "other").agg(F.count(F.lit(1)).alias("n"))
+
+    def near(self) -> DataFrame:
+        """i, j, sim: of each vector its k nearest in every block that it asks, its own included, and itself."""
+        d, k = self.d, self.k
+
+        def meet(t: pa.Table) -> pa.Table:
+            asks, ids, units = t["bound"].is_valid().to_numpy(), t["id"].to_numpy(), _matrix(t["vector"], d)
+            order = np.argsort(ids[~asks])
+            found = _near(ids[asks], units[asks], ids[~asks][order], units[~asks][order], k, t["bound"].to_numpy()[asks])
+            return pa.Table.from_batches(found, schema=NEAR).drop_columns(["rank"])
+
+        asking = self.blocks.select("block", F.explode("asked").alias("other"), "id", "vector", "bound")
+        asked = self.blocks.select(F.col("block").alias("other"), "id", "vector").join(self.pairs().select("block", "other"), "other").withColumn("bound", F.lit(None).cast("double"))
+        far = asking.unionByName(asked).groupBy("block", "other").applyInArrow(meet, "i long, j long, sim double")
+        return self.blocks.select(F.col("id").alias("i"), F.explode("near").alias("x")).select("i", "x.j", "x.sim").unionByName(far)
 
 
 def neighbours_by_hashing(vectors: DataFrame, k: int = 20, least: float = 0.99, tables: int = 8, width: float = 0.5) -> DataFrame:

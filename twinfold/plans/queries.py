@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 from twinfold.functions import text, vocabulary as V
 from twinfold.functions.vectors import norm, unit
 from twinfold.operators import clusters, embedding, groups, idf, knn, persons, rules, verdicts
-from twinfold.operators.components import checkpointed, connected_components
+from twinfold.operators.components import connected_components
+from twinfold.sources.shared import written
 from twinfold.plans.fixtures import TRIPLES, triples, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 K, T, PENALTY, CAP, MODEL, FIELDS = 20, 0.35, 0.02, 5, "Qwen/Qwen3-Embedding-8B", ["name", "location"]
+#: What makes neighbours() partition vectors by cells at every size, in blocks of 128 vectors of 64 numbers.
+CELLS = {"broadcast_bytes": 0, "block_bytes": 64 << 10}
 
 
 def query(sql: str):
@@ -95,7 +98,7 @@ def sql(body: str, *steps: str) -> str:
 
 def _people(spark: SparkSession, d: str) -> DataFrame:
     """Written once, as a run's person cache is, since most queries read them more than once."""
-    return checkpointed(persons.persons(triples(spark, d)))
+    return written(persons.persons(triples(spark, d)))
 
 
 def _pool(spark: SparkSession, d: str) -> DataFrame:
@@ -257,7 +260,7 @@ def unit_vectors(spark, d):
 
 @query(sql("SELECT i, j, round(sim, 6) AS sim FROM pairs WHERE i < j AND sim >= 0.3", "pairs"))
 def pair_similarity(spark, d):
-    return knn.similar_pairs(vectors(spark, d), 0.3).where("i < j").select("i", "j", F.round("sim", 6).alias("sim"))
+    return knn.similar_pairs(vectors(spark, d), 0.3).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
 @query(sql("SELECT i, j, rank, round(sim, 6) AS sim FROM topk", "topk"))
@@ -270,6 +273,16 @@ def knn_edges_threshold(spark, d):
     return _edges(spark, d).select("i", "j", F.round("sim", 6).alias("sim"))
 
 
+@query(sql("SELECT i, j, rank, round(sim, 6) AS sim FROM topk", "topk"))
+def knn_topk_cells(spark, d):
+    return knn.neighbours(vectors(spark, d), K, -2.0, **CELLS).select("i", "j", F.col("rank").cast("long").alias("rank"), F.round("sim", 6).alias("sim"))
+
+
+@query(sql(f"SELECT i, j, rank, round(sim, 6) AS sim FROM topk WHERE sim >= {T}", "topk"))
+def knn_edges_cells(spark, d):
+    return knn.neighbours(vectors(spark, d), K, T, **CELLS).select("i", "j", F.col("rank").cast("long").alias("rank"), F.round("sim", 6).alias("sim"))
+
+
 @query(sql("SELECT i, j FROM topk WHERE sim >= 0.99", "topk"))
 def knn_edges_default(spark, d):
     return knn.edges(vectors(spark, d)).select("i", "j")
@@ -295,6 +308,12 @@ def connected_components_query(spark, d):
     return _components(spark, d)
 
 
+@query(sql("SELECT node, component FROM comps", "comps"))
+def connected_components_stars(spark, d):
+    """By rounds of stars, as graphs above components.SMALL are searched."""
+    return connected_components(_edges(spark, d), small=0)
+
+
 @query(sql("SELECT cluster_id, size, members FROM groups_v", "groups_v"))
 def clusters_query(spark, d):
     return clusters.clusters(_edges(spark, d)).select("cluster_id", F.size("members").cast("long").alias("size"), joined(F.col("members").cast("array<string>")).alias("members"))
@@ -347,7 +366,7 @@ def _all_verdicts(spark: SparkSession, d: str) -> DataFrame:
     rows = _components(spark, d).join(vectors(spark, d).select(F.col("id").alias("node"), "label"), "node")
     people = F.array_sort(F.collect_list(F.struct(F.col("node").alias("iri"), F.col("label").alias("name"))))
     payloads = rows.groupBy(F.col("component").alias("cluster_id")).agg(people.alias("people")).select("cluster_id", F.transform("people", lambda p: p["iri"].cast("string")).alias("iris"), F.to_json("people").alias("payload"))
-    said = checkpointed(verdicts.judge(payloads, OneLabel(), 25))
+    said = written(verdicts.judge(payloads, OneLabel(), 25))
     return said.withColumn("cluster_id", F.col("cluster_id").cast("long"))
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from twinfold.functions.text import utc_iso
 from twinfold.operators import clusters, groups, persons, rules, verdicts
-from twinfold.operators.components import checkpointed
+from twinfold.sources.shared import written
 from twinfold.operators.embedding import EmbeddingProvider
 from twinfold.plans.config import Config
 from twinfold.sources import caches
@@ -49,31 +49,31 @@ def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], e
     the source.
     """
     people = caches.persons_from(spark, config.persons_cache_path, lambda: persons.persons(triples()), config.use_persons_cache)
-    matches = checkpointed(rules.resolve(people))
+    matches = written(rules.resolve(people))
     by_rule = groups.rule_groups(matches)
     groups.append_json(groups.audit_rows(by_rule), config.audit_log_path)
 
-    pool = checkpointed(rules.remaining(people, matches))
-    found = checkpointed(clusters.cluster_persons(pool, embeddings, config.embedding_model, list(config.embed_fields), config.embedding_cache_path, config.cluster_k, config.cluster_threshold, config.cluster_name_similarity_penalty, config.embed_batch_size, config.embed_concurrency))
+    pool = written(rules.remaining(people, matches))
+    found = written(clusters.cluster_persons(pool, embeddings, config.embedding_model, list(config.embed_fields), config.embedding_cache_path, config.cluster_k, config.cluster_threshold, config.cluster_name_similarity_penalty, config.embed_batch_size, config.embed_concurrency))
     sizes = found.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
     say(f"clusters: {clusters.statistics(sizes, pool.count()).first().asDict()}")
 
     done = spark.sparkContext.accumulator(0, Progress(sizes.count(), say))
-    said = checkpointed(verdicts.judge(clusters.payload(found.join(pool, "iri")), adjudicator, config.agent_max_cluster_size, config.embed_concurrency, done))
+    said = written(verdicts.judge(clusters.payload(found.join(pool, "iri")), adjudicator, config.agent_max_cluster_size, config.embed_concurrency, done))
     log = said.where("status = 'judged'").select(utc_iso(F.current_timestamp()).alias("timestamp"), "prompt", F.struct("entities", "is_duplicate", "certainty", "reason").alias("response"))
     groups.append_json(log, config.llm_log_path)
     say(f"verdicts: {verdicts.counters(said).first().asDict()}")
-    by_verdict = checkpointed(verdicts.accepted(said, people))
+    by_verdict = written(verdicts.accepted(said, people))
     groups.append_json(groups.audit_rows(by_verdict), config.audit_log_path)
 
-    every = checkpointed(groups.identified(groups.all_groups(by_rule, by_verdict), config.dedup_graph))
+    every = written(groups.identified(groups.all_groups(by_rule, by_verdict), config.dedup_graph))
     result = groups.summary(every, config.dedup_graph).first().asDict()
     say(f"{result['groups_found']} duplicate groups, sorted by method then confidence (highest first):")
     for row in groups.ranked(every).select(groups.report_line().alias("line")).toLocalIterator():
         say(row["line"])
 
     moment = spark.sql("SELECT current_timestamp() AS t").select(utc_iso(F.col("t")).alias("t")).first()["t"]
-    statements = checkpointed(groups.insert_statements(groups.ntriples(groups.assertion_triples(every, F.lit(moment))), config.dedup_graph))
+    statements = written(groups.insert_statements(groups.ntriples(groups.assertion_triples(every, F.lit(moment))), config.dedup_graph))
     if not statements.isEmpty():
         groups.append_json(statements.select(utc_iso(F.current_timestamp()).alias("timestamp"), F.lit("update").alias("operation"), F.trim("statement").alias("statement")), config.sparql_log_path)
     if not groups.send(statements, update):
