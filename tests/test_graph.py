@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from twinfold.operators import clusters, components, knn
 from twinfold.operators.components import connected_components
+from twinfold.operators.numbering import placed
 
 
 def frame(spark, vectors):
@@ -108,8 +109,8 @@ def test_pairs_of_many_blocks(spark):
 
 def test_numbers_are_of_one_person_each(spark):
     people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
-    got = clusters.numbered(people).collect()
-    assert len({r["id"] for r in got}) == 200 and [r["iri"] for r in sorted(got, key=lambda r: r["id"])] == sorted(r["iri"] for r in got)
+    got = placed(people, "iri").collect()
+    assert sorted(r["place"] for r in got) == list(range(200)) and [r["iri"] for r in sorted(got, key=lambda r: r["place"])] == sorted(r["iri"] for r in got)
 
 
 def test_few_equal_zero_and_no_vectors(spark):

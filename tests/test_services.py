@@ -2,11 +2,15 @@
 
 import io
 import json
+import os
+import subprocess
+import sys
 import threading
 import time
 import urllib.error
 import urllib.parse
 import urllib.request
+from collections import Counter
 from dataclasses import replace
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
@@ -15,7 +19,7 @@ from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from twinfold.functions import text, vocabulary as V
-from twinfold.operators import embedding, groups, verdicts
+from twinfold.operators import calls, embedding, groups, verdicts
 from twinfold.plans import config as C
 from twinfold.plans.fixtures import triples
 from twinfold.plans.jobs import JobManager, Overrides, serve
@@ -91,7 +95,77 @@ def test_equal_texts_are_embedded_once_and_then_cached(spark, tmp_path):
         out = embedding.embed(people, Counting(), "m", ["name", "location"], path).collect()
     assert len(out) == 4 and sorted(open(seen).read().split("\n")[:-1]) == ["''", "'A x'", "'B'"]
     with pytest.raises(Exception, match="asked for"):
-        embedding.fetch(people.select(F.col("iri").alias("key"), F.col("name").alias("text")), Short(), concurrency=1).collect()
+        embedding.embed(people, Short(), "m", ["name"], str(tmp_path / "other"))
+
+
+class Recorder(Letters):
+    """Notes each request; fails, or kills its process, at the first request that holds a certain text."""
+
+    def __init__(self, folder, bad=None, kill=False):
+        self.folder, self.bad, self.kill = str(folder), bad, kill
+
+    def embed(self, texts):
+        with open(f"{self.folder}/calls", "a") as f:
+            f.write(json.dumps(texts) + "\n")
+        if self.bad in texts and not os.path.exists(f"{self.folder}/failed"):
+            open(f"{self.folder}/failed", "w").close()
+            if self.kill:
+                os._exit(1)
+            raise OSError("down")
+        return super().embed(texts)
+
+
+def requested(folder):
+    return [json.loads(x) for x in open(f"{folder}/calls")]
+
+
+def test_what_was_answered_before_a_failure_is_not_asked_again(spark, tmp_path):
+    people = spark.createDataFrame([(str(i), f"name{i:03}") for i in range(200)], "iri string, name string")
+    ask, said, path = Recorder(tmp_path, "name150"), [], str(tmp_path / "cache")
+    with pytest.raises(Exception, match="down"):
+        embedding.embed(people, ask, "m", ["name"], path, batch_size=4, concurrency=2)
+    held = caches.read_embeddings(spark, path).count()
+    out = embedding.embed(people, ask, "m", ["name"], path, batch_size=4, concurrency=2, say=said.append)
+    assert out.count() == 200 and all(len(r["vector"]) == 36 for r in out.collect())
+    sent = Counter(t for texts in requested(tmp_path) for t in texts)
+    assert len(sent) == 200 and max(map(len, requested(tmp_path))) == 4
+    assert sum(sent.values()) - 200 <= 2 * calls.PER_TASK * 4  # two tasks' requests
+    assert said[-1].startswith("embedded batches ") and said[-1].endswith("(100 %)") and len(said) <= 10 and held % 4 == 0
+
+
+KILLED = """
+import sys
+from pyspark.sql import SparkSession
+from test_services import Recorder
+from twinfold.operators import embedding
+folder = sys.argv[1]
+spark = SparkSession.builder.master("local[3, 4]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "3").getOrCreate()
+people = spark.createDataFrame([(str(i), f"name{i:03}") for i in range(100)], "iri string, name string")
+assert embedding.embed(people, Recorder(folder, "name050", True), "m", ["name"], folder + "/cache", batch_size=4, concurrency=2).count() == 100
+"""
+
+
+def test_a_killed_task_costs_its_own_requests(tmp_path):
+    """The worker dies in a request; Spark runs its task again, and no other one."""
+    subprocess.run([sys.executable, "-c", KILLED, str(tmp_path)], check=True, env=os.environ, timeout=300, capture_output=True)
+    sent = Counter(t for texts in requested(tmp_path) for t in texts)
+    assert len(sent) == 100 and os.path.exists(tmp_path / "failed")
+    assert 4 <= sum(sent.values()) - 100 <= calls.PER_TASK * 4
+
+
+def test_no_more_calls_at_a_time_than_allowed(spark, tmp_path):
+    class Slow(Letters):
+        def embed(self, texts):
+            began = time.time()
+            time.sleep(0.2)
+            with open(f"{tmp_path}/times", "a") as f:
+                f.write(f"{began} {time.time()}\n")
+            return super().embed(texts)
+
+    people = spark.createDataFrame([(str(i), f"n{i}") for i in range(24)], "iri string, name string")
+    embedding.embed(people, Slow(), "m", ["name"], str(tmp_path / "cache"), batch_size=2, concurrency=2)
+    times = [tuple(map(float, x.split())) for x in open(tmp_path / "times")]
+    assert len(times) == 12 and max(sum(a <= t < b for a, b in times) for t, _ in times) == 2
 
 
 def test_person_cache(spark, tmp_path):
@@ -112,7 +186,10 @@ def test_payload_leaves_empty_fields_out(spark):
     for c in clusters.FIELDS:
         if c not in people.columns:
             people = people.withColumn(c, F.array().cast("array<string>") if c in V.LISTS else F.lit(None).cast("string"))
-    out = json.loads(clusters.payload(people.withColumn("cluster_id", F.lit(1))).first()["payload"])
+    people = people.withColumn("cluster_id", F.lit(1))
+    (row,) = clusters.gathered(people, clusters.described(people)).collect()
+    assert (row["size"], row["names"], row["iris"]) == (2, ["A", "B"], ["1", "2"])
+    out = json.loads(row["payload"])
     assert out == [{"iri": "1", "name": "A"}, {"iri": "2", "name": "B", "owns": ["r"], "location": "l", "properties": {"p": ["v"]}}]
 
 
@@ -139,20 +216,39 @@ def test_chat_adjudicator_retries(monkeypatch):
         verdicts.ChatAdjudicator("http://u", "k", "m").judge("[]")
 
 
-def test_progress_is_said_in_tenths(spark):
-    from twinfold.plans.run import Progress, percent
-
+def test_progress_is_said_in_tenths():
     said = []
-    done = spark.sparkContext.accumulator(0, Progress(20, said.append))
-    for _ in range(20):
-        done.add(1)
-    assert said == [f"judged {2 * i}/20 clusters ({10 * i} %)" for i in range(1, 11)] and percent(0, 0) == 100 and percent(1, 3) == 33
+    progress = calls.Tenths("judged clusters", 20, said.append)
+    for i in range(21):
+        progress.reached(i)
+    assert said == [f"judged clusters {2 * i}/20 ({10 * i} %)" for i in range(1, 11)] and calls.percent(0, 0) == 100 and calls.percent(1, 3) == 33
+    progress = calls.Tenths("x", 3, said.append)
+    progress.reached(3)
+    assert said[-1] == "x 3/3 (100 %)"
+
+
+def test_a_cluster_of_a_million_is_counted_and_not_gathered(spark):
+    from twinfold.operators import clusters
+
+    ids = spark.range(1_000_030).select(F.col("id").alias("iri"))
+    found = ids.select(F.when(F.col("iri") < 1_000_000, 0).otherwise(F.col("iri") % 2 + 1).alias("cluster_id"), "iri")
+    people = ids.select("iri", F.concat(F.lit("n"), "iri").alias("name"), F.to_json(F.struct(F.col("iri").cast("string").alias("iri"))).alias("json"))
+    out = clusters.gathered(found, people, 25)
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r["cluster_id"]: r for r in out.collect()}
+    assert tuple(got[0])[1:] == (1_000_000, ["n0", "n1", "n2"], None, None)
+    assert [got[c]["size"] for c in (1, 2)] == [15, 15] and got[1]["iris"] == [str(i) for i in range(1_000_000, 1_000_030, 2)]
+    assert json.loads(got[2]["payload"]) == [{"iri": str(i)} for i in range(1_000_001, 1_000_030, 2)]
+    said = verdicts.judge(out, Moody())
+    lines = sorted(r["line"] for r in verdicts.notices(said).collect())
+    assert lines[-1] == "skipped a cluster of 1000000 persons, more than may be judged (n0, n1, n2)" and said.count() == 3
 
 
 def test_verdicts_are_isolated_and_checked(spark):
     clusters = [("1", ["a", "b"]), ("2", ["bad", "c"]), ("3", ["no", "d"]), ("4", [str(i) for i in range(26)]), ("5", ["e", "gone"])]
-    rows = [(c, iris, json.dumps([{"iri": i} for i in iris])) for c, iris in clusters]
-    said = verdicts.judge(spark.createDataFrame(rows, "cluster_id string, iris array<string>, payload string"), Moody()).cache()
+    rows = [(c, len(iris), iris[:3], json.dumps([{"iri": i} for i in iris]) if len(iris) < 26 else None) for c, iris in clusters]
+    said = verdicts.judge(spark.createDataFrame(rows, "cluster_id string, size long, names array<string>, payload string"), Moody()).cache()
+    assert sorted(r["line"] for r in verdicts.notices(said).collect()) == ["no verdict on a cluster of 2 persons (bad, c): OSError: down", "skipped a cluster of 26 persons, more than may be judged (0, 1, 2)"]
     assert verdicts.counters(said).first().asDict() == {"judged": 3, "skipped_oversized": 1, "failed": 1}
     assert said.where("status = 'failed'").first()["error"] == "OSError: down"
     known = spark.createDataFrame([(x,) for x in "abcde"], "iri string")
@@ -252,7 +348,7 @@ def test_run_end_to_end(spark, tmp_path):
     assert spark.read.json(cfg.audit_log_path).count() == result["groups_found"]
     assert spark.read.json(cfg.llm_log_path).count() >= result["llm_groups"]
     assert sorted(r["statement"] for r in spark.read.json(cfg.sparql_log_path).collect()) == sorted(x.strip() for x in updates)
-    assert any(x.startswith("judged ") and x.endswith("clusters (100 %)") for x in said)
+    assert any(x.startswith("judged clusters ") and x.endswith("(100 %)") for x in said) and any(x.startswith("embedded batches ") for x in said)
     fetched = []
     run(spark, cfg, lambda: fetched.append(1), Letters(), verdicts.SharedSignals(), update, said.append)
     assert not fetched  # the person cache served the second run

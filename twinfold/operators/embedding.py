@@ -1,7 +1,7 @@
 """Embedding persons through a content-addressed cache: equal texts of one model are embedded once, ever.
 
 The service sits behind a provider: an object with embed(texts) -> vectors. New vectors are appended to the cache table
-by the tasks that fetched them, and downstream plans read the table, so a retried plan never pays twice.
+in small committed waves (operators/calls.py), and downstream plans read the table, so a retried plan never pays twice.
 """
 
 from __future__ import annotations
@@ -12,12 +12,16 @@ from dataclasses import dataclass
 from typing import Protocol
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.functions.text import cache_key, embed_text
-from twinfold.sources.caches import append_embeddings, read_embeddings
+from twinfold.operators.calls import Tenths, answer
+from twinfold.operators.numbering import placed
+from twinfold.sources.caches import EMBEDDING, read_embeddings
 from twinfold.sources.http import post_json
+from twinfold.sources.shared import written
 
 
 class EmbeddingProvider(Protocol):
@@ -38,29 +42,37 @@ def misses(keys: DataFrame, cache: DataFrame) -> DataFrame:
     return keys.select("key", "text").join(cache.select("key"), "key", "left_anti").dropDuplicates(["key"])
 
 
-def fetch(missing: DataFrame, provider: EmbeddingProvider, batch_size: int = 64, concurrency: int = 6) -> DataFrame:
-    """key, vector of each text: at most `concurrency` requests at a time, `batch_size` texts each."""
+def requests(missing: DataFrame, batch_size: int = 64) -> tuple[DataFrame, int]:
+    """number, items (key, text) of requests of batch_size texts each, the last one of fewer; and how many. Written in
+    the order of number."""
+    rows = placed(missing.select("key", "text"), "key").withColumn("number", F.expr(f"place div {batch_size}"))
+    held = rows.groupBy("number").agg(F.array_sort(F.collect_list(F.struct("key", "text"))).alias("items"))
+    held = written(held.repartitionByRange("number").sortWithinPartitions("number"))
+    return held, held.count()
+
+
+def fetched(provider: EmbeddingProvider) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over requests: key, vector of each text."""
 
     def run(frames: Iterator[pd.DataFrame]):
         for f in frames:
-            for s in range(0, len(f), batch_size):
-                part = f.iloc[s : s + batch_size]
-                vectors = provider.embed(part["text"].tolist())
-                if len(vectors) != len(part):
-                    raise ValueError(f"asked for {len(part)} vectors, got {len(vectors)}")
-                yield pd.DataFrame({"key": part["key"], "vector": vectors})
+            for items in f["items"]:
+                vectors = provider.embed([x["text"] for x in items])
+                if len(vectors) != len(items):
+                    raise ValueError(f"asked for {len(items)} vectors, got {len(vectors)}")
+                yield pd.DataFrame({"key": [x["key"] for x in items], "vector": vectors})
 
-    return missing.select("key", "text").repartition(concurrency).mapInPandas(run, "key string, vector array<float>")
+    return run
 
 
-def embed(persons: DataFrame, provider: EmbeddingProvider, model: str, fields: list[str], cache_path: str, batch_size: int = 64, concurrency: int = 6) -> DataFrame:
-    """persons with key and vector; what the cache lacks is fetched and appended first."""
+def embed(persons: DataFrame, provider: EmbeddingProvider, model: str, fields: list[str], cache_path: str, batch_size: int = 64, concurrency: int = 6, say: Callable[[str], None] | None = None, profile: ResourceProfile | None = None) -> DataFrame:
+    """persons with key and vector; what the cache lacks is fetched and appended first, at most `concurrency` requests at
+    a time. Each tenth of the requests is said."""
     keys = keyed(persons, model, fields)
-    missing = misses(keys, read_embeddings(persons.sparkSession, cache_path))
-    if not missing.isEmpty():
-        append_embeddings(fetch(missing, provider, batch_size, concurrency), cache_path)
-    cache = read_embeddings(persons.sparkSession, cache_path).dropDuplicates(["key"])  # a task that ran twice appended twice
-    return keys.drop("text").join(cache, "key")
+    asked, n = requests(misses(keys, read_embeddings(persons.sparkSession, cache_path)), batch_size)
+    answer(asked, n, fetched(provider), EMBEDDING, cache_path, concurrency, progress=Tenths("embedded batches", n, say), profile=profile)
+    cache = read_embeddings(persons.sparkSession, cache_path)
+    return keys.drop("text").join(cache, "key").dropDuplicates(["key", "iri"])  # a task that ran twice may have appended twice
 
 
 @dataclass

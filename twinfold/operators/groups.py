@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.functions import vocabulary as V
 from twinfold.functions.text import decimal_text, iri_text, literal_text, utc_iso
-from twinfold.sources.shared import written
+from twinfold.operators.numbering import placed
 
 COLUMNS = ["entities", "confidence", "reason", "method"]
 
@@ -36,14 +36,9 @@ def ranked(groups: DataFrame) -> DataFrame:
 
 
 def numbered(groups: DataFrame) -> DataFrame:
-    """groups with place, their number in the order of ranked(). Rows are sorted by ranges and counted by range, so no
-    task holds more than a range; an offset for each partition is all that is broadcast."""
+    """groups with place, their number from 1 in the order of ranked()."""
     keys = [method_rank(F.col("method")), F.desc("confidence"), F.array_join("entities", " ")]
-    ordered = written(groups.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("at", F.monotonically_increasing_id()))
-    part = F.shiftright("at", 33).alias("part")
-    offsets = ordered.groupBy(part).agg(F.count(F.lit(1)).alias("n")).withColumn("before", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
-    out = ordered.withColumn("part", part).join(F.broadcast(offsets.select("part", "before")), "part")
-    return out.select(*groups.columns, (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).alias("place"))
+    return placed(groups, *keys).withColumn("place", F.col("place") + 1)
 
 
 def summary(groups: DataFrame, graph: str = V.DEFAULT_GRAPH) -> DataFrame:

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator
 from dataclasses import asdict, dataclass
 from typing import Protocol
 
 import pandas as pd
-from pyspark import Accumulator
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from twinfold.operators.calls import Tenths, answer
+from twinfold.operators.numbering import placed
+from twinfold.sources.caches import exists
 from twinfold.sources.http import post_json
+from twinfold.sources.shared import shared_folder, written
 
 POLICY = """Decide whether these person records of an open-source knowledge graph are one real person with several identities.
 For: one username is a variant of the other; a repository both contributed to; the same name, hashed e-mail, social handle, blog or ORCID; a later account with hardly any activity.
@@ -65,29 +70,52 @@ class ChatAdjudicator:
         return Verdict(list(said["entities"]), bool(said["is_duplicate"]), float(said["certainty"]), str(said["reason"]))
 
 
-VERDICT = "cluster_id string, status string, entities array<string>, is_duplicate boolean, certainty double, reason string, prompt string, error string"
+VERDICT = "cluster_id string, status string, entities array<string>, is_duplicate boolean, certainty double, reason string, prompt string, error string, size long, names array<string>"
+_EMPTY = {"entities": None, "is_duplicate": None, "certainty": None, "reason": None, "error": None}
 
 
-def judge(payloads: DataFrame, adjudicator: Adjudicator, cap: int = 25, parallel: int = 6, done: Accumulator | None = None) -> DataFrame:
-    """A row for each cluster: judged, failed (with the error; the others go on) or skipped_oversized. At most `parallel`
-    clusters are judged at a time; `done` counts them. Calls a service: write the result before using it twice."""
+def asking(adjudicator: Adjudicator) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """For mapInPandas over clusters to judge: a row of VERDICT each."""
+    columns = [c.split()[0] for c in VERDICT.split(", ")]
 
     def run(frames: Iterator[pd.DataFrame]):
         for f in frames:
-            rows = []
-            for c, iris, payload in zip(f["cluster_id"], f["iris"], f["payload"], strict=True):
-                row = {"cluster_id": c, "status": "skipped_oversized", "entities": None, "is_duplicate": None, "certainty": None, "reason": None, "prompt": payload, "error": None}
-                if len(iris) <= cap:
-                    try:
-                        row |= {"status": "judged"} | asdict(adjudicator.judge(payload))
-                    except Exception as e:  # noqa: BLE001  one cluster's failure is its own
-                        row |= {"status": "failed", "error": f"{type(e).__name__}: {e}"}
-                rows.append(row)
-                if done is not None:
-                    done.add(1)
-            yield pd.DataFrame(rows, columns=["cluster_id", "status", "entities", "is_duplicate", "certainty", "reason", "prompt", "error"])
-
-    return payloads.select(F.col("cluster_id").cast("string").alias("cluster_id"), "iris", "payload").repartition(parallel).mapInPandas(run, VERDICT)
+            for c, payload, size, names in zip(f["cluster_id"], f["payload"], f["size"], f["names"], strict=True):
+                row = {"cluster_id": c, "prompt": payload, "size": size, "names": names} | _EMPTY
+                try:
+                    row |= {"status": "judged"} | asdict(adjudicator.judge(payload))
+                except Exception as e:  # noqa: BLE001  one cluster's failure is its own
+                    row |= {"status": "failed", "error": f"{type(e).__name__}: {e}"}
+                yield pd.DataFrame([row], columns=columns)
+
+    return run
+
+
+def judge(clusters: DataFrame, adjudicator: Adjudicator, path: str | None = None, parallel: int = 6, say: Callable[[str], None] | None = None, profile: ResourceProfile | None = None) -> DataFrame:
+    """A row for each cluster: judged, failed (with the error; the others go on) or skipped_oversized (no payload).
+    clusters: cluster_id, size, names, payload. At most `parallel` are judged at a time; verdicts are appended to the
+    table at path (a new one if None) in small committed waves, and clusters that it holds are not asked about again."""
+    spark = clusters.sparkSession
+    path = path or f"{shared_folder(spark)}/twinfold-verdicts-{uuid.uuid4().hex}"
+    clusters = written(clusters.select(F.col("cluster_id").cast("string").alias("cluster_id"), F.col("size").cast("long").alias("size"), "names", "payload"))
+    asked = clusters.where("payload is not null")
+    if exists(spark, path):
+        asked = asked.join(spark.read.schema(VERDICT).parquet(path).select("cluster_id", F.col("prompt").alias("payload")), ["cluster_id", "payload"], "left_anti")
+    asked = written(placed(asked, "cluster_id").withColumnRenamed("place", "number"))
+    n = asked.count()
+    answer(asked, n, asking(adjudicator), VERDICT, path, parallel, progress=Tenths("judged clusters", n, say), profile=profile)
+    said = spark.read.schema(VERDICT).parquet(path) if exists(spark, path) else spark.createDataFrame([], VERDICT)
+    said = said.join(clusters.select("cluster_id", F.col("payload").alias("prompt")), ["cluster_id", "prompt"], "left_semi").dropDuplicates(["cluster_id"])
+    skipped = clusters.where("payload is null").select("cluster_id", F.lit("skipped_oversized").alias("status"), "size", "names")
+    return said.unionByName(skipped, allowMissingColumns=True)
+
+
+def notices(verdicts: DataFrame) -> DataFrame:
+    """line: a note on each cluster that was skipped or failed, by a sample of its persons' names."""
+    sample = F.array_join("names", ", ")
+    skipped = F.format_string("skipped a cluster of %d persons, more than may be judged (%s)", "size", sample)
+    failed = F.format_string("no verdict on a cluster of %d persons (%s): %s", "size", sample, "error")
+    return verdicts.where("status <> 'judged'").select(F.when(F.col("status") == "failed", failed).otherwise(skipped).alias("line"))
 
 
 def counters(verdicts: DataFrame) -> DataFrame:

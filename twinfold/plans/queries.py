@@ -345,7 +345,8 @@ _HAS = "concat_ws('|', 'iri', 'name', " + ", ".join(f"CASE WHEN nullif({c}, '')
 
 @query(sql(f"SELECT iri, {_HAS} AS fields FROM people", "people"))
 def llm_payload_fields(spark, d):
-    found = clusters.payload(persons.persons(triples(spark, d)).withColumn("cluster_id", F.col("iri")))
+    people = _people(spark, d)
+    found = clusters.gathered(people.select("iri", F.col("iri").alias("cluster_id")), clusters.described(people))
     return found.select(F.col("cluster_id").alias("iri"), joined(F.json_object_keys(F.get_json_object("payload", "$[0]"))).alias("fields"))
 
 
@@ -363,10 +364,9 @@ class OneLabel:
 
 
 def _all_verdicts(spark: SparkSession, d: str) -> DataFrame:
-    rows = _components(spark, d).join(vectors(spark, d).select(F.col("id").alias("node"), "label"), "node")
-    people = F.array_sort(F.collect_list(F.struct(F.col("node").alias("iri"), F.col("label").alias("name"))))
-    payloads = rows.groupBy(F.col("component").alias("cluster_id")).agg(people.alias("people")).select("cluster_id", F.transform("people", lambda p: p["iri"].cast("string")).alias("iris"), F.to_json("people").alias("payload"))
-    said = written(verdicts.judge(payloads, OneLabel(), 25))
+    found = _components(spark, d).select(F.col("component").alias("cluster_id"), F.col("node").alias("iri"))
+    people = vectors(spark, d).select(F.col("id").alias("iri"), F.col("label").alias("name"), F.to_json(F.struct(F.col("id").alias("iri"), F.col("label").alias("name"))).alias("json"))
+    said = written(verdicts.judge(clusters.gathered(found, people), OneLabel()))
     return said.withColumn("cluster_id", F.col("cluster_id").cast("long"))
 
 
@@ -403,6 +403,12 @@ def verdict_counters(spark, d):
     return verdicts.counters(_all_verdicts(spark, d))
 
 
+@query(sql("SELECT cluster_id, size, string_agg(label::varchar, ', ' ORDER BY node) AS names FROM (SELECT c.component AS cluster_id, c.node, v.label, count(*) OVER (PARTITION BY c.component) AS size, row_number() OVER (PARTITION BY c.component ORDER BY c.node) AS r FROM comps c JOIN vec v ON v.id = c.node) WHERE size > 25 AND r <= 3 GROUP BY cluster_id, size", "comps", "vec"))
+def skipped_clusters(spark, d):
+    """Of a cluster above the cap its size and three names are known, and nothing else is gathered."""
+    return _all_verdicts(spark, d).where("status = 'skipped_oversized'").select("cluster_id", "size", F.array_join("names", ", ").alias("names"))
+
+
 @query(sql("SELECT cluster_id, 'OSError: no answer' AS error FROM groups_v WHERE size <= 25 AND cluster_id % 11 = 0", "groups_v"))
 def failed_verdicts(spark, d):
     return _all_verdicts(spark, d).where("status = 'failed'").select("cluster_id", "error")

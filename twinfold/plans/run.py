@@ -7,39 +7,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import AccumulatorParam
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from twinfold.functions.text import utc_iso
 from twinfold.operators import clusters, groups, persons, rules, verdicts
-from twinfold.sources.shared import written
 from twinfold.operators.embedding import EmbeddingProvider
 from twinfold.plans.config import Config
 from twinfold.sources import caches
-
-
-def percent(done: int, total: int) -> int:
-    return done * 100 // total if total else 100
-
-
-class Progress(AccumulatorParam):
-    """Counts clusters as tasks end; each tenth of all is said once."""
-
-    def __init__(self, total: int, say: Callable[[str], None]):
-        self.total, self.say, self.next = total, say, 10
-
-    def zero(self, value: int) -> int:
-        return 0
-
-    def addInPlace(self, a: int, b: int) -> int:  # noqa: N802
-        if self.say and (now := percent(a + b, self.total)) >= self.next:
-            self.say(f"judged {a + b}/{self.total} clusters ({now} %)")
-            self.next = now - now % 10 + 10
-        return a + b
-
-    def __getstate__(self) -> dict:
-        return {"total": self.total, "say": None, "next": 10}  # an executor only counts
+from twinfold.sources.shared import written
 
 
 def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], embeddings: EmbeddingProvider, adjudicator: verdicts.Adjudicator, update: Callable[[str], None], say: Callable[[str], None] = print) -> dict:
@@ -54,12 +30,14 @@ def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], e
     groups.append_json(groups.audit_rows(by_rule), config.audit_log_path)
 
     pool = written(rules.remaining(people, matches))
-    found = written(clusters.cluster_persons(pool, embeddings, config.embedding_model, list(config.embed_fields), config.embedding_cache_path, config.cluster_k, config.cluster_threshold, config.cluster_name_similarity_penalty, config.embed_batch_size, config.embed_concurrency))
+    found = written(clusters.cluster_persons(pool, embeddings, config.embedding_model, list(config.embed_fields), config.embedding_cache_path, config.cluster_k, config.cluster_threshold, config.cluster_name_similarity_penalty, config.embed_batch_size, config.embed_concurrency, say))
     sizes = found.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("size"))
     say(f"clusters: {clusters.statistics(sizes, pool.count()).first().asDict()}")
 
-    done = spark.sparkContext.accumulator(0, Progress(sizes.count(), say))
-    said = written(verdicts.judge(clusters.payload(found.join(pool, "iri")), adjudicator, config.agent_max_cluster_size, config.embed_concurrency, done))
+    gathered = clusters.gathered(found, clusters.described(pool), config.agent_max_cluster_size)
+    said = written(verdicts.judge(gathered, adjudicator, parallel=config.embed_concurrency, say=say))
+    for row in verdicts.notices(said).toLocalIterator():
+        say(row["line"])
     log = said.where("status = 'judged'").select(utc_iso(F.current_timestamp()).alias("timestamp"), "prompt", F.struct("entities", "is_duplicate", "certainty", "reason").alias("response"))
     groups.append_json(log, config.llm_log_path)
     say(f"verdicts: {verdicts.counters(said).first().asDict()}")

@@ -39,10 +39,6 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMBEDDING).parquet(path) if exists(spark, path) else spark.createDataFrame([], EMBEDDING)
 
 
-def append_embeddings(new: DataFrame, path: str) -> None:
-    new.write.mode("append").parquet(path)
-
-
 def persons_from(spark: SparkSession, cache_path: str, fetch, use_cache: bool = True) -> DataFrame:
     """The cached persons if the cache is used and has any; else fetch()'s, saved to the cache and read back."""
     if use_cache:
