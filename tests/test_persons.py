@@ -97,3 +97,21 @@ def test_keys_equal_hashlib(spark):
 
     frame = spark.createDataFrame([("é x",)], "t string").select(text.cache_key("m", F.col("t")))
     assert frame.first()[0] == hashlib.sha256("m\0é x".encode()).hexdigest()
+
+
+def test_the_fold_shuffles_once(spark):
+    from conftest import TESTDATA
+
+    from twinfold.plans.queries import QUERIES
+
+    for name in ("persons_valid", "property_bag", "triples_typed_scan"):
+        frame = QUERIES[name](spark, f"{TESTDATA}/sf0.001")
+        frame.collect()
+        plan = frame._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan, name
+
+
+def test_only_subjects_typed_as_persons_are_folded(spark):
+    rows = [("urn:a", 0, V.RDF_TYPE, V.PERSON), ("urn:a", 1, "urn:p", "x"), ("urn:b", 0, V.RDF_TYPE, "urn:Other"), ("urn:b", 1, "urn:p", V.PERSON), ("urn:c", 0, "urn:p", "y"), ("urn:d", 0, None, None)]
+    got = persons.of_persons(spark.createDataFrame(rows, "s string, pos int, p string, o string")).collect()
+    assert sorted(r["p"] for r in got) == sorted([V.RDF_TYPE, "urn:p"]) and {r["s"] for r in got} == {"urn:a"}

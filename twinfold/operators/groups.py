@@ -58,7 +58,8 @@ def identified(groups: DataFrame, graph: str, ident: Column | None = None) -> Da
 
 
 def assertion_triples(groups: DataFrame, moment: Column) -> DataFrame:
-    """s, p, o of identified groups, o as an N-Triples term; one time for all; equal triples once."""
+    """s, p, o of identified groups, o as an N-Triples term; one time for all; equal triples once.
+    An assertion's IRI is its own, so triples can only be equal among its members, which are made distinct where they lie."""
     typed = F.array(
         F.struct(F.lit(V.RDF_TYPE).alias("p"), F.lit(f"<{V.DEDUP}DuplicateAssertion>").alias("o")),
         F.struct(F.lit(V.PROV_TIME).alias("p"), F.concat(literal_text(moment), F.lit(f"^^<{V.XSD}dateTime>")).alias("o")),
@@ -66,8 +67,8 @@ def assertion_triples(groups: DataFrame, moment: Column) -> DataFrame:
         F.struct(F.lit(V.DEDUP + "methodology").alias("p"), literal_text(F.col("method")).alias("o")),
         F.struct(F.lit(V.DEDUP + "reasoning").alias("p"), literal_text(F.col("reason")).alias("o")),
     )
-    members = F.transform("entities", lambda e: F.struct(F.lit(V.DEDUP + "member").alias("p"), iri_text(e).alias("o")))
-    return groups.select(F.col("assertion").alias("s"), F.explode(F.concat(typed, members)).alias("t")).select("s", "t.p", "t.o").distinct()
+    members = F.transform(F.array_distinct("entities"), lambda e: F.struct(F.lit(V.DEDUP + "member").alias("p"), iri_text(e).alias("o")))
+    return groups.select(F.col("assertion").alias("s"), F.explode(F.concat(typed, members)).alias("t")).select("s", "t.p", "t.o")
 
 
 def ntriples(triples: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ pos is the order of arrival; where it ties, the smaller value comes first.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from twinfold.functions import vocabulary as V
@@ -14,10 +14,18 @@ from twinfold.functions.text import bare_orcid, present, shorten
 COLUMNS = ["iri", "name", *V.SCALARS, *V.LISTS, "properties"]
 
 
+def of_persons(triples: DataFrame) -> DataFrame:
+    """All triples of every subject that is typed as a person, dealt out by subject. The type is looked for where a
+    subject's triples lie together anyway, so they are read and shuffled once, and every grouping by subject that
+    follows needs no shuffle of its own. A subject of very many triples spills; only persons are gathered later."""
+    typed = F.max((F.col("p") == V.RDF_TYPE) & (F.col("o") == V.PERSON)).over(Window.partitionBy("s"))
+    dealt = triples.select("s", "pos", "p", "o").repartition("s")
+    return dealt.withColumn("typed", typed).where("typed").drop("typed")
+
+
 def person_triples(triples: DataFrame) -> DataFrame:
-    """All triples of every subject that is typed as a person, predicates shortened."""
-    typed = triples.where((F.col("p") == V.RDF_TYPE) & (F.col("o") == V.PERSON)).select("s").distinct()
-    return triples.join(typed, "s", "left_semi").select("s", "pos", shorten(F.col("p")).alias("p"), "o")
+    """of_persons() with predicates shortened."""
+    return of_persons(triples).withColumn("p", shorten(F.col("p")))
 
 
 def page_of_persons(triples: DataFrame, page: int, size: int = 5000) -> DataFrame:
@@ -27,9 +35,8 @@ def page_of_persons(triples: DataFrame, page: int, size: int = 5000) -> DataFram
 
 
 def property_values(triples: DataFrame) -> DataFrame:
-    """s, p, values: the distinct values of each predicate in order of first arrival. Triples are dealt out by subject
-    once, which serves all groupings that follow; few triples are equal, so nothing is gained by summing before that."""
-    first = triples.repartition("s").groupBy("s", "p", "o").agg(F.min("pos").alias("pos"))
+    """s, p, values: the distinct values of each predicate in order of first arrival."""
+    first = triples.groupBy("s", "p", "o").agg(F.min("pos").alias("pos"))
     ordered = F.array_sort(F.collect_list(F.struct("pos", "o")))
     return first.groupBy("s", "p").agg(F.transform(ordered, lambda x: x["o"]).alias("values"))
 

@@ -122,9 +122,7 @@ def _sizes(spark: SparkSession, d: str) -> DataFrame:
 
 @query(sql("SELECT s, p, o, count(*) AS n FROM typed GROUP BY ALL", "typed"))
 def triples_typed_scan(spark, d):
-    t = triples(spark, d)
-    typed = t.where((F.col("p") == V.RDF_TYPE) & (F.col("o") == V.PERSON)).select("s").distinct()
-    return t.join(typed, "s", "left_semi").groupBy("s", "p", "o").agg(F.count(F.lit(1)).alias("n"))
+    return persons.of_persons(triples(spark, d)).groupBy("s", "p", "o").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query(sql(f"SELECT s, p, o FROM triples WHERE s IN (SELECT DISTINCT s FROM triples WHERE p = '{V.RDF_TYPE}' AND o = '{V.PERSON}' ORDER BY s LIMIT 50 OFFSET 50)", "triples"))
