@@ -3,6 +3,7 @@
 import io
 import json
 import os
+import re
 import subprocess
 import sys
 import threading
@@ -266,7 +267,7 @@ def test_text_of_literals(spark):
 
 def test_insert_is_cut_and_empty_groups_write_nothing(spark):
     none = spark.createDataFrame([], "line string")
-    assert groups.insert_statements(none, "urn:g").count() == 0 and groups.send(groups.insert_statements(none, "urn:g"), print) == 0
+    assert groups.insert_statements(none, "urn:g").count() == 0
     three = spark.createDataFrame([(f"<urn:{i}> <p> <o> .",) for i in range(3)], "line string").coalesce(1)
     made = [r["statement"] for r in groups.insert_statements(three, "urn:g", most=2).collect()]
     assert len(made) == 2 and made[0].startswith("INSERT DATA { GRAPH <urn:g> {\n<urn:0>") and made[1].count("<p>") == 1
@@ -275,24 +276,42 @@ def test_insert_is_cut_and_empty_groups_write_nothing(spark):
     assert any("<x%3E%20%7D%20;%20DROP%20ALL%20#>" in r["line"] for r in lines) and any('"a\\" . } DROP"' in r["line"] for r in lines)
 
 
+class Store:
+    """A SPARQL endpoint over persons in memory that remembers what it is asked. grow(n) is called before each answer."""
+
+    def __init__(self):
+        self.people, self.seen, self.grow, self.refuse = [f"urn:p{i:02}" for i in range(11)], [], lambda n: None, lambda q: False
+
+    def rows(self, s):
+        return [(V.RDF_TYPE, V.PERSON), ("http://schema.org/name", s[4:]), ("urn:x", 'a "b"')]
+
+    def answer(self, q):
+        people = sorted(self.people)
+        for sign, value in re.findall(r'STR\(\?s\) (>|<=|=) ("(?:[^"\\]|\\.)*")', q):
+            value = json.loads(value)
+            people = [x for x in people if (x > value if sign == ">" else x <= value if sign == "<=" else x == value)]
+        only = {json.loads(x) for x in re.findall(r'STR\(\?p\) = ("[^"]*")', q)}
+        if "COUNT" in q:
+            return [{"n": {"value": str(len(people))}}]
+        size, at = int(re.search(r"LIMIT (\d+)", q)[1]), int((re.search(r"OFFSET (\d+)", q) or [0, 0])[1])
+        people = people[at : at + size]
+        if "?o" not in q:
+            return [{"s": {"value": x}} for x in people]
+        return [{"s": {"value": x}, "p": {"value": p}, "o": {"value": o, "xml:lang": "en"}} for x in people for p, o in self.rows(x) if not only or p in only]
+
+
 @pytest.fixture
 def store():
-    """A SPARQL endpoint that knows 5 persons and remembers statements."""
-    people = [f"urn:p{i}" for i in range(5)]
-    seen = []
+    held = Store()
 
     class Handler(BaseHTTPRequestHandler):
         def do_POST(self):  # noqa: N802
             form = urllib.parse.parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode())
-            seen.append((self.headers.get("Authorization"), form))
-            q = form.get("query", [""])[0]
-            if "COUNT" in q:
-                found = [{"n": {"value": str(len(people))}}]
-            else:
-                size, at = (int(q.split(w)[1].split()[0]) for w in ("LIMIT", "OFFSET")) if q else (0, 0)
-                found = [{"s": {"value": s}, "p": {"value": p}, "o": {"value": o, "xml:lang": "en"}} for s in people[at : at + size] for p, o in ((V.RDF_TYPE, V.PERSON), ("http://schema.org/name", s[4:]))]
-            body = json.dumps({"results": {"bindings": found}}).encode()
-            self.send_response(200)
+            (kind, (said,)), *_ = form.items()
+            held.grow(len(held.seen))
+            held.seen.append((self.headers.get("Authorization"), kind, said))
+            body = json.dumps({"results": {"bindings": held.answer(said) if kind == "query" else []}}).encode()
+            self.send_response(500 if held.refuse(said) else 200)
             self.end_headers()
             self.wfile.write(body)
 
@@ -301,25 +320,92 @@ def store():
 
     server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    yield f"http://127.0.0.1:{server.server_port}", seen
+    held.url = f"http://127.0.0.1:{server.server_port}"
+    yield held
     server.shutdown()
 
 
-def test_endpoint_as_a_source(spark, store, tmp_path):
-    url, seen = store
+def source(spark, store, **options):
     spark.dataSource.register(SparqlTriples)
+    return spark.read.format("sparql_triples").options(endpoint=store.url, **options).load()
+
+
+def test_endpoint_as_a_source(spark, store, tmp_path):
     log = str(tmp_path / "job" / "sparql.jsonl")
-    got = spark.read.format("sparql_triples").option("endpoint", url).option("page_size", "2").option("user", "u").option("password", "p").option("log", log).load()
-    assert {r["pos"] for r in got.collect()} == {0, 1} and all(a and a.startswith("Basic ") for a, _ in seen)
-    sent = {form["query"][0] for _, form in seen}
+    options = {"page_size": "2", "ranges": "3", "user": "u", "password": "p", "log": log, "run_id": "r1"}
+    for _ in range(2):
+        got = source(spark, store, **options)
+        rows = [tuple(r) for r in got.collect()]
+    assert sorted(rows) == [(x, i, p, o) for x in store.people for i, (p, o) in enumerate(store.rows(x))]
+    assert all(a and a.startswith("Basic ") for a, *_ in store.seen) and got.rdd.getNumPartitions() == 3
+    sent = {q for _, _, q in store.seen}
+    pages = {q for q in sent if "?o" in q}
+    assert len(sent - pages) == 3 and not any("OFFSET" in q for q in pages)  # a count and two bounds
     logged = spark.read.json(log).collect()
-    assert len(sent) == 4 and {r["statement"] for r in logged} == sent and {r["operation"] for r in logged} == {"query"}
-    assert got.rdd.getNumPartitions() == 3 and got.count() == 10
-    Endpoint(url, user="only", log=statement_log(log)).update("  INSERT DATA {} ")
-    assert seen[-1] == (None, {"update": ["  INSERT DATA {} "]})
+    assert sorted(r["statement"] for r in logged) == sorted(sent) and {r["operation"] for r in logged} == {"query"}  # read twice, logged once
+    Endpoint(store.url, user="only", log=statement_log(log)).update("  INSERT DATA {} ")
+    assert store.seen[-1] == (None, "update", "  INSERT DATA {} ")
     assert [r["statement"] for r in spark.read.json(log).where("operation = 'update'").collect()] == ["INSERT DATA {}"]
-    answered = groups.insert_statements(spark.createDataFrame([(f"<urn:{i}> <p> <o> .",) for i in range(5)], "line string").coalesce(1), "urn:g", 2)
-    assert groups.send(answered, Endpoint(url).update) == 3 and "<urn:4>" in seen[-1][1]["update"][0]
+
+
+def test_filters_go_into_the_queries(spark, store):
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    try:
+        got = source(spark, store, page_size="4", push="true").where("p = 'http://schema.org/name' AND o <> 'p03'")
+        assert sorted(r["s"] for r in got.collect()) == [x for x in store.people if x != "urn:p03"]
+        pages = [q for _, _, q in store.seen if "?o" in q]
+        assert pages and all(q.count('STR(?p) = "http://schema.org/name"') == 2 and "FILTER EXISTS" in q for q in pages)
+        store.seen.clear()
+        assert [r["p"] for r in source(spark, store, push="true").where("s = 'urn:p05'").collect()] == [p for p, _ in store.rows("")]
+        assert all('STR(?s) = "urn:p05"' in q for _, _, q in store.seen)
+        odd = 'a"b\\c'
+        assert source(spark, store, push="true").where(F.col("s") == odd).count() == 0 and f"STR(?s) = {json.dumps(odd)}" in store.seen[-1][2]
+    finally:
+        spark.conf.unset("spark.sql.python.filterPushdown.enabled")
+
+
+def test_a_store_that_changes_between_pages_loses_nobody(spark, store):
+    """Before every answer a person appears at the front and another at the back, and one that was read is gone."""
+    first = list(store.people)
+
+    def grow(n):
+        if n > 3:
+            store.people += [f"urn:a{n:02}", f"urn:z{n:02}"]
+            if first[0] in store.people and n > 6:
+                store.people.remove(first[0])
+
+    store.grow = grow
+    rows = [(r["s"], r["p"]) for r in source(spark, store, page_size="2", ranges="2").collect()]
+    assert {s for s, _ in rows} >= set(first) - {first[0]} and len(rows) == len(set(rows))
+
+
+def test_endpoint_as_a_sink(spark, store, tmp_path):
+    log, lines = str(tmp_path / "log"), [f"<urn:{i}> <urn:p> <urn:o> ." for i in range(25)]
+    frame = spark.createDataFrame([(x, 1) for x in lines], "line string, other int")
+    options = {"endpoint": store.url, "graph": "urn:g", "most": "4", "log": log, "run_id": "r"}
+    groups.send(frame, options, 2)
+    sent = [q for _, kind, q in store.seen if kind == "update"]
+    assert len(sent) in (7, 8) and sorted(x for q in sent for x in q.split("\n")[1:-1]) == sorted(lines)
+    assert all(q.startswith("INSERT DATA { GRAPH <urn:g> {\n") and q.count("<urn:p>") <= 4 for q in sent)
+    logged = spark.read.json(log)
+    assert sorted(r["statement"] for r in logged.where("operation = 'update'").collect()) == sorted(sent)
+    assert [r["statement"] for r in logged.where("operation = 'commit'").collect()] == [f"{len(sent)} updates of 25 lines to urn:g"]
+
+    groups.send(frame.limit(0), options | {"run_id": "none"})
+    assert [r["statement"] for r in spark.read.json(log).where("run_id = 'none'").collect()] == ["nothing to write to urn:g"]
+    store.refuse = lambda q: "<urn:7>" in q
+    with pytest.raises(Exception, match="500"):
+        groups.send(frame, options | {"run_id": "bad"}, 2)
+    assert "it can be repeated" in spark.read.json(log).where("run_id = 'bad' AND operation = 'abort'").first()["statement"]
+
+
+def test_a_repeated_run_replaces_its_logs(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    for _ in range(2):
+        groups.log_json(spark.range(3), path, "a", "rules")
+        groups.log_json(spark.range(2), path, "a", "verdicts")
+    groups.log_json(spark.range(5), path, "b", "rules")
+    assert {(r["run_id"], r["step"], r["count"]) for r in spark.read.json(path).groupBy("run_id", "step").count().collect()} == {("a", "rules", 3), ("a", "verdicts", 2), ("b", "rules", 5)}
 
 
 ENV = {"SPARQL_ENDPOINT": "http://s", "LLM_BASE_URL": "http://l", "LLM_API_KEY": "k", "LLM_MODEL": "m"}
@@ -332,26 +418,23 @@ def test_config():
         C.from_environment({"SPARQL_ENDPOINT": "x"})
 
 
-def test_run_end_to_end(spark, tmp_path):
+def test_run_end_to_end(spark, store, tmp_path):
     names = ("audit_log", "sparql_log", "llm_log", "persons_cache", "embedding_cache")
     cfg = replace(C.from_environment(ENV), cluster_threshold=0.999, cluster_name_similarity_penalty=0.0, **{f"{n}_path": str(tmp_path / n) for n in names})
-    said, log = [], str(tmp_path / "updates")
-
-    def update(statement):
-        with open(log, "a") as f:
-            f.write(json.dumps(statement) + "\n")
-
-    result = run(spark, cfg, lambda: triples(spark, f"{TESTDATA}/sf0.001"), Letters(), verdicts.SharedSignals(), update, said.append)
-    updates = [json.loads(x) for x in open(log)]
+    cfg, said = replace(cfg, run_id="once"), []
+    options = {"endpoint": store.url, "graph": cfg.dedup_graph, "log": cfg.sparql_log_path, "run_id": cfg.run_id}
+    result = run(spark, cfg, lambda: triples(spark, f"{TESTDATA}/sf0.001"), Letters(), verdicts.SharedSignals(), lambda lines: groups.send(lines, options), said.append)
+    updates = [q for _, kind, q in store.seen if kind == "update"]
     assert result["rule_based_groups"] == 14 and result["groups_found"] == 14 + result["llm_groups"] and result["llm_groups"] > 0
     assert updates and updates[0].startswith(f"INSERT DATA {{ GRAPH <{V.DEFAULT_GRAPH}>")
     assert spark.read.json(cfg.audit_log_path).count() == result["groups_found"]
     assert spark.read.json(cfg.llm_log_path).count() >= result["llm_groups"]
-    assert sorted(r["statement"] for r in spark.read.json(cfg.sparql_log_path).collect()) == sorted(x.strip() for x in updates)
+    assert sorted(r["statement"] for r in spark.read.json(cfg.sparql_log_path).where("operation = 'update'").collect()) == sorted(x.strip() for x in updates)
     assert any(x.startswith("judged clusters ") and x.endswith("(100 %)") for x in said) and any(x.startswith("embedded batches ") for x in said)
     fetched = []
-    run(spark, cfg, lambda: fetched.append(1), Letters(), verdicts.SharedSignals(), update, said.append)
+    run(spark, cfg, lambda: fetched.append(1), Letters(), verdicts.SharedSignals(), lambda lines: lines.collect(), said.append)
     assert not fetched  # the person cache served the second run
+    assert spark.read.json(cfg.audit_log_path).count() == result["groups_found"]  # which has the first one's id
 
 
 def test_jobs_over_http(tmp_path):

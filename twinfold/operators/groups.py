@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from twinfold.functions import vocabulary as V
 from twinfold.functions.text import decimal_text, iri_text, literal_text, utc_iso
 from twinfold.operators.numbering import placed
+from twinfold.sources.sparql import SparqlUpdates, insert_text
 
 COLUMNS = ["entities", "confidence", "reason", "method"]
 
@@ -84,28 +85,18 @@ def insert_statements(lines: DataFrame, graph: str, most: int = 5000) -> DataFra
         for f in frames:
             held += f["line"].tolist()
             while len(held) >= most:
-                yield made(held[:most])
+                yield pd.DataFrame({"statement": [insert_text(held[:most], graph)]})
                 held = held[most:]
         if held:
-            yield made(held)
-
-    def made(part: list[str]) -> pd.DataFrame:
-        return pd.DataFrame({"statement": ["INSERT DATA { GRAPH <%s> {\n%s\n} }" % (graph, "\n".join(part))]})
+            yield pd.DataFrame({"statement": [insert_text(held, graph)]})
 
     return lines.select("line").sortWithinPartitions("line").mapInPandas(run, "statement string")
 
 
-def send(statements: DataFrame, update: Callable[[str], None], parallel: int = 1) -> int:
-    """Execute each update where it lies, at most `parallel` at a time; returns how many. A task that runs again sends
-    its statements again, which inserts nothing new. update must be fit to be sent to executors."""
-
-    def run(frames: Iterator[pd.DataFrame]):
-        for f in frames:
-            for statement in f["statement"]:
-                update(statement)
-            yield pd.DataFrame({"n": [len(f)]})
-
-    return statements.repartition(parallel).mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+def send(lines: DataFrame, options: dict[str, str], parallel: int = 1) -> None:
+    """Insert N-Triples lines into a graph by the sink of sources/sparql.py, from at most `parallel` tasks at a time."""
+    lines.sparkSession.dataSource.register(SparqlUpdates)
+    lines.select("line").repartition(parallel).write.format("sparql_update").options(**options).mode("append").save()
 
 
 def audit_rows(groups: DataFrame, moment: Column | None = None) -> DataFrame:
@@ -113,5 +104,7 @@ def audit_rows(groups: DataFrame, moment: Column | None = None) -> DataFrame:
     return groups.select((utc_iso(F.current_timestamp()) if moment is None else moment).alias("timestamp"), F.lit("duplicate_group").alias("operation"), "method", "confidence", "reason", "entities")
 
 
-def append_json(rows: DataFrame, path: str) -> None:
-    rows.write.mode("append").json(path)
+def log_json(rows: DataFrame, path: str, run_id: str, step: str) -> None:
+    """JSON lines of a step of a run, in a folder of their own: a run that is repeated under its id replaces them."""
+    named = rows.withColumns({"run_id": F.lit(run_id), "step": F.lit(step)})
+    named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id", "step").json(path)

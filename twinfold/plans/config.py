@@ -24,6 +24,7 @@ class Config:
     llm_log_path: str = "llm.jsonl"
     persons_cache_path: str = "persons_cache.jsonl"
     embedding_cache_path: str = "embedding_cache"
+    run_id: str = ""
     cluster_k: int = 20
     cluster_threshold: float = 0.99
     cluster_name_similarity_penalty: float = 0.02
@@ -36,7 +37,7 @@ class Config:
 
 
 REQUIRED = ("sparql_endpoint", "llm_base_url", "llm_api_key", "llm_model")
-OPTIONAL = ("sparql_user", "sparql_password", "dedup_graph", "audit_log_path", "sparql_log_path", "llm_log_path", "persons_cache_path", "embedding_cache_path")
+OPTIONAL = ("sparql_user", "sparql_password", "dedup_graph", "audit_log_path", "sparql_log_path", "llm_log_path", "persons_cache_path", "embedding_cache_path", "run_id")
 
 
 def from_environment(env: Mapping[str, str] | None = None) -> Config:

@@ -82,7 +82,7 @@ class JobManager:
             job.status, job.started_at = Status.RUNNING, _now()
             folder = f"{self.root.rstrip('/')}/jobs/{job.job_id}"
             paths = {f"{name}_path": f"{folder}/{name.removesuffix('_log')}.jsonl" for name in ("audit_log", "sparql_log", "llm_log", "persons_cache")}
-            job.result = self.run(replace(self.config, **job.overrides.given(), **paths))
+            job.result = self.run(replace(self.config, run_id=job.job_id, **job.overrides.given(), **paths))
             job.status = Status.SUCCEEDED
         except Exception as e:  # noqa: BLE001  the job carries it
             job.status, job.error = Status.FAILED, f"{type(e).__name__}: {e}"

@@ -5,6 +5,7 @@ A step that calls a service is followed by a write, and what comes after reads w
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,16 +19,17 @@ from twinfold.sources import caches
 from twinfold.sources.shared import written
 
 
-def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], embeddings: EmbeddingProvider, adjudicator: verdicts.Adjudicator, update: Callable[[str], None], say: Callable[[str], None] = print) -> dict:
+def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], embeddings: EmbeddingProvider, adjudicator: verdicts.Adjudicator, export: Callable[[DataFrame], None], say: Callable[[str], None] = print) -> dict:
     """Returns groups_found, rule_based_groups, llm_groups, entities_covered, dedup_graph.
 
-    triples() gives the table (s, pos, p, o); update(statement) executes an update, on executors. Nothing is merged in
-    the source.
+    triples() gives the table (s, pos, p, o); export(lines) writes N-Triples to the graph. Nothing is merged in the
+    source. A run that is repeated under its config's run_id replaces its logs.
     """
+    run_id = config.run_id or uuid.uuid4().hex
     people = caches.persons_from(spark, config.persons_cache_path, lambda: persons.persons(triples()), config.use_persons_cache)
     matches = written(rules.resolve(people))
     by_rule = groups.rule_groups(matches)
-    groups.append_json(groups.audit_rows(by_rule), config.audit_log_path)
+    groups.log_json(groups.audit_rows(by_rule), config.audit_log_path, run_id, "rules")
 
     pool = written(rules.remaining(people, matches))
     found = written(clusters.cluster_persons(pool, embeddings, config.embedding_model, list(config.embed_fields), config.embedding_cache_path, config.cluster_k, config.cluster_threshold, config.cluster_name_similarity_penalty, config.embed_batch_size, config.embed_concurrency, say))
@@ -39,10 +41,10 @@ def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], e
     for row in verdicts.notices(said).toLocalIterator():
         say(row["line"])
     log = said.where("status = 'judged'").select(utc_iso(F.current_timestamp()).alias("timestamp"), "prompt", F.struct("entities", "is_duplicate", "certainty", "reason").alias("response"))
-    groups.append_json(log, config.llm_log_path)
+    groups.log_json(log, config.llm_log_path, run_id, "verdicts")
     say(f"verdicts: {verdicts.counters(said).first().asDict()}")
     by_verdict = written(verdicts.accepted(said, people))
-    groups.append_json(groups.audit_rows(by_verdict), config.audit_log_path)
+    groups.log_json(groups.audit_rows(by_verdict), config.audit_log_path, run_id, "verdicts")
 
     every = written(groups.identified(groups.all_groups(by_rule, by_verdict), config.dedup_graph))
     result = groups.summary(every, config.dedup_graph).first().asDict()
@@ -51,9 +53,7 @@ def run(spark: SparkSession, config: Config, triples: Callable[[], DataFrame], e
         say(row["line"])
 
     moment = spark.sql("SELECT current_timestamp() AS t").select(utc_iso(F.col("t")).alias("t")).first()["t"]
-    statements = written(groups.insert_statements(groups.ntriples(groups.assertion_triples(every, F.lit(moment))), config.dedup_graph))
-    if not statements.isEmpty():
-        groups.append_json(statements.select(utc_iso(F.current_timestamp()).alias("timestamp"), F.lit("update").alias("operation"), F.trim("statement").alias("statement")), config.sparql_log_path)
-    if not groups.send(statements, update):
+    export(groups.ntriples(groups.assertion_triples(every, F.lit(moment))))
+    if not result["groups_found"]:
         say(f"nothing to write to {config.dedup_graph}")
     return {k: result[k] for k in ("groups_found", "rule_based_groups", "llm_groups", "entities_covered", "dedup_graph")}
