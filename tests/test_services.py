@@ -99,6 +99,39 @@ def test_equal_texts_are_embedded_once_and_then_cached(spark, tmp_path):
         embedding.embed(people, Short(), "m", ["name"], str(tmp_path / "other"))
 
 
+def test_the_cache_is_never_shuffled(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    people = spark.createDataFrame([(str(i), f"name{i % 150:03}") for i in range(300)], "iri string, name string")
+    embedding.embed(people.where("int(iri) < 100"), Letters(), "m", ["name"], path).count()
+    cache = caches.EmbeddingCache(spark, path, buckets=6)
+    spark.read.parquet(cache.appended).limit(3).write.mode("append").parquet(cache.appended)  # a task that ran twice
+    assert cache.base().count() == 0 and cache.rows().count() == 100
+    cache.compact()
+    cache.compact()
+    assert cache.base().count() == cache.rows().count() == 100 and os.listdir(tmp_path / "cache") == ["base-000001-6"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keys = embedding.keyed(people, "m", ["name"]).select("key", "iri")
+        for frame in (keys.join(cache.base(), "key"), keys.join(cache.base().select("key"), "key", "left_anti")):
+            assert frame.count() in (200, 100)
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert plan.count("Exchange hashpartitioning(key") == 1 and "Bucketed: true" in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    seen = str(tmp_path / "seen")
+
+    class Counting(Letters):
+        def embed(self, texts):
+            with open(seen, "a") as f:
+                f.write("\n".join(texts) + "\n")
+            return super().embed(texts)
+
+    assert embedding.embed(people, Counting(), "m", ["name"], path).count() == 300
+    assert sorted(open(seen).read().split()) == [f"name{i:03}" for i in range(100, 150)]
+    cache.compact()
+    assert cache.base().count() == 150 and os.listdir(tmp_path / "cache") == ["base-000002-6"]
+
+
 class Recorder(Letters):
     """Notes each request; fails, or kills its process, at the first request that holds a certain text."""
 
@@ -125,7 +158,7 @@ def test_what_was_answered_before_a_failure_is_not_asked_again(spark, tmp_path):
     ask, said, path = Recorder(tmp_path, "name150"), [], str(tmp_path / "cache")
     with pytest.raises(Exception, match="down"):
         embedding.embed(people, ask, "m", ["name"], path, batch_size=4, concurrency=2)
-    held = caches.read_embeddings(spark, path).count()
+    held = caches.EmbeddingCache(spark, path).rows().count()
     out = embedding.embed(people, ask, "m", ["name"], path, batch_size=4, concurrency=2, say=said.append)
     assert out.count() == 200 and all(len(r["vector"]) == 36 for r in out.collect())
     sent = Counter(t for texts in requested(tmp_path) for t in texts)

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from twinfold.functions.text import cache_key, embed_text
 from twinfold.operators.calls import Tenths, answer
 from twinfold.operators.numbering import placed
-from twinfold.sources.caches import EMBEDDING, read_embeddings
+from twinfold.sources.caches import EMBEDDING, EmbeddingCache
 from twinfold.sources.http import post_json
 from twinfold.sources.shared import written
 
@@ -68,11 +68,12 @@ def fetched(provider: EmbeddingProvider) -> Callable[[Iterator[pd.DataFrame]], I
 def embed(persons: DataFrame, provider: EmbeddingProvider, model: str, fields: list[str], cache_path: str, batch_size: int = 64, concurrency: int = 6, say: Callable[[str], None] | None = None, profile: ResourceProfile | None = None) -> DataFrame:
     """persons with key and vector; what the cache lacks is fetched and appended first, at most `concurrency` requests at
     a time. Each tenth of the requests is said."""
+    cache = EmbeddingCache(persons.sparkSession, cache_path)
+    cache.compact()
     keys = keyed(persons, model, fields)
-    asked, n = requests(misses(keys, read_embeddings(persons.sparkSession, cache_path)), batch_size)
-    answer(asked, n, fetched(provider), EMBEDDING, cache_path, concurrency, progress=Tenths("embedded batches", n, say), profile=profile)
-    cache = read_embeddings(persons.sparkSession, cache_path)
-    return keys.drop("text").join(cache, "key").dropDuplicates(["key", "iri"])  # a task that ran twice may have appended twice
+    asked, n = requests(cache.missing(keys.select("key", "text")).dropDuplicates(["key"]), batch_size)
+    answer(asked, n, fetched(provider), EMBEDDING, cache.appended, concurrency, progress=Tenths("embedded batches", n, say), profile=profile)
+    return cache.vectors(keys.drop("text"))
 
 
 @dataclass
