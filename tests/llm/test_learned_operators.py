@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as fn
 from conftest import TESTDATA
 from fixtures import TEXTS, awkward, by_id, empty
 
@@ -171,15 +172,14 @@ def grams_of(words):
 
 def test_trigrams_equal_plain_counts():
     words, n = ["idiot", "a", "éß", "stuuupid", "漢字", "ab", "abab"], [3, 5, 2, 7, 1, 4, 2**40]
-    got, kept = toxicity.word_trigrams(words, np.array(n))
+    got = toxicity.word_trigrams(words, np.array(n))
     want = grams_of([])
     for w, k in zip(words, n, strict=True):
         if len(w) > 1 and w != "stuuupid":
             w = "  " + w.replace("漢", "\ufffd").replace("字", "\ufffd") + " "
             for i in range(len(w) - 2):
                 want[w[i : i + 3]] = want.get(w[i : i + 3], 0) + k
-    assert got == want and kept.tolist() == [w not in ("a", "stuuupid") for w in words]
-    assert toxicity.word_trigrams([], np.zeros(0, np.int64))[0] == {}
+    assert got == want and toxicity.word_trigrams([], np.zeros(0, np.int64)) == {}
 
 
 def test_words_of_any_length():
@@ -195,21 +195,25 @@ def test_letters_set_apart_begin_words_anywhere():
     trigrams = grams_of([w for w, n in words.items() for _ in range(n)]) | {"  a": 200, " a ": 150}
     for model in (toxicity.LanguageModel(trigrams, words | {"a": 150}), toxicity.LanguageModel(trigrams)):
         found = toxicity.restorer(model)
-        for seen in ("s t u p ! d", "$ t u p i d", "s  t  u  p  i  d", "s t * p i d", "(s.t.u.p.i.d)", "s t u u u u p i d", "s t u p i d!", "s - t - u - p - i - d"):
+        for seen in ("s t u p ! d", "$ t u p i d", "s  t  u  p  i  d", "s t * p i d", "(s.t.u.p.i.d)", "s t u u u u p i d", "s t u p i d!", "s - t - u - p - i - d", "s/t/u/p/i/d", "s,t,u,p,i,d", "s;t;u;p;i;d", "s~t~u~p~i~d", "s·t·u·p·i·d", "'s' 't' 'u' 'p' 'i' 'd'", "#s#t#u#p#i#d#"):
             assert "stupid" in found(f"the {seen} man"), seen
         assert {"idiot", "stupid"} <= found("1 d i o t   s t u p i d")
     found = toxicity.restorer(toxicity.LanguageModel(trigrams, words | {"a": 150}))
     assert {"a", "stupid"} <= found("this a s t u p i d man")
     assert {"idiot", "stupid"} <= found("i d i o t s t u p i d")
     assert {"moron", "worthless", "stupid", "loser"} <= found("-".join("moronworthlessstupidloser"))
-    assert toxicity.set_apart("1 2 3 4, a b") == [] and toxicity.set_apart("a b c  d") == ["abc d"]
+    told = toxicity.restorer(toxicity.LanguageModel(trigrams).knowing({w: 60 for w in "idiot stupid moron loser worthless".split()}, 1000))
+    assert {"stupid"} <= told("this a s t u p i d man") and {"idiot", "stupid"} <= told("i d i o t s t u p i d")
+    assert {"moron", "worthless", "stupid", "loser"} <= told("/".join("moronworthlessstupidloser"))
+    assert toxicity.set_apart("1 2 3 4, 5") == [] and toxicity.set_apart("a b c  d") == ["abc d"]
 
 
 def test_language_model_counts_whole_words(spark):
     model = toxicity.language_model(awkward(spark, ["ab" * 30 + "xyz"]))
     assert model.three["xyz"] == 1 and model.three["yz "] == 1
-    model = toxicity.language_model(awkward(spark, ["see a man, see a man i d i o t"]))
-    assert model.words == {"see": 2, "a": 2, "man": 2}
+    long = "x" + "ab" * 80
+    model = toxicity.language_model(awkward(spark, [long, "see a man"]))
+    assert model.three["  x"] == 1 and model.three["aba"] == 79 and model.three["man"] == 1
 
 
 def test_disguised_words():
@@ -248,7 +252,7 @@ def test_toxicity_on_held_out_documents(spark):
 
 def test_held_out_documents_of_the_tables(spark):
     """Accuracy, recall and ranking on labels that the model has not seen. About a tenth of the documents labelled toxic
-    are missed: most of them hold no word that tells, some hold one in capitals between marks."""
+    are missed: labels are noisy, and but for one they hold no toxic word, plain or disguised."""
     d = f"{TESTDATA}/sf0.1"
     labels = spark.read.parquet(f"{d}/labels.parquet").where("toxic is not null")
     got = by_id(toxicity.toxicity(spark.read.parquet(f"{d}/documents.parquet"), labels))
@@ -257,6 +261,12 @@ def test_held_out_documents_of_the_tables(spark):
     assert len(bad) > 50 and len(good) > 500
     right, caught, clean = np.mean([r["predicted"] == y for r, y in held]), np.mean([s >= 0.5 for s in bad]), np.mean([s < 0.5 for s in good])
     above = np.mean([a > b for a in bad for b in good])
+    telling = {"idiot", "stupid", "moron", "loser", "trash", "scum", "worthless", "pathetic"}
+    model = toxicity.language_model(spark.read.parquet(f"{d}/documents.parquet")).knowing(dict.fromkeys(telling, 100), 100_000)
+    missed = [r["doc_id"] for r, y in held if y and r["score"] < 0.5]
+    texts = spark.read.parquet(f"{d}/documents.parquet").where(fn.col("doc_id").isin(missed)).select("text").collect()
+    restored = toxicity.restorer(model)
+    assert len(texts) == len(missed) and sum(bool(restored(r["text"]) & telling) for r in texts) <= 1
     assert min(right, clean) > 0.98 and caught > 0.85 and above > 0.9, (right, caught, clean, above)
 
 

@@ -4,14 +4,14 @@
    trigrams, and the sums are added up. Letters beyond U+017F are one letter to it, so that at most 125 letters, and
    2 million trigrams, can come together. Words with a letter three times in a row are left out of the counts.
 2. Disguised words are decoded: digits and symbols that stand for letters, letters repeated three times and more, and
-   single letters set apart by spaces or marks form a lattice of letters, and Viterbi search takes the path of highest
+   single letters set apart by spaces or any marks form a lattice of letters, and Viterbi search takes the path of highest
    probability under the channel and the language model. Between letters set apart there may be an edge of words.
 3. Restored texts are scored by a logistic regression over words and word beginnings. It is fitted to the `sample`
    labelled documents with the smallest hashes of their ids: features are all words whose documents of either label
    differ beyond chance (log-likelihood ratio at least `least`), and never a language, source or id.
 
-The `words` most frequent words of at most REMEMBERED letters help to part letters set apart; others are parted by
-trigrams. Cases: null and empty texts have the score of a text without any known word; without labels of both kinds every
+Letters set apart are parted by trigrams and by the words that are features, with their counts in the sample: these alone
+bear on a score. Cases: null and empty texts have the score of a text without any known word; without labels of both kinds every
 score is the share of toxic ones; a document with labels that contradict each other is not learned from, equal ones count
 once; repeated rows score alike, and are learned from each; a null doc_id has no label and is scored; an empty table
 gives no rows; other columns are ignored.
@@ -43,28 +43,30 @@ REMEMBERED = 100  # letters of a word whose decoding is worth remembering; longe
 OTHER = re.compile("[\u0180-\U0010ffff]")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 STRETCHED = re.compile(r"(.)\1\1+", re.DOTALL)
-#: Single letters, digits and stand-ins set apart by marks, three and more; and a quick test for them. A * between other
-#: marks, or before or after all, may be a stand-in or a mark.
-_ONE = r"(?:[^\W_]|[@$!|+€])"
-_ENDS = r"(?=[!?]*(?:[\s.,;:\-_*)\]\"'»”’/]|$))"
-SPACED = re.compile(rf"(?<![^\s.,;:\-_*(\[\"'«“‘/])(?:\*[ .\-_]++)?{_ONE}{_ENDS}(?:[ .\-_*]++{_ONE}{_ENDS}){{2,}}+(?:[ .\-_]++\*(?![^\s.,;:]))?")
-APART = re.compile(rf"[ .\-_*]{_ONE}[ .\-_*]++{_ONE}(?![^\W_])")
-SEPARATOR = re.compile(r"([ .\-_]+)")
+#: Single letters, digits and stand-ins set apart by any other marks, three and more; and a quick test for them. A *
+#: between other marks, or before or after all, may be a stand-in or a mark.
+_STANDS = r"@$!|+€"
+_ONE = rf"(?:[^\W_]|[{_STANDS}])"
+_GAP = rf"(?:[^\w\s{_STANDS}]|[ _])"
+_MARK = rf"(?:[^\w\s{_STANDS}*]|[ _])"
+_ENDS = rf"(?=[!?]*(?:[^\w{_STANDS}]|_|$))"
+SPACED = re.compile(rf"(?<![^\W_])(?<![{_STANDS}])(?:\*{_MARK}++)?{_ONE}{_ENDS}(?:{_GAP}++{_ONE}{_ENDS}){{2,}}+(?:{_MARK}++\*(?![^\s.,;:]))?")
+APART = re.compile(rf"{_GAP}{_ONE}{_GAP}++{_ONE}(?![^\W_])")
+SEPARATOR = re.compile(rf"({_MARK}+)")
 #: A word of one letter, if more than a letter stands before it.
 SINGLE = re.compile(r" ([^\W\d_])(?= [^\W\d_]{2})")
 WORD = re.compile(r"[^\W\d_]+")
 COST = 3.0  # of a stand-in, in nats
-WHOLE = "="  # before a word among the counts of trigrams
 ALL = ""  # counts documents among the counts of words
 EDGE = 3.0  # of an edge of words between letters set apart, or of none where they stand further apart, in nats
 PREFIX = 4  # letters of a word's beginning that is a feature
 
 
 class LanguageModel:
-    """log_p(a, b, c): of letter c after a and b; from counts of trigrams (a space is the edge of a word). The counts of
-    frequent words help to part words whose letters stand apart; other words are parted by trigrams."""
+    """log_p(a, b, c): of letter c after a and b; from counts of trigrams (a space is the edge of a word). Known words,
+    with their counts among `total` ones, help to part words whose letters stand apart; others are parted by trigrams."""
 
-    def __init__(self, trigrams: dict[str, int], words: dict[str, int] | None = None):
+    def __init__(self, trigrams: dict[str, int], words: dict[str, int] | None = None, total: int = 0):
         two, one, base = Counter(), Counter(), Counter()
         for t, n in trigrams.items():
             two[t[:2]] += n
@@ -76,7 +78,10 @@ class LanguageModel:
             self.mid[t[0]] += n
         self.total, self.kinds = sum(base.values()), len(base) + 1
         self.known: dict[tuple[str, str, str], float] = {}
-        self.words, self.begun = words or {}, None
+        self.words, self.of_words, self.begun = words or {}, total or sum((words or {}).values()), None
+
+    def knowing(self, words: dict[str, int], total: int) -> LanguageModel:
+        return LanguageModel(self.three, words, total)
 
     def log_p(self, a: str, b: str, c: str) -> float:
         a, b, c = key = tuple(OTHER.sub("\ufffd", x) for x in (a, b, c)) if max(a, b, c) > "\u017f" else (a, b, c)
@@ -117,9 +122,9 @@ class LanguageModel:
         return self._likeliest(groups, apart)
 
     def beginnings(self) -> dict[str, float | None]:
-        """Every beginning of a frequent word, with its logarithmic share of all words if it is one itself."""
+        """Every beginning of a known word, with its logarithmic share of all words if it is one itself."""
         if self.begun is None:
-            total, self.begun = math.log(sum(self.words.values()) or 1), {}
+            total, self.begun = math.log(max(1, self.of_words)), {}
             for w, n in self.words.items():
                 for i in range(1, len(w)):
                     self.begun.setdefault(w[:i], None)
@@ -131,7 +136,7 @@ class LanguageModel:
         Paths share their beginnings, so time and memory grow with the number of groups alone."""
         paths: dict[tuple[str, str], tuple[float, tuple | None]] = {(" ", " "): (0.0, None)}  # by the last two letters
         edge, begun = (" ", " "), self.beginnings() if words else {}
-        arrived: dict[int, tuple[float, tuple | None]] = {}  # by groups used: the best path that ends in a frequent word
+        arrived: dict[int, tuple[float, tuple | None]] = {}  # by groups used: the best path that ends in a known word
         for k, choices in enumerate(groups):
             if begun and edge in paths:
                 start, before = paths[edge]
@@ -215,11 +220,11 @@ def disguised(text: str) -> list[str]:
     return mixed(text) + set_apart(text)
 
 
-def word_trigrams(words: list[str], n: np.ndarray) -> tuple[dict[str, int], np.ndarray]:
-    """Counts of the trigrams of words, each of which stands n times, and which words were counted: those of two letters
-    and more and none three times in a row. Two spaces stand before a word and one after it."""
+def word_trigrams(words: list[str], n: np.ndarray) -> dict[str, int]:
+    """Counts of the trigrams of words, each of which stands n times: those of two letters and more and none three times
+    in a row. Two spaces stand before a word and one after it."""
     if not words:
-        return {}, np.zeros(0, bool)
+        return {}
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     code = np.frombuffer("".join(f"  {w} " for w in words).encode("utf-32-le"), np.uint32)
     code = np.where(code > 0x17F, 0xFFFD, code)
@@ -234,7 +239,7 @@ def word_trigrams(words: list[str], n: np.ndarray) -> tuple[dict[str, int], np.n
     sums = np.bincount(ids, np.where(kept, n, 0)[owner], k**3)
     found = np.flatnonzero(sums)
     letters = [chr(x) for x in letters]
-    return {letters[x // k // k] + letters[x // k % k] + letters[x % k]: int(y) for x, y in zip(found.tolist(), sums[found], strict=True)}, kept
+    return {letters[x // k // k] + letters[x // k % k] + letters[x % k]: int(y) for x, y in zip(found.tolist(), sums[found], strict=True)}
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]):
@@ -247,10 +252,7 @@ def _trigrams(batches: Iterator[pa.RecordBatch]):
             w = OTHER.sub("\ufffd", w)
             found[f"  {w}"] += k
             found[f" {w} "] += k
-            found[WHOLE + w] += k
-        grams, kept = word_trigrams(seen, n)
-        found.update(grams)
-        found.update({WHOLE + seen[i]: words[seen[i]] for i in np.flatnonzero(kept) if len(seen[i]) <= REMEMBERED})
+        found.update(word_trigrams(seen, n))
         words.clear()
         alone.clear()
         return batch(schema, list(found), list(found.values()))
@@ -266,15 +268,10 @@ def _trigrams(batches: Iterator[pa.RecordBatch]):
         yield out()
 
 
-def language_model(docs: DataFrame, words: int = 20_000) -> LanguageModel:
-    """From all words of all texts; whole words, of which the most frequent are kept, only part letters set apart."""
+def language_model(docs: DataFrame) -> LanguageModel:
+    """From all words of all texts."""
     rows = documents(docs).select("text").mapInArrow(tidy(_trigrams), "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    rows = written(rows)
-    whole = F.col("gram").startswith(WHOLE)
-    trigrams = {r["gram"]: r["n"] for r in rows.where(~whole).collect()}
-    best = {r["gram"][1:]: r["n"] for r in rows.where(whole).orderBy(F.desc("n"), "gram").limit(words).collect()}
-    drop_written(rows)
-    return LanguageModel(trigrams, best)
+    return LanguageModel({r["gram"]: r["n"] for r in rows.collect()})
 
 
 def tripled(text: str) -> bool:
@@ -403,6 +400,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 20_000, least: float
     ratio = part(b, bad, b + g) + part(g, good, b + g) + part(bad - b, bad, bad + good - b - g) + part(good - g, good, bad + good - b - g)
     best = counts.select("word", ratio.alias("ratio")).where((F.col("ratio") >= least) & (F.col("word") != ALL))
     chosen = sorted(r["word"] for r in best.collect())  # of the sample's words
+    telling = counts.where(~F.col("word").endswith("-") & (F.col("word") != ALL))
+    total = telling.agg(F.coalesce(F.sum(F.col("bad") + F.col("good")), F.lit(0))).first()[0]
+    known = telling.join(F.broadcast(best.select("word")), "word").select("word", (F.col("bad") + F.col("good")).alias("n"))
+    language = language.knowing({r["word"]: r["n"] for r in known.collect()}, total)
     rows = texts.mapInArrow(tidy(_hit_rows(language, chosen)), "toxic int, hits array<int>").collect()
     rows.sort(key=lambda r: (r["toxic"], r["hits"]))
     bias, w = fit(np.array([r["toxic"] for r in rows]), [r["hits"] for r in rows], len(chosen))
