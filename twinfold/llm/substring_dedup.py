@@ -17,7 +17,7 @@ factor starts at the first recurring window behind. If that one begins inside th
 boundary: its words behind the boundary become a factor, with their place in the reference. So factors do not overlap,
 each is part of a match of at least `width` words, and together they hold just the words of recurring windows.
 
-Judged on the input, same document included. Windows are equal if their 64-bit hashes are. Cases: null and empty texts
+Judged on the input, same document included. Windows are equal if their hashes of two lanes are, 128 bits. Cases: null and empty texts
 and texts under `width` words have no factor; repeated rows are factors of each other; a row with a null doc_id goes by
 a hash of its text; an empty table gives an empty result; other columns are ignored.
 """
@@ -36,16 +36,16 @@ from pyspark.sql import functions as F
 from twinfold.llm.common import HashFilter, batch, combine, documents, drop_written, hashed_texts, join_split, span_hashes, tidy, written
 
 
-def blocks(h: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple[np.ndarray, ...]:
-    """The blocks of all documents of a chunk, from their word hashes.
+def blocks(h: np.ndarray, other: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple:
+    """The blocks of all documents of a chunk, from their word hashes of two lanes.
 
-    Returns for each block: anchor hash, hash of its whole context, its first window's place among all words, its
-    number of windows (at most width - gram + 1); and the hashes of all windows.
+    Returns for each block: anchor hash, the hashes of its whole context, its first window's place among all words, its
+    number of windows (at most width - gram + 1); and the hashes of all windows. Of contexts and windows, both lanes'.
     """
     none = np.zeros(0, np.int64)
     if len(h) < width:
-        return none.astype(np.uint64), none.astype(np.uint64), none, none, none.astype(np.uint64)
-    grams, windows = span_hashes(h, gram), span_hashes(h, width)
+        return none.astype(np.uint64), [none.astype(np.uint64)] * 2, none, none, [none.astype(np.uint64)] * 2
+    grams, windows, seconds = span_hashes(h, gram), span_hashes(h, width), span_hashes(other, width)
     reach = width - gram + 1
     best, size = np.arange(len(grams)), 1
     while size < reach:  # the rightmost smallest of the next `size` grams, by doubling
@@ -64,25 +64,38 @@ def blocks(h: np.ndarray, offsets: np.ndarray, width: int, gram: int) -> tuple[n
     first, count = first[kept], count[kept]
     anchor = grams[owner[first]]
     place = (owner[first] - first).astype(np.uint64)
-    context = combine([anchor, windows[first], windows[first + count - 1], count.astype(np.uint64) * np.uint64(1 << 20) + place])
-    return anchor, context, first, count, windows
+    shape = count.astype(np.uint64) * np.uint64(1 << 20) + place
+    contexts = [combine([anchor, x[first], x[first + count - 1], shape]) for x in (windows, seconds)]
+    return anchor, contexts, first, count, [windows, seconds]
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
+#: Contexts and windows are told apart by hashes of two lanes, 128 bits: of 1e13 windows, some 70 TB of text, two that
+#: differ are equal with a probability of 1e-13.
+_KEY = pa.struct([("a", pa.int64()), ("b", pa.int64())])
+_KEY_SQL = "struct<a:long,b:long>"
+
+
+def _keys(lanes: list[np.ndarray], at) -> pa.StructArray:
+    return pa.StructArray.from_arrays([pa.array(_signed(x[at])) for x in lanes], fields=list(_KEY))
+
+
 #: A first and a last place: the document's id and the number of the window there.
 PLACES = ("low_id", "low_at", "high_id", "high_at")
 _PLACES = "low_id long, low_at int, high_id long, high_at int"
 _PLACE_FIELDS = [("low_id", pa.int64()), ("low_at", pa.int32()), ("high_id", pa.int64()), ("high_at", pa.int32())]
 
 
-def _grouped(keys: np.ndarray, ids: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-    """An order of the rows by key and place, and where in it a key's rows start and end (its first and last place)."""
-    order = np.lexsort((at, ids, keys))
+def _grouped(keys: np.ndarray, ids: np.ndarray, at: np.ndarray, others: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """An order of the rows by key and place, and where in it a key's rows start and end (its first and last place).
+    others: the keys' second lane."""
+    others = keys if others is None else others
+    order = np.lexsort((at, ids, others, keys))
     new = np.ones(len(keys), bool)
-    new[1:] = np.diff(keys[order].view(np.int64)) != 0
+    new[1:] = (keys[order][1:] != keys[order][:-1]) | (others[order][1:] != others[order][:-1])
     first = np.flatnonzero(new)
     return order, first, np.append(first[1:], len(keys)) - 1
 
@@ -91,41 +104,42 @@ def _chunks(b: pa.RecordBatch, width: int, gram: int) -> Iterator[tuple[np.ndarr
     """Of each chunk of texts: anchor, context, first window among all words, number of windows, id, first window in the
     document of each block; and the hashes of all windows."""
     ids = b.column("id").to_numpy()
-    for row, h, offsets in hashed_texts(b.column("text")):
-        anchor, context, first, count, windows = blocks(h, offsets, width, gram)
+    for (row, h, offsets), (_, other, _) in zip(hashed_texts(b.column("text")), hashed_texts(b.column("text"), lane=1), strict=True):
+        anchor, context, first, count, windows = blocks(h, other, offsets, width, gram)
         if len(anchor):
             doc = np.searchsorted(offsets, first, "right") - 1
             yield anchor, context, first, count, ids[doc + row], (first - offsets[doc]).astype(np.int32), windows
 
 
 def _anchor_rows(width: int, gram: int):
-    schema = pa.schema([("anchor", pa.int64()), ("low", pa.int64()), ("high", pa.int64()), ("n", pa.int64()), *_PLACE_FIELDS])
+    schema = pa.schema([("anchor", pa.int64()), *((c, pa.int64()) for c in ("low", "high", "low2", "high2", "n")), *_PLACE_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             for anchor, context, _, _, ids, at, _ in _chunks(b, width, gram):
                 order, s, e = _grouped(anchor, ids, at)
-                context, low, high = _signed(context)[order], order[s], order[e]
-                yield batch(schema, _signed(anchor[low]), np.minimum.reduceat(context, s), np.maximum.reduceat(context, s), e - s + 1, ids[low], at[low], ids[high], at[high])
+                low, high = order[s], order[e]
+                ends = [f.reduceat(_signed(x)[order], s) for x in context for f in (np.minimum, np.maximum)]
+                yield batch(schema, _signed(anchor[low]), *ends, e - s + 1, ids[low], at[low], ids[high], at[high])
 
     return run
 
 
 def _window_rows(width: int, gram: int, may_hold):
-    schema = pa.schema([("context", pa.int64()), ("windows", pa.list_(pa.int64())), ("n", pa.int64()), *_PLACE_FIELDS])
+    schema = pa.schema([("context", _KEY), ("windows", pa.list_(_KEY)), ("n", pa.int64()), *_PLACE_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             for anchor, context, first, count, ids, at, windows in _chunks(b, width, gram):
                 near = np.flatnonzero(may_hold(anchor))
                 if len(near):
-                    order, s, e = _grouped(context[near], ids[near], at[near])
+                    order, s, e = _grouped(context[0][near], ids[near], at[near], context[1][near])
                     low, high = near[order[s]], near[order[e]]
                     sizes = count[low]
                     ends = np.cumsum(sizes)
                     index = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes) + np.repeat(first[low], sizes)
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(_signed(windows[index])))
-                    yield batch(schema, _signed(context[low]), lists, e - s + 1, ids[low], at[low], ids[high], at[high])
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), _keys(windows, index))
+                    yield batch(schema, _keys(context, low), lists, e - s + 1, ids[low], at[low], ids[high], at[high])
 
     return run
 
@@ -134,20 +148,20 @@ def _filtered(column: str, may_hold):
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             if b.num_rows:
-                yield b.filter(pa.array(may_hold(b.column(column).to_numpy().view(np.uint64))))
+                yield b.filter(pa.array(may_hold(b.column(column).field("a").to_numpy().view(np.uint64))))
 
     return run
 
 
 def _block_rows(width: int, gram: int, may_hold):
-    schema = pa.schema([("context", pa.int64()), ("id", pa.int64()), ("first", pa.int32()), ("size", pa.int32())])
+    schema = pa.schema([("context", _KEY), ("id", pa.int64()), ("first", pa.int32()), ("size", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]):
         for b in batches:
             for anchor, context, _, count, ids, at, _ in _chunks(b, width, gram):
                 near = np.flatnonzero(may_hold(anchor))
                 if len(near):
-                    yield batch(schema, _signed(context[near]), ids[near], at[near], count[near].astype(np.int32))
+                    yield batch(schema, _keys(context, near), ids[near], at[near], count[near].astype(np.int32))
 
     return run
 
@@ -161,22 +175,23 @@ def _ends() -> list[Column]:
 def reference_index(docs: DataFrame, width: int, gram: int) -> tuple[DataFrame, HashFilter]:
     """context, n (blocks with it), bits (of its recurring windows), low_id, low_at, high_id, high_at (where its window 0
     would be): rows of one context differ in their places. And which anchors recur. docs: id, text."""
-    anchors = docs.mapInArrow(tidy(_anchor_rows(width, gram)), f"anchor long, low long, high long, n long, {_PLACES}")
-    anchors = anchors.groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), *_ends())
-    recurring = written(anchors.where("n > 1").select("anchor", "low", "n", *PLACES, (F.col("low") != F.col("high")).alias("varied")))
+    anchors = docs.mapInArrow(tidy(_anchor_rows(width, gram)), f"anchor long, low long, high long, low2 long, high2 long, n long, {_PLACES}")
+    anchors = anchors.groupBy("anchor").agg(*(F.min(c).alias(c) for c in ("low", "low2")), *(F.max(c).alias(c) for c in ("high", "high2")), F.sum("n").alias("n"), *_ends())
+    context = F.struct(F.col("low").alias("a"), F.col("low2").alias("b")).alias("context")  # if there is but one
+    recurring = written(anchors.where("n > 1").select("anchor", context, "n", *PLACES, ((F.col("low") != F.col("high")) | (F.col("low2") != F.col("high2"))).alias("varied")))
 
     varied = HashFilter(recurring.where("varied"), "anchor")
-    windows = docs.mapInArrow(tidy(_window_rows(width, gram, varied.reader())), f"context long, windows array<long>, n long, {_PLACES}")
+    windows = docs.mapInArrow(tidy(_window_rows(width, gram, varied.reader())), f"context {_KEY_SQL}, windows array<{_KEY_SQL}>, n long, {_PLACES}")
     windows = windows.groupBy("context").agg(F.first("windows").alias("windows"), F.sum("n").alias("n"), *_ends())
     windows = written(windows.select("context", "n", *PLACES, F.posexplode("windows").alias("place", "window")))
     twice = written(windows.groupBy("window").agg(F.sum("n").alias("n")).where("n > 1").select("window"))
-    hit = windows.mapInArrow(tidy(_filtered("window", HashFilter(twice, "window").reader())), windows.schema)
+    hit = windows.mapInArrow(tidy(_filtered("window", HashFilter(twice.select("window.a"), "a").reader())), windows.schema)
     place = F.col("place")
     low, high = F.struct("low_id", (F.col("low_at") + place).alias("low_at")), F.struct("high_id", (F.col("high_at") + place).alias("high_at"))
     known = written(hit.groupBy("window").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("rows"), F.min(low).alias("low"), F.max(high).alias("high")).where("total > 1").select("window", "rows", "low.*", "high.*"))
     parts = join_split(hit.select("context", "n", "place", "window"), known, "window", "rows", "context")
     parts = parts.groupBy("context", "n", "low_id", (F.col("low_at") - place).alias("low_at"), "high_id", (F.col("high_at") - place).alias("high_at")).agg(F.bit_or(F.expr("shiftleft(1L, place)")).alias("bits"))
-    whole = recurring.where("not varied").select(F.col("low").alias("context"), "n", *PLACES, F.lit(-1).cast("long").alias("bits"))
+    whole = recurring.where("not varied").select("context", "n", *PLACES, F.lit(-1).cast("long").alias("bits"))
     index = written(whole.unionByName(parts))
     drop_written(windows, twice, known)
     every = HashFilter(recurring, "anchor")
@@ -188,7 +203,7 @@ def recurring_blocks(docs: DataFrame, width: int = 35, gram: int = 8) -> DataFra
     """id, blocks: of each document with a recurring window, an array of (first window, bits of recurring windows, and
     the first and last place that the index has for its first window). docs: id, text."""
     index, every = reference_index(docs, width, gram)
-    found = docs.mapInArrow(tidy(_block_rows(width, gram, every.reader())), "context long, id long, first int, size int")
+    found = docs.mapInArrow(tidy(_block_rows(width, gram, every.reader())), f"context {_KEY_SQL}, id long, first int, size int")
     found = join_split(found, index, "context", "n", "id")
     bits = F.col("bits").bitwiseAND(F.expr("shiftleft(1L, size) - 1"))
     return found.groupBy("id").agg(F.collect_set(F.struct("first", bits.alias("bits"), *PLACES)).alias("blocks"))
