@@ -13,6 +13,7 @@ import urllib.parse
 import urllib.request
 from collections import Counter
 from dataclasses import replace
+from datetime import datetime, timezone
 from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
 
 import pytest
@@ -316,7 +317,14 @@ class Store:
         self.people, self.seen, self.grow, self.refuse = [f"urn:p{i:02}" for i in range(11)], [], lambda n: None, lambda q: False
 
     def rows(self, s):
-        return [(V.RDF_TYPE, V.PERSON), ("http://schema.org/name", s[4:]), ("urn:x", 'a "b"')]
+        return [(V.RDF_TYPE, V.PERSON), ("http://schema.org/name", s[4:]), ("urn:x", 'a "b"'), ("http://schema.org/email", s[4:] + "@x.org")]
+
+    def model(self, path, asked):
+        """Equal vectors for all texts; one verdict that all persons of a cluster are one."""
+        if path.endswith("/embeddings"):
+            return {"data": [{"index": i, "embedding": [1.0, 2.0]} for i in range(len(asked["input"]))]}
+        iris = [p["iri"] for p in json.loads(asked["messages"][1]["content"])]
+        return {"choices": [{"message": {"content": json.dumps({"entities": iris, "is_duplicate": True, "certainty": 0.8, "reason": "r"})}}]}
 
     def answer(self, q):
         people = sorted(self.people)
@@ -339,12 +347,16 @@ def store():
 
     class Handler(BaseHTTPRequestHandler):
         def do_POST(self):  # noqa: N802
-            form = urllib.parse.parse_qs(self.rfile.read(int(self.headers["Content-Length"])).decode())
-            (kind, (said,)), *_ = form.items()
+            body = self.rfile.read(int(self.headers["Content-Length"]))
+            if "json" in self.headers["Content-Type"]:  # the two services of a model
+                return self.say(json.dumps(held.model(self.path, json.loads(body))).encode())
+            (kind, (said,)), *_ = urllib.parse.parse_qs(body.decode()).items()
             held.grow(len(held.seen))
             held.seen.append((self.headers.get("Authorization"), kind, said))
-            body = json.dumps({"results": {"bindings": held.answer(said) if kind == "query" else []}}).encode()
-            self.send_response(500 if held.refuse(said) else 200)
+            self.say(json.dumps({"results": {"bindings": held.answer(said) if kind == "query" else []}}).encode(), 500 if held.refuse(said) else 200)
+
+        def say(self, body, code=200):
+            self.send_response(code)
             self.end_headers()
             self.wfile.write(body)
 
@@ -470,6 +482,48 @@ def test_run_end_to_end(spark, store, tmp_path):
     assert spark.read.json(cfg.audit_log_path).count() == result["groups_found"]  # which has the first one's id
 
 
+def test_the_command_runs_over_http(spark, store, tmp_path, monkeypatch):
+    """python -m twinfold's run: endpoint, both services and the update, all over HTTP."""
+    from twinfold.__main__ import execute
+
+    env = {"SPARQL_ENDPOINT": store.url, "LLM_BASE_URL": store.url + "/v1/", "LLM_API_KEY": "k", "LLM_MODEL": "m", "RUN_ID": "r"}
+    env |= {f"{n}_PATH": str(tmp_path / n.lower()) for n in ("AUDIT_LOG", "SPARQL_LOG", "LLM_LOG", "PERSONS_CACHE", "EMBEDDING_CACHE")}
+    result = execute(C.from_environment(env))
+    assert result == {"groups_found": 1, "rule_based_groups": 0, "llm_groups": 1, "entities_covered": 11, "dedup_graph": V.DEFAULT_GRAPH}
+    (update,) = [q for _, kind, q in store.seen if kind == "update"]
+    assert update.count("member>") == 11 and f"GRAPH <{V.DEFAULT_GRAPH}>" in update
+    (audit,) = spark.read.json(env["AUDIT_LOG_PATH"]).collect()
+    assert (audit["method"], audit["confidence"], len(audit["entities"]), audit["run_id"], audit["step"]) == ("llm", 0.8, 11, "r", "verdicts")
+    (said,) = spark.read.json(env["LLM_LOG_PATH"]).collect()
+    assert [p["iri"] for p in json.loads(said["prompt"])] == sorted(store.people) and said["response"]["is_duplicate"]
+    logged = {r["operation"] for r in spark.read.json(env["SPARQL_LOG_PATH"]).collect()}
+    assert logged == {"query", "update", "commit"}
+
+
+def test_times_and_ids(spark):
+    (row,) = spark.sql("SELECT TIMESTAMP '2024-02-03 04:05:06.789012' AS t").select(text.utc_iso(F.col("t")).alias("t")).collect()
+    assert datetime.fromisoformat(row["t"]) == datetime(2024, 2, 3, 4, 5, 6, 789012, timezone.utc)
+    frame = spark.createDataFrame([([str(i)], 1.0, "r", "llm") for i in range(50)], "entities array<string>, confidence double, reason string, method string")
+    ids = [r["assertion"] for r in groups.identified(frame, "urn:g").collect()]
+    assert len(set(ids)) == 50 and all(re.fullmatch(r"urn:g/assertion/[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}", x) for x in ids)
+
+
+def test_the_policy_names_every_signal():
+    said = verdicts.POLICY.lower()
+    assert all(x in said for x in ("variant", "repository", "name", "e-mail", "handle", "blog", "orcid", "avatar", "creation date", "followers", "every iri"))
+
+
+def test_a_penalty_switches_name_weights_on(spark, tmp_path, monkeypatch):
+    """Two persons of one very common name and equal vectors: linked without a penalty, not with one."""
+    from twinfold.operators import clusters, idf
+
+    people = spark.createDataFrame([("1", "common"), ("2", "common"), ("3", "rare")], "iri string, name string")
+    weighed = []
+    monkeypatch.setattr(clusters.idf, "with_idf", lambda p, f=idf.with_idf: weighed.append(1) or f(p))
+    found = [clusters.cluster_persons(people, Letters(), "m", ["name"], str(tmp_path / "cache"), threshold=0.99, penalty=p).count() for p in (0.0, 0.02)]
+    assert found == [2, 0] and weighed == [1]
+
+
 def test_jobs_over_http(tmp_path):
     gate, seen = threading.Event(), []
 
