@@ -16,7 +16,8 @@ Scale. Rows are sorted by ranges of conversation and turn; stretches of at most
 Almost every conversation is one stretch. For one that is several, or meets the edge of a partition, each stretch yields
 the least cost from every entry to every exit; these, a few numbers each, give the cost to go at each border. Each
 stretch is then searched from every entry, which names the exit of the least letters, and the chain of exits picks the
-entries. Two letters' place for each row and the letters of one conversation are all that a task gathers; texts pass once, as a sorted stream.
+entries. A task gathers two letters for each row of a stretch, and the letters of one conversation; texts pass once, as a
+sorted stream.
 
 Cases: a null role or text counts as one space; null turns come first and leave no gap; a null conv_id is a conversation;
 rows of one turn are taken by role and a hash of the text; repeated rows are duplicates; roles of other initials are
