@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from twinfold.llm.common import batch, documents, drop_written, tidy, written
-from twinfold.llm.tokens import Memo
+from twinfold.llm.tokens import Memo, encoder
 
 # What a character may stand for, besides itself.
 CHANNEL = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "*": "aeiou"}
@@ -244,6 +244,7 @@ def word_trigrams(words: list[str], n: np.ndarray) -> dict[str, int]:
 
 def _trigrams(batches: Iterator[pa.RecordBatch]):
     schema = pa.schema([("gram", pa.string()), ("n", pa.int64())])
+    encoder.cache_clear()  # a worker that has encoded texts for another query gives that memory back
     words, alone = Counter(), Counter()
 
     def out():
