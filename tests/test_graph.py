@@ -107,6 +107,24 @@ def test_pairs_of_many_blocks(spark):
     assert sorted(got) == [(i, j) for i in range(len(v)) for j in range(i + 1, len(v)) if (m @ m.T)[i, j] >= 0.9]
 
 
+def shuffled_mb(spark, job):
+    total = lambda: spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite() / 1e6
+    before, rows = total(), job().count()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    return total() - before, rows
+
+
+def unlike(spark, n):
+    """Vectors of which no cell can be excluded."""
+    return frame(spark, np.random.default_rng(27).normal(size=(n, 32)).astype(np.float32))
+
+
+def test_nearest_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
+    """Not as many as there are blocks: of 16 vectors each here, 250 of them."""
+    mb, rows = shuffled_mb(spark, lambda: knn.neighbours(unlike(spark, 4000), 3, -2.0, broadcast_bytes=0, block_bytes=16 * 32 * 8))
+    assert rows == 12_000 and mb < 2 * knn.PARTS * 4000 * 32 * 4 / 1e6
+
+
 def test_numbers_are_of_one_person_each(spark):
     people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
     got = placed(people, "iri").collect()
