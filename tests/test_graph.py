@@ -125,6 +125,12 @@ def test_nearest_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
     assert rows == 12_000 and mb < 2 * knn.PARTS * 4000 * 32 * 4 / 1e6
 
 
+def test_near_ones_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
+    """With a threshold that excludes no cell, in blocks of 16 vectors."""
+    mb, rows = shuffled_mb(spark, lambda: knn.neighbours(unlike(spark, 3000), 20, 0.35, broadcast_bytes=0, block_bytes=16 * 32 * 8))
+    assert 0 < rows <= 60_000 and mb < 2 * knn.PARTS * 3000 * 32 * 4 / 1e6
+
+
 def test_numbers_are_of_one_person_each(spark):
     people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
     got = placed(people, "iri").collect()
