@@ -131,6 +131,12 @@ def test_near_ones_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
     assert 0 < rows <= 60_000 and mb < 2 * knn.PARTS * 3000 * 32 * 4 / 1e6
 
 
+def test_pairs_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
+    """In blocks of any size: there are 94 cells, each a block at least, and a vector went to every one that it asks."""
+    mb, rows = shuffled_mb(spark, lambda: knn.similar_pairs(unlike(spark, 9000), 0.3))
+    assert rows > 1_000_000 and mb < 18 * 9000 * 32 * 4 / 1e6
+
+
 def test_numbers_are_of_one_person_each(spark):
     people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
     got = placed(people, "iri").collect()
