@@ -137,6 +137,20 @@ def test_pairs_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
     assert rows > 1_000_000 and mb < 18 * 9000 * 32 * 4 / 1e6
 
 
+def test_a_matrix_of_more_than_16_mb_is_not_broadcast(spark, monkeypatch):
+    """Each worker would hold it whole: 40,000 vectors of 64 numbers are 20 MB."""
+    class Parted(Exception):
+        pass
+
+    def parted(*_):
+        raise Parted
+
+    monkeypatch.setattr(knn, "_of_copies", parted)
+    many = spark.range(40_000).select("id", F.array(*(F.rand(n).cast("float") for n in range(64))).alias("vector"))
+    with pytest.raises(Parted):
+        knn.edges(many, 3, 0.99)
+
+
 def test_numbers_are_of_one_person_each(spark):
     people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
     got = placed(people, "iri").collect()
