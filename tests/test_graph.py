@@ -2,11 +2,13 @@
 
 import numpy as np
 import pytest
+from conftest import TESTDATA
 from pyspark.sql import functions as F
 
 from twinfold.operators import clusters, components, knn
 from twinfold.operators.components import connected_components
 from twinfold.operators.numbering import placed
+from twinfold.plans import queries
 
 
 def frame(spark, vectors):
@@ -151,6 +153,21 @@ def test_a_matrix_of_more_than_16_mb_is_not_broadcast(spark, monkeypatch):
         knn.edges(many, 3, 0.99)
 
 
+def test_ranked_groups_broadcast_no_matrix_of_more_than_16_mb(spark, monkeypatch, tmp_path):
+    class Parted(Exception):
+        pass
+
+    def parted(*_):
+        raise Parted
+
+    monkeypatch.setattr(knn, "_of_copies", parted)
+    many = spark.range(40_000).select(F.col("id").alias("vec_id"), F.array(*(F.rand(n).cast("float") for n in range(64))).alias("embedding"), F.lit(1).alias("label"))
+    many.write.parquet(f"{tmp_path}/embeddings.parquet")
+    (tmp_path / "customer.parquet").symlink_to(f"{TESTDATA}/sf0.001/customer.parquet")
+    with pytest.raises(Parted):
+        queries.QUERIES["groups_ranked"](spark, str(tmp_path))
+
+
 def test_numbers_are_of_one_person_each(spark):
     people = spark.createDataFrame([(f"urn:{i % 50}x{i}", [1.0]) for i in range(200)], "iri string, vector array<float>").repartition(5)
     got = placed(people, "iri").collect()
