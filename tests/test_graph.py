@@ -1,5 +1,7 @@
 """Neighbours, components and clusters against brute force."""
 
+import tracemalloc
+
 import numpy as np
 import pytest
 from conftest import TESTDATA
@@ -139,6 +141,30 @@ def test_pairs_of_unlike_vectors_move_as_many_bytes_as_parts(spark):
     assert rows > 1_000_000 and mb < 18 * 9000 * 32 * 4 / 1e6
 
 
+def test_a_tile_of_products_takes_little_memory():
+    """Of single precision, 1 MB; of double precision a tile of 1,024 by 512 took 4 MB at once, a mask of it aside."""
+    v = np.random.default_rng(28).normal(size=(4096, 64))
+    v /= np.linalg.norm(v, axis=1, keepdims=True)
+    asking = knn._Asking(np.arange(2048), v[:2048], np.zeros(2048), np.full(2048, 0.45), 20)
+    tracemalloc.start()
+    list(asking.meet(np.arange(2048, 4096), v[2048:], v[0], 0.0, 2.0, False))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    i, j = np.nonzero(v[:2048] @ v[2048:].T >= 0.45)
+    found = [np.concatenate(x) for x in zip(*asking.found, strict=True)]
+    assert most < 4 << 20 and sorted(zip(found[0], found[1], strict=True)) == sorted(zip(i, j + 2048, strict=True))
+
+
+def test_cells_tell_similarities_apart_beyond_single_precision(spark):
+    """Angles differ by 1e-8, similarities by 1e-9 and less; copies are told apart by their ids."""
+    t = np.repeat(0.1 + 1e-8 * np.random.default_rng(29).permutation(90), 2)
+    v = np.concatenate([np.stack([np.cos(t), np.sin(t)], axis=1), [[1.0, 0.0], [1.0, 1e-9]]])
+    rows = spark.createDataFrame([(i, x) for i, x in enumerate(v.tolist())], "id long, vector array<double>")
+    got = knn.neighbours(rows, 5, 0.5, broadcast_bytes=0, block_bytes=16 * 2 * 8).collect()
+    assert sorted(map(str, got)) == sorted(map(str, knn.neighbours(rows, 5, 0.5).collect()))
+    assert {r["j"] for r in got if r["i"] == 180} == {181, *sorted(range(180), key=lambda j: (t[j], j))[:4]}
+
+
 def test_a_matrix_of_more_than_16_mb_is_not_broadcast(spark, monkeypatch):
     """Each worker would hold it whole: 40,000 vectors of 64 numbers are 20 MB."""
     class Parted(Exception):
